@@ -14,6 +14,7 @@ from airloom.sources.tables import Table
 def upsert_stream(
     rows: DataFrame, table: Table, checkpoint: str, *, seq: str | None = None,
     keys: tuple[str, ...] = ("city", "ts"), prepare: Callable[[DataFrame], DataFrame] | None = None,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Upsert each micro-batch into ``table``; stops when all present input is taken.
 
@@ -24,7 +25,7 @@ def upsert_stream(
         table.upsert(prepare(batch) if prepare else batch, keys=keys, seq=seq)
 
     return (
-        rows.writeStream.foreachBatch(write)
+        rows.writeStream.foreachBatch(write).outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
