@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airloom.functions.expr import aqi_category
-from airloom.operators.series import WEEK, bucket_of
+from airloom.operators.series import SPAN, bucket_of, must_split
 from airloom.schemas import breakpoint_dim, category_dim
 
 
@@ -90,13 +90,14 @@ def nearest_join(
     order: str = "ts",
     prefix: str = "near_",
     tolerance_seconds: int | None = None,
-    bucket_seconds: int = WEEK,
+    bucket_seconds: int = SPAN,
+    split: bool | None = None,
 ) -> DataFrame:
     """Beside each probe, the reading of its series closest in time (earlier one on a tie).
 
     Distinct probe instants and reading instants are merged into one timeline; the last
-    reading before and the first after each instant are carried along it bucket by bucket.
-    Any number of probes at one instant therefore costs one timeline row. Probes without a
+    reading before and the first after each instant are found along it, bucket by bucket if
+    some timeline is too long for one task. Any number of probes at one instant therefore costs one timeline row. Probes without a
     reading (within the tolerance) keep NULLs.
     """
     timeline = (
@@ -106,31 +107,21 @@ def nearest_join(
                                      F.lit(False).alias("_asked")))
         .groupBy(*keys, order)
         .agg(F.max("_known").alias("_known"), F.bool_or("_asked").alias("_asked"))
-        .withColumn("_bucket", bucket_of(order, bucket_seconds))
-    )
-    series = W.partitionBy(*keys)
-    edges = (
-        timeline.groupBy(*keys, "_bucket")
-        .agg(F.max("_known").alias("_last"), F.min("_known").alias("_first"))
-        .select(
-            *keys, "_bucket",
-            F.max("_last").over(
-                series.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
-            F.min("_first").over(
-                series.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)
-            ).alias("_after"),
-        )
-    )
-    bucket = W.partitionBy(*keys, "_bucket")
-    up_to = bucket.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    from_on = bucket.orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
-    before = F.coalesce(F.max("_known").over(up_to), F.col("_before"))
-    after = F.coalesce(F.min("_known").over(from_on), F.col("_after"))
-    found = (
-        timeline.join(edges, [*keys, "_bucket"])
-        .select(*keys, order, "_asked", before.alias("_prev"), after.alias("_next"))
-        .filter("_asked")
     )
+    if must_split(timeline, keys, split):
+        cut = timeline.withColumn("_bucket", bucket_of(order, bucket_seconds))
+        timeline = cut.join(_known_around(cut, keys), [*keys, "_bucket"])
+        span = W.partitionBy(*keys, "_bucket")
+        outside = {"_prev": [F.col("_before")], "_next": [F.col("_after")]}
+    else:
+        span, outside = W.partitionBy(*keys), {"_prev": [], "_next": []}
+    up_to = span.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    from_on = span.orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
+    found = timeline.select(
+        *keys, order, "_asked",
+        F.coalesce(F.max("_known").over(up_to), *outside["_prev"]).alias("_prev"),
+        F.coalesce(F.min("_known").over(from_on), *outside["_next"]).alias("_next"),
+    ).filter("_asked")
     since = F.timestamp_diff("MICROSECOND", F.col("_prev"), F.col(order))
     until = F.timestamp_diff("MICROSECOND", F.col(order), F.col("_next"))
     nearest = F.when(F.col("_next").isNull() | (since <= until), F.col("_prev")).otherwise(
@@ -151,6 +142,20 @@ def nearest_join(
     )
 
 
+def _known_around(timeline: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per bucket, the last known instant before it and the first one after it."""
+    series = W.partitionBy(*keys)
+    earlier = series.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    later = series.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)
+    per_bucket = timeline.groupBy(*keys, "_bucket").agg(
+        F.max("_known").alias("_last"), F.min("_known").alias("_first")
+    )
+    return per_bucket.select(
+        *keys, "_bucket", F.max("_last").over(earlier).alias("_before"),
+        F.min("_first").over(later).alias("_after"),
+    )
+
+
 def with_category(df: DataFrame, value: str, name: str = "aqi_category") -> DataFrame:
     """Category by expression: cheaper than ``category_join`` when no other field is needed."""
     return df.withColumn(name, aqi_category(value))

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airloom.operators.attach import attach
@@ -40,53 +39,46 @@ def zscore_filter(
     base = df if stored else materialize(df)
     slim = base.select(*dict.fromkeys([*keys, *columns]))
 
-    def fits(i: int) -> Column:
-        z = F.abs((F.col(columns[i]) - F.col(f"_mean{i}")) / F.col(f"_std{i}"))
-        return F.coalesce(F.col(f"_usable{i}") & (z < threshold), F.lit(False))
+    def fits(i: int) -> str:
+        z = f"abs((`{columns[i]}` - _mean{i}) / _std{i})"
+        return f"coalesce(_usable{i} AND {z} < {float(threshold)!r}D, false)"
 
-    def kept(count: int) -> Column:
-        tests = [~F.col(f"_apply{i}") | fits(i) for i in range(count)]
-        return reduce(Column.__and__, tests, F.lit(True))
+    def kept(count: int) -> str:
+        return " AND ".join(["true", *[f"(NOT _apply{i} OR {fits(i)})" for i in range(count)]])
 
-    def usable(i: int) -> Column:
-        std = F.col(f"_std{i}")
-        return F.coalesce((F.col("_rows") >= min_rows) & (std != 0) & ~F.isnan(std), F.lit(False))
+    def judged(i: int, mean: str, std: str) -> list[str]:
+        """State of column i: statistics, and whether they can be used. An unusable std
+        becomes NULL, which keeps the division by it defined."""
+        usable = f"coalesce(_rows >= {min_rows} AND {std} <> 0 AND NOT isnan({std}), false)"
+        return [f"{mean} AS _mean{i}", f"if({usable}, {std}, NULL) AS _std{i}", f"{usable} AS _usable{i}"]
 
-    # NULL instead of 0 keeps the division above defined.
-    def tidy(state: DataFrame, i: int) -> DataFrame:
-        flagged = state.withColumn(f"_usable{i}", usable(i))
-        return materialize(
-            flagged.withColumn(f"_std{i}", F.when(F.col(f"_usable{i}"), F.col(f"_std{i}")))
-        )
-
-    state = tidy(
-        slim.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.avg(columns[0]).alias("_mean0"), F.stddev_samp(columns[0]).alias("_std0"),
-        ), 0,
+    first = f"`{columns[0]}`"
+    state = materialize(
+        slim.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.expr(f"avg({first}) AS _m"),
+             F.expr(f"stddev_samp({first}) AS _s"))
+        .selectExpr(*keys, "_rows", *judged(0, "_m", "_s"))
     )
+    groups = state.count() if keys else 1
     for i in range(len(columns)):
         carried = [c for c in state.columns if c not in keys]
-        rows = attach(slim, state, keys, salt_on=columns).filter(kept(i))
-        aggs = [F.any_value(c).alias(c) for c in carried]
-        aggs += [F.count(F.lit(1)).alias("_seen"), F.count_if(fits(i)).alias("_fit")]
+        aggs = [f"any_value({c}) AS {c}" for c in carried]
+        aggs += ["count(1) AS _seen", f"count_if({fits(i)}) AS _fit"]
         if i + 1 < len(columns):
-            nxt = F.col(columns[i + 1])
+            following = f"`{columns[i + 1]}`"
+            cut = f"CASE WHEN {fits(i)} THEN {following} END"
             aggs += [
-                F.avg(nxt).alias("_mean_skip"), F.stddev_samp(nxt).alias("_std_skip"),
-                F.avg(F.when(fits(i), nxt)).alias("_mean_cut"),
-                F.stddev_samp(F.when(fits(i), nxt)).alias("_std_cut"),
+                f"avg({following}) AS _mean_skip", f"stddev_samp({following}) AS _std_skip",
+                f"avg({cut}) AS _mean_cut", f"stddev_samp({cut}) AS _std_cut",
             ]
-        decided = rows.groupBy(*keys).agg(*aggs).withColumn(
-            f"_apply{i}", F.col(f"_usable{i}") & (F.col("_fit") / F.col("_seen") >= min_keep)
+        rows = attach(slim, state, keys, salt_on=columns, table_rows=groups).filter(kept(i))
+        decided = rows.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr(
+            "*", f"_usable{i} AND _fit / _seen >= {float(min_keep)!r}D AS _apply{i}"
         )
+        step = [*keys, *carried, f"_apply{i}"]
         if i + 1 < len(columns):
-            picked = F.col(f"_apply{i}")
-            state = tidy(decided.select(
-                *keys, *carried, f"_apply{i}",
-                F.when(picked, F.col("_mean_cut")).otherwise(F.col("_mean_skip")).alias(f"_mean{i + 1}"),
-                F.when(picked, F.col("_std_cut")).otherwise(F.col("_std_skip")).alias(f"_std{i + 1}"),
-            ), i + 1)
-        else:
-            state = materialize(decided.select(*keys, *carried, f"_apply{i}"))
-    return attach(base, state, keys, salt_on=columns).filter(kept(len(columns))).select(*df.columns)
+            step += judged(i + 1, f"if(_apply{i}, _mean_cut, _mean_skip)",
+                           f"if(_apply{i}, _std_cut, _std_skip)")
+        state = materialize(decided.selectExpr(*step))
+    screened = attach(base, state, keys, salt_on=columns, table_rows=groups)
+    return screened.filter(kept(len(columns))).select(*df.columns)

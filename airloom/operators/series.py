@@ -1,15 +1,21 @@
-"""Order-dependent building blocks that never put a whole series into one task.
+"""Order-dependent building blocks that never put an overlong series into one task.
 
-A window over ``PARTITION BY city`` sends every row of a city to one task, so a city that
-holds a third of the data holds up the job. Here a series is cut along time instead:
+A window over ``PARTITION BY city`` sends every row of a city to one task. That is the
+cheapest plan (one shuffle) while every series fits a task, so the longest series is
+measured first: a count over the key columns, combined map-side. Beyond
+``MAX_SERIES_ROWS`` a series is cut along time instead:
 
 * *buckets* (city, span of time) are what rows are shuffled and sorted by;
 * whatever has to cross a bucket edge (row offsets, last known values) is first reduced to
   one row per bucket, run through a window over that small table, and joined back;
-* row-framed windows run over *blocks* of equally many consecutive rows, and each block
-  also receives the few rows before it that its first frames reach back to.
+* row-framed windows run over *blocks* of consecutive buckets with about equally many
+  rows, and each block also receives the buckets before it that its first frames reach.
 
-(keys, order) must identify a row, as it does after the keyed upsert.
+A bucket of 30 days holds 720 hourly readings; pass a shorter ``bucket_seconds`` for denser
+series, so that a bucket stays a comfortable amount of work for one task.
+
+``split`` overrides the measurement: True always cuts, False never does. (keys, order)
+must identify a row, as it does after the keyed upsert.
 """
 
 from __future__ import annotations
@@ -22,8 +28,9 @@ from pyspark.sql import functions as F
 
 from airloom.functions.expr import epoch_seconds
 
-WEEK = 7 * 86400
+SPAN = 30 * 86400
 BLOCK_ROWS = 50_000
+MAX_SERIES_ROWS = 1_000_000
 _NULL_BUCKET = -(2**62)
 
 
@@ -34,6 +41,14 @@ def bucket_of(order: str, seconds: int) -> Column:
     )
 
 
+def must_split(df: DataFrame, keys: Sequence[str], split: bool | None = None) -> bool:
+    """Whether some series is too long for one task."""
+    if split is not None:
+        return split
+    lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (lengths.agg(F.max("_n")).first()[0] or 0) > MAX_SERIES_ROWS
+
+
 def _offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per bucket: its row count, the rows before it, and the rows of the whole series."""
     per_bucket = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_count"))
@@ -52,10 +67,16 @@ def with_position(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = WEEK,
+    bucket_seconds: int = SPAN,
     total: str | None = None,
+    split: bool | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row in its series, and optionally the series length."""
+    if not must_split(df, keys, split):
+        series = W.partitionBy(*keys)
+        rank = (F.row_number().over(series.orderBy(order)) - 1).cast("long")
+        extra = [F.count(F.lit(1)).over(series).alias(total)] if total else []
+        return df.select("*", rank.alias(name), *extra)
     rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
     in_bucket = W.partitionBy(*keys, "_bucket").orderBy(order)
     ranked = rows.withColumn("_rank", F.row_number().over(in_bucket) - 1)
@@ -74,33 +95,44 @@ def over_rows(
     keys: Sequence[str] = ("city",),
     order: str = "ts",
     block_rows: int = BLOCK_ROWS,
-    bucket_seconds: int = WEEK,
+    bucket_seconds: int = SPAN,
+    split: bool | None = None,
 ) -> DataFrame:
     """Add row-framed window columns that reach back at most ``preceding`` rows.
 
-    ``build`` gets the ordered window and returns the new columns. Blocks hold exactly
-    ``block_rows`` rows of one series however its rows spread over time, so gaps neither
-    change the result nor unbalance the tasks.
+    ``build`` gets the ordered window and returns the new columns. Bucket counts alone tell
+    which buckets make up a block of about ``block_rows`` rows, and which earlier buckets
+    hold the rows its first frames reach back to, however the series is spread over time.
+    Rows are shuffled once, by block; the bucket table joins them by measured size.
     """
     if block_rows < preceding:
         raise ValueError("block_rows must be at least the number of preceding rows")
-    placed = with_position(
-        df, "_position", keys=keys, order=order, bucket_seconds=bucket_seconds
-    )
-    home = F.floor(F.col("_position") / F.lit(block_rows)).cast("long")
-    reaches_next = F.col("_position") % block_rows >= block_rows - preceding
-    copies = placed.withColumn(
-        "_block", F.explode(F.when(reaches_next, F.array(home, home + 1)).otherwise(F.array(home)))
+    if not must_split(df, keys, split):
+        built = build(W.partitionBy(*keys).orderBy(order))
+        return df.withColumns(built)
+    rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
+    end = "_offset + _count"
+    homes = [f"_offset DIV {block_rows}L", f"({end}) DIV {block_rows}L",
+             f"({end} + {max(preceding - 1, 0)}) DIV {block_rows}L"]
+    # The bucket's own block, the one starting right after it, and the last one that a row
+    # of this bucket can still precede by no more than `preceding` rows.
+    blocks = (
+        _offsets(rows, keys)
+        .selectExpr(*keys, "_bucket", f"{homes[0]} AS _home",
+                    f"explode(array_distinct(array({', '.join(homes)}))) AS _block")
+        .selectExpr(*keys, "_bucket", "_block", "_block = _home AS _own")
     )
-    window = W.partitionBy(*keys, "_block").orderBy("_position")
-    built = build(window)
-    kept = [c for c in df.columns if c not in built]
+    window = W.partitionBy(*keys, "_block").orderBy(order)
+    return _built(rows.join(blocks, [*keys, "_bucket"]), df.columns, build(window))
+
+
+def _built(copies: DataFrame, columns: Sequence[str], built: dict[str, Column]) -> DataFrame:
+    """Evaluate window columns over all copies of the rows, then keep each row's own one."""
+    kept = [c for c in columns if c not in built]
     return (
-        copies.select(
-            *kept, *[c.alias(n) for n, c in built.items()], (home == F.col("_block")).alias("_own")
-        )
+        copies.select(*kept, *[c.alias(n) for n, c in built.items()], "_own")
         .filter("_own")
-        .select(*_ordered(df.columns, built))
+        .select(*_ordered(columns, built))
     )
 
 
@@ -115,7 +147,7 @@ def over_time(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = WEEK,
+    bucket_seconds: int = SPAN,
 ) -> DataFrame:
     """Add window columns framed by elapsed time, reaching back ``preceding_seconds``.
 
@@ -125,24 +157,14 @@ def over_time(
     if bucket_seconds < preceding_seconds:
         raise ValueError("bucket_seconds must be at least preceding_seconds")
     rows = df.withColumn("_seconds", epoch_seconds(order))
-    home = F.floor(F.col("_seconds") / F.lit(bucket_seconds)).cast("long")
-    reaches_next = (
-        F.pmod(F.col("_seconds"), F.lit(bucket_seconds)) >= bucket_seconds - preceding_seconds
-    )
-    copies = rows.withColumn(
-        "_block", F.explode(F.when(reaches_next, F.array(home, home + 1)).otherwise(F.array(home)))
-    )
+    home = f"floor(_seconds / {bucket_seconds})"
+    reaches_next = f"pmod(_seconds, {bucket_seconds}L) >= {bucket_seconds - preceding_seconds}"
+    copies = rows.selectExpr(
+        "*", f"{home} AS _home",
+        f"explode(if({reaches_next}, array({home}, {home} + 1), array({home}))) AS _block",
+    ).withColumn("_own", F.coalesce(F.expr("_block = _home"), F.lit(True)))
     window = W.partitionBy(*keys, "_block").orderBy("_seconds")
-    built = build(window)
-    kept = [c for c in df.columns if c not in built]
-    return (
-        copies.select(
-            *kept, *[c.alias(n) for n, c in built.items()],
-            F.coalesce(home == F.col("_block"), F.lit(True)).alias("_own"),
-        )
-        .filter("_own")
-        .select(*_ordered(df.columns, built))
-    )
+    return _built(copies, df.columns, build(window))
 
 
 def bucket_edges(
@@ -179,31 +201,41 @@ def fill(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = WEEK,
+    bucket_seconds: int = SPAN,
+    split: bool | None = None,
 ) -> DataFrame:
     """Replace NULLs by neighbouring values of the series, however far away.
 
     ``how`` is ``forward``, ``backward`` or ``both`` (forward, then backward for the rest).
     """
-    rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
-    joined = rows.join(bucket_edges(rows, columns, keys, order), [*keys, "_bucket"])
-    bucket = W.partitionBy(*keys, "_bucket")
-    past = bucket.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    future = bucket.orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
+    if how not in ("forward", "backward", "both"):
+        raise ValueError(f"unknown direction {how!r}")
+    cut = must_split(df, keys, split)
+    if cut:
+        rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
+        rows = rows.join(bucket_edges(rows, columns, keys, order), [*keys, "_bucket"])
+        span = W.partitionBy(*keys, "_bucket")
+    else:
+        rows, span = df, W.partitionBy(*keys)
+    past = span.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    future = span.orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
+    whole = span.orderBy(order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
 
     def filled(c: str) -> Column:
-        forward = [F.last(c, ignorenulls=True).over(past), F.col(f"_prev_{c}")]
-        if how == "forward":
-            return F.coalesce(*forward)
         if how == "backward":
-            return F.coalesce(F.last(c, ignorenulls=True).over(future), F.col(f"_next_{c}"))
+            near = [F.last(c, ignorenulls=True).over(future)]
+            far = [f"_next_{c}"]
+        else:
+            near = [F.last(c, ignorenulls=True).over(past)]
+            far = [f"_prev_{c}"]
         if how == "both":
             # What the forward fill leaves open precedes the first known value.
-            return F.coalesce(*forward, F.col(f"_head_{c}"))
-        raise ValueError(f"unknown direction {how!r}")
+            near += [] if cut else [F.first(c, ignorenulls=True).over(whole)]
+            far += [f"_head_{c}"]
+        return F.coalesce(*near, *[F.col(x) for x in far if cut])
 
     wanted = set(columns)
-    return joined.select(*[filled(c).alias(c) if c in wanted else c for c in df.columns])
+    return rows.select(*[filled(c).alias(c) if c in wanted else c for c in df.columns])
 
 
 def rank_cuts(
@@ -212,7 +244,7 @@ def rank_cuts(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = WEEK,
+    bucket_seconds: int = SPAN,
 ) -> DataFrame:
     """Per series, the ``order`` value found at given 0-based ranks.
 

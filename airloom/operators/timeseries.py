@@ -12,7 +12,7 @@ from airloom.functions.expr import numeric_columns
 from airloom.operators.attach import with_literals
 from airloom.operators.quantiles import exact_quantiles
 from airloom.operators.series import (
-    BLOCK_ROWS, WEEK, fill, over_rows, over_time, rank_cuts, with_position,
+    BLOCK_ROWS, SPAN, fill, over_rows, over_time, rank_cuts, with_position,
 )
 from airloom.schemas import AQI_LAGS
 from airloom.session import materialize
@@ -95,13 +95,15 @@ def add_lags(
     order: str = "ts",
     prefix: str = "aqi_lag_",
     block_rows: int = BLOCK_ROWS,
-    bucket_seconds: int = WEEK,
+    bucket_seconds: int = SPAN,
+    split: bool | None = None,
 ) -> DataFrame:
     """Earlier values of ``target``: k rows ago, or exactly k hours ago."""
     if by == "rows":
         return over_rows(
             df, lambda w: {f"{prefix}{k}": F.lag(target, k).over(w) for k in lags}, max(lags),
             keys=keys, order=order, block_rows=block_rows, bucket_seconds=bucket_seconds,
+            split=split,
         )
     if by != "time":
         raise ValueError(f"unknown lag unit {by!r}")
@@ -138,7 +140,7 @@ def sequence_windows(
 
 def chrono_split(
     df: DataFrame, train_share: float = 0.8, *, keys: Sequence[str] = ("city",),
-    order: str = "ts", name: str = "is_train", bucket_seconds: int = WEEK,
+    order: str = "ts", name: str = "is_train", bucket_seconds: int = SPAN,
 ) -> DataFrame:
     """Flag the first ``int(n * train_share)`` rows of each series as training rows.
 
@@ -156,7 +158,7 @@ def chrono_split(
 
 def cv_folds(
     df: DataFrame, splits: int = 5, *, keys: Sequence[str] = ("city",), order: str = "ts",
-    name: str = "fold", bucket_seconds: int = WEEK,
+    name: str = "fold", bucket_seconds: int = SPAN,
 ) -> DataFrame:
     """Expanding-window cross-validation: fold k tests on its rows and trains on lower folds.
 

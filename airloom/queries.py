@@ -48,6 +48,11 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
     return joins.with_category(fx.aqi_predictions(spark, d), "predicted_aqi")
 
 
+def daily(spark: SparkSession, d: str) -> DataFrame:
+    """The many-series table, stored because the operators on it scan it several times."""
+    return materialize(fx.readings_scale(spark, d))
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -223,9 +228,9 @@ def nearest_join(spark, d):
 @query
 def nearest_join_tolerance(spark, d):
     """Line items against the dense half of the daily series, at most two days apart."""
-    daily = fx.readings_scale(spark, d)
+    rows = daily(spark, d)
     return joins.nearest_join(
-        daily.select("city", "ts"), daily.filter("us_aqi IS NOT NULL").select("city", "ts", "us_aqi"),
+        rows.select("city", "ts"), rows.filter("us_aqi IS NOT NULL").select("city", "ts", "us_aqi"),
         tolerance_seconds=2 * 86400)
 
 
@@ -273,8 +278,8 @@ def zscore_filter(spark, d):
 
 @query
 def zscore_many_series(spark, d):
-    df = fx.readings_scale(spark, d).na.fill(0.0)
-    return outliers.zscore_filter(df, ["pm2_5", "temp", "humidity"])
+    df = daily(spark, d).na.fill(0.0)
+    return outliers.zscore_filter(df, ["pm2_5", "temp", "humidity"], stored=True)
 
 
 @query
@@ -298,7 +303,7 @@ def aqi_lags(spark, d):
 
 @query
 def aqi_lags_many_series(spark, d):
-    return tsop.add_lags(fx.readings_scale(spark, d).select("city", "ts", "us_aqi"))
+    return tsop.add_lags(daily(spark, d).select("city", "ts", "us_aqi"))
 
 
 @query
@@ -320,17 +325,17 @@ def sequence_windows(spark, d):
 
 @query
 def chrono_split(spark, d):
-    return tsop.chrono_split(fx.readings_scale(spark, d).select("city", "ts"))
+    return tsop.chrono_split(daily(spark, d).select("city", "ts"))
 
 
 @query
 def cv_folds(spark, d):
-    return tsop.cv_folds(fx.readings_scale(spark, d).select("city", "ts"))
+    return tsop.cv_folds(daily(spark, d).select("city", "ts"))
 
 
 @query
 def row_positions(spark, d):
-    return tsop.with_position(fx.readings_scale(spark, d).select("city", "ts"), total="n")
+    return tsop.with_position(daily(spark, d).select("city", "ts"), total="n")
 
 
 @query
@@ -424,20 +429,20 @@ _PROFILED = ["temp", "humidity", "pressure", "pm2_5", "us_aqi", "source"]
 
 @query
 def feature_profile(spark, d):
-    out = stats.feature_profile(joined(spark, d).select("city", "ts", *_PROFILED))
+    out = stats.feature_profile(materialize(joined(spark, d).select("city", "ts", *_PROFILED)))
     return rounded(out, "mean", "std", "min", "max", "median")
 
 
 @query
 def feature_profile_by_city(spark, d):
-    out = stats.feature_profile(
-        joined(spark, d).select("city", "ts", "temp", "us_aqi"), keys=("city",))
+    rows = materialize(joined(spark, d).select("city", "ts", "temp", "us_aqi"))
+    out = stats.feature_profile(rows, keys=("city",))
     return rounded(out, "mean", "std", "min", "max", "median")
 
 
 @query
 def describe(spark, d):
-    out = stats.describe(fx.readings_scale(spark, d))
+    out = stats.describe(daily(spark, d))
     return rounded(out, "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -484,7 +489,8 @@ def hist_predicted(spark, d):
 
 @query
 def box_summary(spark, d):
-    out = stats.box_summary(joined(spark, d), schemas.OUTLIER_COLUMNS)
+    rows = materialize(joined(spark, d).select(*schemas.OUTLIER_COLUMNS))
+    out = stats.box_summary(rows, schemas.OUTLIER_COLUMNS)
     return rounded(out, "q25", "q50", "q75", "whisker_low", "whisker_high")
 
 
@@ -581,7 +587,7 @@ def model_status(spark, d):
 
 @query
 def metadata_merge(spark, d):
-    profile = stats.feature_profile(joined(spark, d).select("city", "ts", *_PROFILED))
+    profile = stats.feature_profile(materialize(joined(spark, d).select("city", "ts", *_PROFILED)))
     new = rounded(profile.select("feature_name", "count", "null_count", "mean", "median"), "mean", "median")
     return merge_columns(schemas.feature_dim(spark), new, key="feature_name")
 
