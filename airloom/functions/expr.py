@@ -149,6 +149,18 @@ def round1(c: Column | str) -> Column:
     return F.bround(_col(c), 1)
 
 
+# --- aggregates -----------------------------------------------------------------------
+
+def sample_std(c: Column | str) -> Column:
+    """Sample standard deviation that is exactly 0 for a constant column.
+
+    Merging partial variances rounds, which would leave a constant with a tiny spread.
+    """
+    c = _col(c)
+    constant = (F.min(c) == F.max(c)) & (F.count(c) > 1)
+    return F.when(constant, F.lit(0.0)).otherwise(F.stddev_samp(c))
+
+
 # --- row filters ----------------------------------------------------------------------
 
 def drop_missing(df: DataFrame, *columns: str) -> DataFrame:

@@ -46,17 +46,20 @@ def zscore_filter(
     def kept(count: int) -> str:
         return " AND ".join(["true", *[f"(NOT _apply{i} OR {fits(i)})" for i in range(count)]])
 
-    def judged(i: int, mean: str, std: str) -> list[str]:
+    def judged(i: int, mean: str, spread: str) -> list[str]:
         """State of column i: statistics, and whether they can be used. An unusable std
         becomes NULL, which keeps the division by it defined."""
-        usable = f"coalesce(_rows >= {min_rows} AND {std} <> 0 AND NOT isnan({std}), false)"
-        return [f"{mean} AS _mean{i}", f"if({usable}, {std}, NULL) AS _std{i}", f"{usable} AS _usable{i}"]
+        usable = f"coalesce(_rows >= {min_rows} AND {spread} <> 0 AND NOT isnan({spread}), false)"
+        return [f"{mean} AS _mean{i}", f"if({usable}, {spread}, NULL) AS _std{i}", f"{usable} AS _usable{i}"]
+
+    def std(value: str) -> str:
+        return f"if(min({value}) = max({value}), 0D, stddev_samp({value}))"
 
     first = f"`{columns[0]}`"
     state = materialize(
         slim.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), F.expr(f"avg({first}) AS _m"),
-             F.expr(f"stddev_samp({first}) AS _s"))
+             F.expr(f"{std(first)} AS _s"))
         .selectExpr(*keys, "_rows", *judged(0, "_m", "_s"))
     )
     groups = state.count() if keys else 1
@@ -68,8 +71,8 @@ def zscore_filter(
             following = f"`{columns[i + 1]}`"
             cut = f"CASE WHEN {fits(i)} THEN {following} END"
             aggs += [
-                f"avg({following}) AS _mean_skip", f"stddev_samp({following}) AS _std_skip",
-                f"avg({cut}) AS _mean_cut", f"stddev_samp({cut}) AS _std_cut",
+                f"avg({following}) AS _mean_skip", f"{std(following)} AS _std_skip",
+                f"avg({cut}) AS _mean_cut", f"{std(cut)} AS _std_cut",
             ]
         rows = attach(slim, state, keys, salt_on=columns, table_rows=groups).filter(kept(i))
         decided = rows.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr(

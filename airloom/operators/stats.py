@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from airloom.functions.expr import aqi_category, numeric_columns, round1
+from airloom.functions.expr import aqi_category, numeric_columns, round1, sample_std
 from airloom.operators.attach import with_literals
 from airloom.operators.quantiles import approx_quantiles, exact_quantiles
 from airloom.operators.timeseries import last_rows
@@ -91,7 +91,7 @@ def recent_trend(
         "_back", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))
     )
     stats = ranked.groupBy(*keys).agg(
-        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.avg(value).alias("mean"), sample_std(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"),
         F.max_by(value, order).alias("latest"),
         F.avg(F.when(F.col("_back") <= recent, F.col(value))).alias("mean_recent"),
@@ -141,7 +141,7 @@ def feature_profile(
     for c in numeric:
         value = F.col(c).cast("double")
         aggs += [
-            F.avg(value).alias(f"mean:{c}"), F.stddev_samp(value).alias(f"std:{c}"),
+            F.avg(value).alias(f"mean:{c}"), sample_std(value).alias(f"std:{c}"),
             F.min(value).alias(f"min:{c}"), F.max(value).alias(f"max:{c}"),
         ]
     wide = df.groupBy(*keys).agg(*aggs)
@@ -166,7 +166,7 @@ def describe(
         value = F.col(c).cast("double")
         aggs += [
             F.count(value).alias(f"count:{c}"), F.avg(value).alias(f"mean:{c}"),
-            F.stddev_samp(value).alias(f"std:{c}"), F.min(value).alias(f"min:{c}"),
+            sample_std(value).alias(f"std:{c}"), F.min(value).alias(f"min:{c}"),
             F.max(value).alias(f"max:{c}"),
         ]
     quartiles = _quantile_frame(df, columns, [0.25, 0.5, 0.75], keys, approx)
@@ -199,7 +199,7 @@ def aqi_stats(
     """Whole-table statistics of one column with the covered time range."""
     stats = df.agg(
         F.count(F.lit(1)).alias("n"), F.min(order).alias("first_ts"), F.max(order).alias("last_ts"),
-        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.avg(value).alias("mean"), sample_std(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"),
     )
     median = _quantile_frame(df, [value], [0.5], (), approx)
@@ -273,7 +273,7 @@ def _correlation(a: str, b: str) -> Column:
     """Pearson correlation over the rows where both are known; NULL if either is constant."""
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
     x_paired, y_paired = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    spread = F.stddev_samp(x_paired) * F.stddev_samp(y_paired)
+    spread = sample_std(x_paired) * sample_std(y_paired)
     return F.try_divide(F.covar_samp(x, y), spread)
 
 
@@ -294,7 +294,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         df.select(F.inline(pairs)).filter("x IS NOT NULL AND y IS NOT NULL")
         .groupBy("i", "j")
         .agg(F.covar_samp("x", "y").alias("cov"),
-             F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy"))
+             sample_std("x").alias("sx"), sample_std("y").alias("sy"))
         .select("i", "j", F.try_divide("cov", F.col("sx") * F.col("sy")).alias("r"))
     )
     # Two copies of at most n(n+1)/2 rows; pairs without common rows come back as NULL.
@@ -333,9 +333,10 @@ def regression_metrics(
     constant actual."""
     both = df.filter(F.col(predicted).isNotNull() & F.col(actual).isNotNull())
     error = F.col(predicted) - F.col(actual)
+    varies = F.min(actual) != F.max(actual)
     return both.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        (1 - F.try_divide(
+        F.when(varies, 1 - F.try_divide(
             F.sum(error * error), F.var_pop(actual) * F.count(actual))).alias("r2"),
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
