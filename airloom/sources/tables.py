@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from airloom.session import materialize
 
 MONTH = "yyyy-MM"
+PART = "part_month"  # not a feature name: `month` is one
 
 
 def latest_by_key(
@@ -94,7 +95,7 @@ class Table:
         reader = self.spark.read
         if self.schema is not None:
             stored = T.StructType([*self.schema])
-            reader = reader.schema(stored.add("month", "string") if self.monthly else stored)
+            reader = reader.schema(stored.add(PART, "string") if self.monthly else stored)
         return reader.parquet(self.path)
 
     def read(self, since=None, until=None) -> DataFrame:
@@ -114,8 +115,8 @@ class Table:
             df = df.filter(F.col(self.order) < at if below else F.col(self.order) >= at)
             if self.monthly:
                 month = F.date_format(at, MONTH)
-                df = df.filter(F.col("month") <= month if below else F.col("month") >= month)
-        return df.drop("month") if self.monthly else df
+                df = df.filter(F.col(PART) <= month if below else F.col(PART) >= month)
+        return df.drop(PART) if self.monthly else df
 
     def overwrite(self, df: DataFrame) -> DataFrame:
         """Replace the whole content; ``df`` must not read this table."""
@@ -127,10 +128,10 @@ class Table:
             df.write.mode("overwrite").parquet(self.path)
             return
         # Rebalancing splits large months over several tasks and merges small remainders.
-        dated = df.withColumn("month", F.date_format(self.order, MONTH)).hint("rebalance", "month")
+        dated = df.withColumn(PART, F.date_format(self.order, MONTH)).hint("rebalance", PART)
         dated.write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic" if dynamic else "static"
-        ).partitionBy("month").parquet(self.path)
+        ).partitionBy(PART).parquet(self.path)
 
     def upsert(
         self, new: DataFrame, *, keys: Sequence[str] = ("city", "ts"), seq: str | None = None
@@ -144,9 +145,9 @@ class Table:
             return self.overwrite(upsert(None, new, keys=keys, seq=seq))
         if not self.monthly:
             return self.overwrite(materialize(upsert(self.read(), new, keys=keys, seq=seq)))
-        touched = new.select(F.date_format(self.order, MONTH).alias("month")).distinct()
-        months = [r["month"] for r in touched.collect()]  # bounded by the covered time range
-        old = self._scan().filter(F.col("month").isin(months)).drop("month")
+        touched = new.select(F.date_format(self.order, MONTH).alias(PART)).distinct()
+        months = [r[PART] for r in touched.collect()]  # bounded by the covered time range
+        old = self._scan().filter(F.col(PART).isin(months)).drop(PART)
         self._write(upsert(old, new, keys=keys, seq=seq), dynamic=True)
         return self.read()
 

@@ -72,14 +72,14 @@ def test_monthly_table_rewrites_only_touched_months(spark, tmp_path):
     table = Table(spark, str(tmp_path / "t"), schema, monthly=True)
     assert table.read().count() == 0 and table.is_empty()
     table.upsert(spark.createDataFrame([reading("a", 0, 1.0), reading("a", 0, 3.0, month=2)], DDL))
-    january = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "month=2024-01").iterdir()}
+    january = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "part_month=2024-01").iterdir()}
     table.upsert(spark.createDataFrame([reading("a", 0, 4.0, month=2), reading("a", 1, 5.0, month=3)], DDL))
-    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "month=2024-01").iterdir()} == january
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "part_month=2024-01").iterdir()} == january
     assert sorted(r["temp"] for r in table.read().collect()) == [1.0, 4.0, 5.0]
     since = table.read(since="2024-02-01 00:00:00", until="2024-03-01 00:00:00")
     assert [r["temp"] for r in since.collect()] == [4.0]
     plan = since._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan
+    assert "PartitionFilters: [isnotnull(part_month" in plan
     assert table.lookup(temp=5.0).count() == 1
     assert [r["temp"] for r in table.overwrite(spark.createDataFrame([reading("z", 0, 8.0)], DDL)).collect()] == [8.0]
 
