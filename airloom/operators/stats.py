@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -277,39 +280,77 @@ def _correlation(a: str, b: str) -> Column:
     return F.try_divide(F.covar_samp(x, y), spread)
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """All pairwise correlations in long form (col_a, col_b, r), each pair in both orders.
+_MOMENTS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _pair_moments(shift: list[float]):
+    """Per task, the pairwise-complete moments of all column pairs as masked products."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        width = len(shift)
+        total = np.zeros((4, width, width))
+        for batch in batches:
+            x = batch.to_numpy(dtype="float64") - np.array(shift)
+            known = ~np.isnan(x)
+            x[~known] = 0.0
+            mask = known.astype("float64")
+            total += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        n, sx, sxx, sxy = total
+        i, j = np.triu_indices(width)
+        yield pd.DataFrame({
+            "i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "sx": sx[i, j],
+            "sy": sx[j, i], "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j],
+        })
 
-    One scan. Rows are expanded to their column pairs and aggregated map-side, which keeps
-    the generated aggregation code the same size for any number of columns.
+    return run
+
+
+def _correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], float | None]:
+    """Correlation of every column pair; the result is as small as the matrix itself.
+
+    One pass finds constant columns and the means, a second one sums the moments around the
+    means, one matrix product per batch. Pairs that are nearly constant on their common
+    rows are settled by exact aggregates.
     """
-    columns = list(columns or numeric_columns(df))
-    ids = {c: i for i, c in enumerate(columns)}
-    values = [F.col(c).cast("double") for c in columns]
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), values[i].alias("x"), values[j].alias("y"))
-        for i in ids.values() for j in range(i, len(columns))
-    ])
-    moments = (
-        df.select(F.inline(pairs)).filter("x IS NOT NULL AND y IS NOT NULL")
-        .groupBy("i", "j")
-        .agg(F.covar_samp("x", "y").alias("cov"),
-             sample_std("x").alias("sx"), sample_std("y").alias("sy"))
-        .select("i", "j", F.try_divide("cov", F.col("sx") * F.col("sy")).alias("r"))
-    )
-    # Two copies of at most n(n+1)/2 rows; pairs without common rows come back as NULL.
-    both = moments.select(
-        F.inline(F.array(
-            F.struct(F.col("i").alias("a"), F.col("j").alias("b"), "r"),
-            F.struct(F.col("j").alias("a"), F.col("i").alias("b"), "r"),
-        ))
-    ).groupBy("a", "b").agg(F.max("r").alias("r"))
-    spark = df.sparkSession
-    names = spark.createDataFrame(
-        [(i, j, a, b) for a, i in ids.items() for b, j in ids.items()],
-        "a int, b int, col_a string, col_b string",
+    found: dict[tuple[str, str], float | None] = {}
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    range_of = data.agg(*[
+        a for i, c in enumerate(columns) for a in (
+            F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.avg(c).alias(f"mean{i}"))
+    ]).first()
+    varying = [c for i, c in enumerate(columns) if range_of[f"lo{i}"] != range_of[f"hi{i}"]]
+    if not varying:
+        return found
+    shift = [range_of[f"mean{columns.index(c)}"] for c in varying]
+    sums = (
+        data.select(*varying).mapInPandas(_pair_moments(shift), _MOMENTS)
+        .groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
-    return names.join(F.broadcast(both), ["a", "b"], "left").select("col_a", "col_b", "r")
+    doubtful = []
+    for m in sums.collect():  # one row per column pair
+        pair = varying[m["i"]], varying[m["j"]]
+        n = m["n"]
+        vx, vy = n * m["sxx"] - m["sx"] ** 2, n * m["syy"] - m["sy"] ** 2
+        if n < 2:
+            continue
+        if vx <= 1e-9 * n * m["sxx"] or vy <= 1e-9 * n * m["syy"]:
+            doubtful.append(pair)
+            continue
+        r = (n * m["sxy"] - m["sx"] * m["sy"]) / math.sqrt(vx * vy)
+        found[pair] = max(-1.0, min(1.0, r))
+    if doubtful:
+        exact = data.agg(*[_correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(doubtful)]).first()
+        found.update({pair: exact[f"r{i}"] for i, pair in enumerate(doubtful)})
+    found.update({(b, a): r for (a, b), r in list(found.items())})
+    return found
+
+
+def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """All pairwise correlations in long form (col_a, col_b, r), each pair in both orders.
+    A constant column has none, not even with itself."""
+    columns = list(columns or numeric_columns(df))
+    found = _correlations(df, columns)
+    rows = [(a, b, found.get((a, b))) for a in columns for b in columns]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def corr_target(
@@ -317,8 +358,9 @@ def corr_target(
 ) -> DataFrame:
     """Correlation of every numeric column with the target, highest first."""
     columns = list(columns or numeric_columns(df))
-    wide = df.agg(*[_correlation(c, target).alias(f"r:{c}") for c in columns])
-    return _unpivot(wide, columns, {"r": "double"}, (), "column_name").orderBy(
+    found = _correlations(df, list(dict.fromkeys([*columns, target])))
+    rows = [(c, found.get((c, target))) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "column_name string, r double").orderBy(
         F.desc_nulls_last("r"), "column_name"
     )
 

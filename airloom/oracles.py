@@ -275,6 +275,23 @@ def oracle_sql() -> dict[str, str]:
            CASE WHEN extract(day FROM ts) % 2 = 1 THEN clouds END AS clouds
            FROM (SELECT *, row_number() OVER (PARTITION BY city, CAST(ts AS DATE) ORDER BY ts) AS i
                  FROM weather_hourly) x""", "weather_hourly")
+    def payload_rows(source, cut, absent, names):
+        arms = [f"CASE WHEN i <= {cut[n]} THEN {n} END AS {n}" if n in cut else
+                f"CASE WHEN extract(day FROM ts) % 2 = 1 THEN {n} END AS {n}" if n == absent else n
+                for n in names]
+        return f"""SELECT city, ts, {', '.join(arms)} FROM (SELECT *, row_number() OVER (
+            PARTITION BY city, CAST(ts AS DATE) ORDER BY ts) AS i FROM {source}) x"""
+    place = "27.7::DOUBLE AS lat, 68.9::DOUBLE AS lon"
+    q["weather_files"] = with_views(
+        f"SELECT *, {place}, 'open-meteo-forecast' AS source FROM ("
+        + payload_rows("weather_hourly", {"humidity": 12}, "clouds", WEATHER_MEASURES) + ") p", "weather_hourly")
+    q["aqi_files"] = with_views(
+        f"SELECT *, {place}, 'open-meteo-archive' AS source FROM ("
+        + payload_rows("raw_aqi", {"pm10": 5, "ozone": 20}, "us_aqi", AQI_MEASURES) + ") p", "raw_aqi")
+    q["time_coercion"] = """SELECT event_id, CASE WHEN event_id % 7 <> 0
+        THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS ts FROM events"""
+    q["rounding"] = "SELECT event_id, round_even(value, 1) AS value FROM events"
+    q["last_events"] = "SELECT event_id, ts, value FROM events ORDER BY ts DESC LIMIT 20"
     q["weather_upsert"] = with_views("SELECT * FROM raw_weather", "raw_weather")
     q["trailing_window"] = with_views(
         """SELECT city, ts, temp FROM raw_weather WHERE ts >= TIMESTAMP '2024-01-11 00:00:00'
@@ -491,6 +508,7 @@ def oracle_sql() -> dict[str, str]:
         """SELECT model_name, is_train, n, round(r2, 6) AS r2, round(mae, 6) AS mae, round(rmse, 6) AS rmse
            FROM quality""", "quality")
     q["model_comparison"] = with_views(_wide_quality(), "quality")
+    q["comparison_file"] = q["model_comparison"]
     q["model_melt"] = with_views(
         """SELECT model_name AS "Model", CASE WHEN is_train THEN 'R2 (Train)' ELSE 'R2 (Test)' END AS "Dataset",
            round(r2, 6) AS value FROM quality""", "quality")

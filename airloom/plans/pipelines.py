@@ -14,6 +14,7 @@ from airloom.ml.scoring import score_forecast
 from airloom.ml.training import TrainingPlan, train_models
 from airloom.operators.joins import merge_readings
 from airloom.operators.outliers import zscore_filter
+from airloom.operators.series import must_split
 from airloom.operators.stats import daily_summary, value_summary
 from airloom.operators.timeseries import fill_then_median
 from airloom.schemas import OUTLIER_COLUMNS
@@ -38,6 +39,8 @@ def clean(
     keys: Sequence[str] = ("city",), order: str = "ts", **series,
 ) -> DataFrame:
     """Join, repair, screen and augment readings."""
+    # A joined series is no longer than its weather series, which is cheap to count.
+    series["split"] = must_split(weather, keys, series.get("split"))
     joined = merge_readings(weather, aqi, keys=(*keys, order))
     indexed = joined.withColumn("us_aqi", fill_us_aqi())
     filled = fill_then_median(
@@ -97,7 +100,8 @@ def predict_aqi_forecast(
     if found is None:
         return None
     features = forecast_features(
-        weather, warehouse.raw_aqi.read(), keys=keys, order=order, **series
+        weather, warehouse.raw_aqi.read(), keys=keys, order=order,
+        **{"split": False, **series},  # at most `hours` rows per series
     )
     model, row = found
     rows = warehouse.predictions.overwrite(

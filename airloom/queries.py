@@ -63,31 +63,71 @@ def _work_path(spark: SparkSession, name: str) -> str:
 
 # --- sources --------------------------------------------------------------------------
 
-@query
-def columnar_json(spark, d):
-    """Decode per-city, per-day payloads built from the hourly rows, with a short humidity
-    array, no cloud array on even days and Z suffixes on odd hours."""
-    hours = fx.weather_hourly(spark, d).withColumn("day", F.to_date("ts"))
+def _daily_payloads(hours: DataFrame, fields: dict[str, str], cut: dict[str, int], absent: str) -> DataFrame:
+    """One JSON payload per city and day, built from hourly rows: the arrays in ``cut`` are
+    short, ``absent`` is missing on even days, and odd hours carry a Z suffix."""
     stamp = F.concat(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm"),
         F.when(F.hour("ts") % 2 == 1, F.lit("Z")).otherwise(F.lit("")),
     )
-    one_day = F.sort_array(F.collect_list(F.struct("ts", stamp.alias("stamp"), *schemas.WEATHER_MEASURES)))
-    days = hours.groupBy("city", "day").agg(one_day.alias("h"))  # at most 24 rows each
-    clouds = F.when(F.dayofmonth("day") % 2 == 1, F.col("h.clouds"))
-    payload = F.to_json(F.struct(
-        F.lit(27.7).alias("latitude"),
-        F.struct(
-            F.col("h.stamp").alias("time"), F.col("h.temp").alias("temperature_2m"),
-            F.slice("h.humidity", 1, 12).alias("relative_humidity_2m"),
-            F.col("h.pressure").alias("pressure_msl"), F.col("h.wind_speed").alias("wind_speed_10m"),
-            clouds.alias("cloud_cover"),
-        ).alias("hourly"),
-    ))
-    texts = days.select("city", payload.alias("payload"))
+    one_day = F.sort_array(F.collect_list(F.struct("ts", stamp.alias("stamp"), *fields.values())))
+    days = hours.groupBy("city", F.to_date("ts").alias("day")).agg(one_day.alias("h"))  # at most 24 rows
+
+    def values(wire: str, name: str):
+        if wire in cut:
+            return F.slice(f"h.{name}", 1, cut[wire])
+        if wire == absent:
+            return F.when(F.dayofmonth("day") % 2 == 1, F.col(f"h.{name}"))
+        return F.col(f"h.{name}")
+
+    hourly = F.struct(F.col("h.stamp").alias("time"), *[values(w, n).alias(w) for w, n in fields.items()])
+    return days.select("city", F.to_json(F.struct(
+        F.lit(27.7).alias("latitude"), hourly.alias("hourly"))).alias("payload"))
+
+
+_WEATHER_GAPS = {"cut": {"relative_humidity_2m": 12}, "absent": "cloud_cover"}
+_AQI_GAPS = {"cut": {"pm10": 5, "ozone": 20}, "absent": "us_aqi"}
+
+
+@query
+def columnar_json(spark, d):
+    """Payloads held as text in a column."""
+    texts = _daily_payloads(fx.weather_hourly(spark, d), schemas.WEATHER_FIELDS, **_WEATHER_GAPS)
     return feeds.decode_text(texts, "payload", schemas.WEATHER_FIELDS)
 
 
+def _landed(spark, payloads: DataFrame) -> str:
+    path = _work_path(spark, "landed")
+    payloads.write.partitionBy("city").text(path)
+    return path
+
+
+@query
+def weather_files(spark, d):
+    """Landed weather payload files, one folder per city."""
+    hours = fx.weather_hourly(spark, d)
+    path = _landed(spark, _daily_payloads(hours, schemas.WEATHER_FIELDS, **_WEATHER_GAPS))
+    read = feeds.read_weather_forecast(spark, path, F.col("city"), lon=68.9, multiline=False)
+    return read.drop("fetched_at")
+
+
+@query
+def aqi_files(spark, d):
+    """Landed pollutant payload files, one folder per city."""
+    path = _landed(spark, _daily_payloads(fx.raw_aqi(spark, d), schemas.AQI_FIELDS, **_AQI_GAPS))
+    read = feeds.read_aqi(spark, path, F.col("city"), lat=27.7, lon=68.9, multiline=False)
+    return read.drop("fetched_at")
+
+
+@query
+def time_coercion(spark, d):
+    """Event times as text, every seventh one broken."""
+    text = F.when(F.col("event_id") % 7 == 0, F.lit("not a time")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    events = spark.read.parquet(f"{d}/events.parquet")
+    return events.select("event_id", expr.coerce_time(text).alias("ts"))
+
+
 @query
 def weather_upsert(spark, d):
     return fx.raw_weather(spark, d)
@@ -135,6 +175,11 @@ def pm25_to_aqi_range_join(spark, d):
     return rounded(df.select("event_id", "aqi"), "aqi")
 
 
+@query
+def rounding(spark, d):
+    return _event_values(spark, d).select("event_id", expr.round1("value").alias("value"))
+
+
 @query
 def aqi_category(spark, d):
     return _event_values(spark, d).select(
@@ -348,6 +393,13 @@ def last_168(spark, d):
     return tsop.last_rows(fx.raw_aqi(spark, d).select("city", "ts", "us_aqi"), 168)
 
 
+@query
+def last_events(spark, d):
+    """The latest rows of a whole table."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_id", "ts", "value")
+    return tsop.last_rows(events, 20, keys=())
+
+
 @query
 def first_24_forecast(spark, d):
     return tsop.first_rows(predictions(spark, d).select("city", "ts", "aqi_category"), 24)
@@ -362,7 +414,8 @@ def forecast_144(spark, d):
 
 def _forecast_features(spark, d):
     return mlf.forecast_features(
-        mlf.forecast_weather(fx.raw_weather(spark, d), now()), fx.raw_aqi(spark, d))
+        mlf.forecast_weather(fx.raw_weather(spark, d), now()), fx.raw_aqi(spark, d),
+        split=False)  # at most 144 rows per series
 
 
 @query
@@ -574,6 +627,15 @@ def model_comparison(spark, d):
     return out.select("Model", *[F.round(f"`{c}`", 6).alias(c) for c in out.columns if c != "Model"])
 
 
+@query
+def comparison_file(spark, d):
+    """The comparison table written as CSV and read back."""
+    path = _work_path(spark, "comparison")
+    registry.comparison_rows(_model_rows(spark, d)).write.csv(path, header=True)
+    back = spark.read.schema(schemas.MODEL_COMPARISON).csv(path, header=True)
+    return back.select("Model", *[F.round(f"`{c}`", 6).alias(c) for c in back.columns if c != "Model"])
+
+
 @query
 def best_model(spark, d):
     best = registry.best_model(_model_rows(spark, d))
@@ -617,7 +679,7 @@ def score_forecast(spark, d):
     house, weather, aqi = _trained(spark, d, (training.RANDOM_FOREST,))
     models = registry.ModelRegistry(house)
     model, row = models.load(models.best())
-    feats = mlf.forecast_features(mlf.forecast_weather(weather, now()), aqi)
+    feats = mlf.forecast_features(mlf.forecast_weather(weather, now()), aqi, split=False)
     return scoring.score_forecast(feats, model, row["feature_names"], row["model_name"])
 
 
@@ -664,7 +726,7 @@ def stream_hourly(spark, d):
 def stream_upsert(spark, d):
     """Two landings of the weather log, each taken by an incremental run."""
     landing, progress = _work_path(spark, "landing"), _work_path(spark, "progress")
-    out = Table(spark, _work_path(spark, "raw_weather"))
+    out = Table(spark, _work_path(spark, "raw_weather"), monthly=True)
     log = materialize(fx.weather_feed(spark, d))
     for seq in (1, 2):
         log.filter(F.col("seq") == seq).write.mode("append").parquet(landing)

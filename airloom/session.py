@@ -18,6 +18,11 @@ def session(app: str = "airloom", master: str | None = None, **conf: str) -> Spa
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A window by (city, block) must not settle for rows that lie together by city alone.
+        "spark.sql.requireAllClusterKeysForDistribution": "true",
+        # Streaming state may exceed executor memory.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         **conf,
     }

@@ -39,8 +39,8 @@ def _with_origin(
     )
 
 
-def _read(spark, path, fields, city, source, lat, lon, fetched_at) -> DataFrame:
-    payloads = spark.read.schema(payload_schema(fields)).json(path, multiLine=True)
+def _read(spark, path, fields, city, source, lat, lon, fetched_at, multiline) -> DataFrame:
+    payloads = spark.read.schema(payload_schema(fields)).json(path, multiLine=multiline)
     city = F.lit(city) if isinstance(city, str) else city
     return _with_origin(
         decode_hourly(payloads, fields), fields, city, source, lat, lon, fetched_at
@@ -49,30 +49,31 @@ def _read(spark, path, fields, city, source, lat, lon, fetched_at) -> DataFrame:
 
 def read_weather_archive(
     spark: SparkSession, path: str, city: str | Column, *, lat: float | None = None,
-    lon: float | None = None, fetched_at: Column | None = None,
+    lon: float | None = None, fetched_at: Column | None = None, multiline: bool = True,
 ) -> DataFrame:
     """Landed weather-archive payloads as ``raw_weather`` rows.
 
     Coordinates default to those in the payload; ``city`` may be an expression, such as a
-    part of ``input_file_name()``.
+    partition column or a part of ``input_file_name()``. A file holds one payload, or one
+    per line with ``multiline=False``, in which case large files are split between tasks.
     """
-    return _read(spark, path, WEATHER_FIELDS, city, SOURCE_ARCHIVE, lat, lon, fetched_at)
+    return _read(spark, path, WEATHER_FIELDS, city, SOURCE_ARCHIVE, lat, lon, fetched_at, multiline)
 
 
 def read_weather_forecast(
     spark: SparkSession, path: str, city: str | Column, *, lat: float | None = None,
-    lon: float | None = None, fetched_at: Column | None = None,
+    lon: float | None = None, fetched_at: Column | None = None, multiline: bool = True,
 ) -> DataFrame:
     """Landed weather-forecast payloads as ``raw_weather`` rows."""
-    return _read(spark, path, WEATHER_FIELDS, city, SOURCE_FORECAST, lat, lon, fetched_at)
+    return _read(spark, path, WEATHER_FIELDS, city, SOURCE_FORECAST, lat, lon, fetched_at, multiline)
 
 
 def read_aqi(
     spark: SparkSession, path: str, city: str | Column, *, lat: float | None = None,
-    lon: float | None = None, fetched_at: Column | None = None,
+    lon: float | None = None, fetched_at: Column | None = None, multiline: bool = True,
 ) -> DataFrame:
     """Landed pollutant payloads as ``raw_aqi`` rows."""
-    return _read(spark, path, AQI_FIELDS, city, SOURCE_ARCHIVE, lat, lon, fetched_at)
+    return _read(spark, path, AQI_FIELDS, city, SOURCE_ARCHIVE, lat, lon, fetched_at, multiline)
 
 
 def decode_text(payloads: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from airloom.session import materialize
 from airloom.sources.tables import Table
 
 
@@ -22,7 +23,8 @@ def upsert_stream(
     the same as if it had run once.
     """
     def write(batch: DataFrame, _batch_id: int) -> None:
-        table.upsert(prepare(batch) if prepare else batch, keys=keys, seq=seq)
+        # Stored once: the upsert reads it more than once, the stream's plan should not run again.
+        table.upsert(materialize(prepare(batch) if prepare else batch), keys=keys, seq=seq)
 
     return (
         rows.writeStream.foreachBatch(write).outputMode(output_mode)

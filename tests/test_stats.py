@@ -72,6 +72,16 @@ def test_correlation_without_common_rows(spark):
     assert len(got) == 4
 
 
+def test_correlation_where_a_pair_is_constant(spark):
+    rows = [(1.1, 1.0, 5.0), (1.1, 2.0, 6.0), (1.1, 3.0, 5.5), (7.0, None, 9.0), (8.0, None, 9.5)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in stats.corr_matrix(df).collect()}
+    want = df.toPandas().corr()
+    assert got[("a", "b")] is None  # a does not vary where b is known
+    for a, b in (("a", "c"), ("b", "c"), ("b", "b")):
+        assert same(got[(a, b)], float(want.loc[a, b]))
+
+
 def test_histogram(data):
     pdf, df = data
     values = pdf.x.dropna()
