@@ -65,8 +65,7 @@ def zscore_filter(
     groups = state.count() if keys else 1
     for i in range(len(columns)):
         carried = [c for c in state.columns if c not in keys]
-        aggs = [f"any_value({c}) AS {c}" for c in carried]
-        aggs += ["count(1) AS _seen", f"count_if({fits(i)}) AS _fit"]
+        aggs = ["count(1) AS _seen", f"count_if({fits(i)}) AS _fit"]
         if i + 1 < len(columns):
             following = f"`{columns[i + 1]}`"
             cut = f"CASE WHEN {fits(i)} THEN {following} END"
@@ -75,7 +74,9 @@ def zscore_filter(
                 f"avg({cut}) AS _mean_cut", f"{std(cut)} AS _std_cut",
             ]
         rows = attach(slim, state, keys, salt_on=columns, table_rows=groups).filter(kept(i))
-        decided = rows.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr(
+        counted = rows.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
+        # The decision needs the group's earlier state: one more row-per-group join.
+        decided = attach(counted, state, keys, salt_on=keys, table_rows=groups).selectExpr(
             "*", f"_usable{i} AND _fit / _seen >= {float(min_keep)!r}D AS _apply{i}"
         )
         step = [*keys, *carried, f"_apply{i}"]

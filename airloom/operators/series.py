@@ -245,13 +245,26 @@ def rank_cuts(
     keys: Sequence[str] = ("city",),
     order: str = "ts",
     bucket_seconds: int = SPAN,
+    split: bool | None = None,
 ) -> DataFrame:
     """Per series, the ``order`` value found at given 0-based ranks.
 
-    ``ranks`` maps the series length to named ranks. Bucket counts tell which bucket holds
-    each rank, so only those buckets are sorted.
+    ``ranks`` maps the series length to named ranks. Only the key columns are shuffled. If
+    some series is too long for one task, bucket counts tell which bucket holds each rank
+    and only those buckets are sorted.
     """
-    rows = df.select(*keys, order).withColumn("_bucket", bucket_of(order, bucket_seconds))
+    rows = df.select(*keys, order)
+    if not must_split(rows, keys, split):
+        series = W.partitionBy(*keys)
+        ranked = rows.select(
+            *keys, order, (F.row_number().over(series.orderBy(order)) - 1).alias("_rank"),
+            F.count(F.lit(1)).over(series).alias("_total"),
+        )
+        return ranked.groupBy(*keys).agg(*[
+            F.max(F.when(F.col("_rank") == r, F.col(order))).alias(n)
+            for n, r in ranks(F.col("_total")).items()
+        ])
+    rows = rows.withColumn("_bucket", bucket_of(order, bucket_seconds))
     offsets = _offsets(rows, keys)
     named = ranks(F.col("_total"))
     targets = F.array(*[

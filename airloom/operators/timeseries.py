@@ -141,15 +141,16 @@ def sequence_windows(
 def chrono_split(
     df: DataFrame, train_share: float = 0.8, *, keys: Sequence[str] = ("city",),
     order: str = "ts", name: str = "is_train", bucket_seconds: int = SPAN,
+    split: bool | None = None,
 ) -> DataFrame:
     """Flag the first ``int(n * train_share)`` rows of each series as training rows.
 
-    Only the bucket around each cut is sorted; the rows themselves are not shuffled when
-    the cut table (one row per series) is small enough for the planner to broadcast.
+    Ranks are found on the key columns alone; the rows themselves are not shuffled when the
+    cut table (one row per series) is small enough for the planner to broadcast.
     """
     cuts = rank_cuts(
         df, lambda n: {"_cut": F.floor(n * F.lit(train_share))},
-        keys=keys, order=order, bucket_seconds=bucket_seconds,
+        keys=keys, order=order, bucket_seconds=bucket_seconds, split=split,
     )
     return _join_cuts(df, cuts, keys).select(
         *df.columns, (F.col(order) < F.col("_cut")).alias(name)
@@ -158,7 +159,7 @@ def chrono_split(
 
 def cv_folds(
     df: DataFrame, splits: int = 5, *, keys: Sequence[str] = ("city",), order: str = "ts",
-    name: str = "fold", bucket_seconds: int = SPAN,
+    name: str = "fold", bucket_seconds: int = SPAN, split: bool | None = None,
 ) -> DataFrame:
     """Expanding-window cross-validation: fold k tests on its rows and trains on lower folds.
 
@@ -172,7 +173,9 @@ def cv_folds(
             for k in range(1, splits + 1)
         }
 
-    cuts = rank_cuts(df, ranks, keys=keys, order=order, bucket_seconds=bucket_seconds)
+    cuts = rank_cuts(
+        df, ranks, keys=keys, order=order, bucket_seconds=bucket_seconds, split=split
+    )
     past = [
         F.coalesce((F.col(order) >= F.col(f"_cut{k}")).cast("int"), F.lit(0))
         for k in range(1, splits + 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -141,27 +143,29 @@ NON_FEATURES = (
 RUSH_HOURS = (7, 8, 9, 17, 18, 19)
 
 
+def _values(spark: SparkSession, rows: Sequence[Sequence], columns: str) -> DataFrame:
+    """Fixed rows as an inline table: no job, and a size the planner knows."""
+    def literal(v) -> str:
+        return f"double('{v!r}')" if isinstance(v, float) else "'" + str(v).replace("'", "\\'") + "'"
+
+    body = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({columns})")
+
+
 def breakpoint_dim(spark: SparkSession) -> DataFrame:
     """PM2.5 breakpoints as a seven-row table."""
-    rows = [(float(a), float(b), float(c), float(d)) for a, b, c, d in PM25_BREAKPOINTS]
-    return spark.createDataFrame(rows, "c_low double, c_high double, i_low double, i_high double")
+    rows = [tuple(map(float, row)) for row in PM25_BREAKPOINTS]
+    return _values(spark, rows, "c_low, c_high, i_low, i_high")
 
 
 def category_dim(spark: SparkSession) -> DataFrame:
     """Index categories as a six-row table; a category covers ``low < value <= high``."""
-    rows, low = [], float("-inf")
-    for high, name, color, zone, advice in AQI_CATEGORIES:
-        top = float("inf") if high is None else high
-        rows.append((low, top, name, color, zone, advice))
-        low = top
-    return spark.createDataFrame(
-        rows, "low double, high double, category string, color string, zone string, advice string"
-    )
+    tops = [float("inf") if row[0] is None else row[0] for row in AQI_CATEGORIES]
+    lows = [float("-inf"), *tops]
+    rows = [(low, top, *row[1:]) for low, top, row in zip(lows, tops, AQI_CATEGORIES)]
+    return _values(spark, rows, "low, high, category, color, zone, advice")
 
 
 def feature_dim(spark: SparkSession) -> DataFrame:
     """Descriptions of the nine registered features."""
-    return spark.createDataFrame(
-        REGISTERED_FEATURES,
-        "feature_name string, description string, data_type string, source string",
-    )
+    return _values(spark, REGISTERED_FEATURES, "feature_name, description, data_type, source")

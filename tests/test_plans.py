@@ -55,7 +55,7 @@ def test_split_window_never_partitions_rows_by_city_alone(daily):
 
 
 def test_chrono_split_sorts_keys_only(daily):
-    text = plan(tsop.chrono_split(daily))
+    text = plan(tsop.chrono_split(daily, split=True))
     sorts = [line for line in text.splitlines() if "Sort [" in line and "ts#" in line]
     assert sorts and all("_bucket" in line for line in sorts)
 

@@ -132,7 +132,8 @@ def test_positions(data, how):
 @pytest.mark.parametrize("bucket", [3600, DAY, 30 * DAY])
 def test_chrono_split_partitions_the_input(data, bucket):
     pdf, df = data
-    got = tsop.chrono_split(df, bucket_seconds=bucket)
+    got = tsop.chrono_split(df, bucket_seconds=bucket, split=True)
+    assert rows(got) == rows(tsop.chrono_split(df, split=False))
     n = pdf.groupby("city")["ts"].transform("size")
     want = pdf.assign(is_train=pdf.groupby("city").cumcount() < (n * 0.8).astype(int))
     assert_equals_pandas(got, want, ["is_train"])
@@ -149,7 +150,9 @@ def test_chrono_split_of_one_row_and_whole_table(spark, data):
 def test_cv_folds(spark, n):
     start = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([("a", start + dt.timedelta(hours=i)) for i in range(n)], "city string, ts timestamp_ntz")
-    got = [r["fold"] for r in tsop.cv_folds(df, bucket_seconds=DAY).orderBy("ts").collect()]
+    plain = [r["fold"] for r in tsop.cv_folds(df, split=False).orderBy("ts").collect()]
+    got = [r["fold"] for r in tsop.cv_folds(df, bucket_seconds=DAY, split=True).orderBy("ts").collect()]
+    assert plain == got
     size = n // 6
     want = [0] * (n - 5 * size) + [k for k in range(1, 6) for _ in range(size)]
     assert got == want
