@@ -33,6 +33,7 @@ class TrainingPlan:
     seed: int = 42
     scale: bool = False
     validation_share: float = 0.1
+    patience: int = 30
     models: tuple[str, ...] = (RANDOM_FOREST, XGBOOST, GRADIENT_BOOSTING)
     keys: tuple[str, ...] = ("city",)
     order: str = "ts"
@@ -48,11 +49,10 @@ def estimator(name: str, plan: TrainingPlan):
             numTrees=plan.forest_trees, maxDepth=8, minInstancesPerNode=8, **common
         )
     if name == XGBOOST:
-        # L1/L2 penalties have no counterpart; rounds stop on a tail slice of the training part.
+        # L1/L2 penalties have no counterpart.
         return GBTRegressor(
             maxIter=plan.xgb_rounds, maxDepth=4, stepSize=0.05, minInstancesPerNode=5,
-            minInfoGain=0.5, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-            validationIndicatorCol="is_validation", **common,
+            minInfoGain=0.5, subsamplingRate=0.8, featureSubsetStrategy="0.8", **common,
         )
     if name == GRADIENT_BOOSTING:
         return GBTRegressor(
@@ -62,6 +62,39 @@ def estimator(name: str, plan: TrainingPlan):
     raise ValueError(f"unknown model {name!r}")
 
 
+def best_round(errors: list[float], patience: int) -> int:
+    """Number of rounds up to the lowest error seen before ``patience`` rounds pass without
+    a new lowest one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit(name: str, data: DataFrame, plan: TrainingPlan):
+    """Fit one model on the training rows of an assembled frame.
+
+    The early-stopping model is fitted without the validation tail and, as Spark's own
+    stopping rule has no patience, fitted again with the best number of rounds; the same
+    seed gives the same leading trees.
+    """
+    train = data.filter("is_train")
+    made = estimator(name, plan)
+    if name != XGBOOST:
+        return made.fit(train)
+    fitting, validation = train.filter("NOT is_validation"), train.filter("is_validation")
+    full = made.fit(fitting)
+    if validation.isEmpty():
+        return full
+    rounds = best_round(full.evaluateEachIteration(validation, "squared"), plan.patience)
+    if rounds == full.getNumTrees:
+        return full
+    return made.copy({made.maxIter: rounds}).fit(fitting)
+
+
 def assembly(features: list[str], scale: bool = False) -> Pipeline:
     """Median imputation, vector assembly and, if asked for, standardisation."""
     filled = [f"{c}__filled" for c in features]
@@ -121,7 +154,7 @@ def train_models(
     slim = [*plan.keys, plan.order, plan.target, "is_train", "is_validation"]
     vectors = materialize(prepared.transform(data).select(*slim, "features"))
     for name in plan.models:
-        fitted = estimator(name, plan).fit(vectors.filter("is_train"))
+        fitted = fit(name, vectors, plan)
         metrics = evaluate(fitted.transform(vectors), plan.target)
         registry.register(
             name, PipelineModel(stages=[*prepared.stages, fitted]), metrics, names,

@@ -180,6 +180,27 @@ def test_align_features(spark):
     assert got.first()[2:] == (0.0, 0.0, 1.0)
 
 
+def test_best_round():
+    assert training.best_round([5, 4, 3, 3.5, 3.2, 2], 2) == 3  # stops before the later minimum
+    assert training.best_round([5, 4, 3, 3.5, 3.2, 2], 3) == 6
+    assert training.best_round([1.0], 30) == 1
+
+
+def test_early_stopping_refits_the_leading_trees(finished):
+    df = training.training_frame(finished[0].features.read(), PLAN)
+    names = ["temp", "ozone", "aqi_lag_1"]
+    data = training.assembly(names).fit(df).transform(df)
+    # The validation target is unrelated, so that further rounds stop helping.
+    noisy = data.withColumn("us_aqi", F.when(F.col("is_validation"), F.rand(1) * 100).otherwise(F.col("us_aqi")))
+    plan = training.TrainingPlan(xgb_rounds=12, patience=1)
+    stopped = training.fit(training.XGBOOST, noisy, plan)
+    full = training.estimator(training.XGBOOST, plan).fit(noisy.filter("is_train AND NOT is_validation"))
+    n = stopped.getNumTrees
+    assert n == training.best_round(full.evaluateEachIteration(noisy.filter("is_train AND is_validation"), "squared"), 1)
+    assert [t.toDebugString.split("\n")[1:] for t in stopped.trees] == [
+        t.toDebugString.split("\n")[1:] for t in full.trees[:n]]
+
+
 def test_scaler_stage(finished):
     df = finished[0].features.read().limit(50)
     scaled = training.assembly(["temp", "humidity"], scale=True).fit(df).transform(df)
