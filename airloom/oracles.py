@@ -241,8 +241,7 @@ def _preprocess() -> str:
     screened = _zscore(filled, OUTLIER_COLUMNS, ", ".join([keep, *MEASURES]))
     plain = ", ".join(m for m in MEASURES if m != "us_aqi")
     return f"""SELECT city, ts, {plain}, round(us_aqi, 6) AS us_aqi, {_calendar()},
-      round(temp * humidity, 6) AS temp_humidity_interaction,
-      round(wind_speed * pressure, 6) AS wind_pressure_interaction,
+      temp * humidity AS temp_humidity_interaction, wind_speed * pressure AS wind_pressure_interaction,
       round({_mean3('pm2_5')}, 6) AS pm2_5_rolling_3h, round({_mean3('temp')}, 6) AS temp_rolling_3h
       FROM ({screened}) s"""
 
@@ -320,8 +319,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT city, ts, round(coalesce(us_aqi, {_pm25('pm2_5')}), 6) AS us_aqi FROM raw_aqi", "raw_aqi")
     q["calendar_features"] = f"SELECT event_id, {_calendar()} FROM events"
     q["interactions"] = with_views(
-        """SELECT city, ts, round(temp * humidity, 6) AS temp_humidity_interaction,
-           round(wind_speed * pressure, 6) AS wind_pressure_interaction FROM raw_weather""", "raw_weather")
+        """SELECT city, ts, temp * humidity AS temp_humidity_interaction,
+           wind_speed * pressure AS wind_pressure_interaction FROM raw_weather""", "raw_weather")
     q["hourly_format"] = with_views(
         """SELECT city, strftime(ts, '%Y-%m-%d %H:00') AS hour_label, round(predicted_aqi, 6) AS predicted_aqi,
            aqi_category AS category FROM preds""", "preds")
@@ -417,11 +416,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, row_number() OVER ({_TOP[1]}) AS rn FROM forecast) x WHERE rn <= 144""", "forecast")
 
     # forecast features and preparation
-    near = ["temp_rolling_3h", "temp_humidity_interaction", "wind_pressure_interaction"]
     shown = ["city", "ts", "temp", "humidity", "pressure", "wind_speed", "hour", "day", "month", "day_of_week",
-             "is_weekend", "is_rush_hour", "pm2_5_rolling_3h", *_LAG_NAMES]
+             "is_weekend", "is_rush_hour", "pm2_5_rolling_3h", *_LAG_NAMES, "temp_humidity_interaction",
+             "wind_pressure_interaction"]
     q["forecast_features"] = with_views(
-        f"SELECT {', '.join(shown)}, {', '.join(f'round({c}, 6) AS {c}' for c in near)} FROM features",
+        f"SELECT {', '.join(shown)}, round(temp_rolling_3h, 6) AS temp_rolling_3h FROM features",
         "forecast", "raw_aqi", extra=_forecast_views())
     q["feature_align"] = with_views(
         """SELECT city, ts, coalesce(wind_speed, 0) AS wind_speed, 0.0::DOUBLE AS lat_weather,

@@ -210,7 +210,7 @@ def calendar_features(spark, d):
 def interactions(spark, d):
     df = fx.raw_weather(spark, d)
     made = expr.interactions(df.columns)
-    return df.select("city", "ts", *[F.round(c, 6).alias(n) for n, c in made.items()])
+    return df.select("city", "ts", *[c.alias(n) for n, c in made.items()])
 
 
 @query
@@ -422,7 +422,7 @@ def _forecast_features(spark, d):
 @query
 def forecast_features(spark, d):
     out = _forecast_features(spark, d).drop("clouds", "source")
-    return rounded(out, "temp_rolling_3h", "temp_humidity_interaction", "wind_pressure_interaction")
+    return rounded(out, "temp_rolling_3h")
 
 
 @query
@@ -434,8 +434,7 @@ def feature_align(spark, d):
 def preprocess(spark, d):
     """The whole preparation stage: join, index fill, gap fill, outlier filter, features."""
     out = pipelines.clean(fx.raw_weather(spark, d), fx.raw_aqi(spark, d)).drop("source")
-    return rounded(out, "us_aqi", "temp_humidity_interaction", "wind_pressure_interaction",
-                   "pm2_5_rolling_3h", "temp_rolling_3h")
+    return rounded(out, "us_aqi", "pm2_5_rolling_3h", "temp_rolling_3h")
 
 
 # --- aggregates -----------------------------------------------------------------------
