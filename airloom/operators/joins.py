@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from airloom.functions.expr import aqi_category
 from airloom.operators.series import SPAN, bucket_of, must_split
 from airloom.schemas import breakpoint_dim, category_dim
+from airloom.session import materialize
 
 
 def merge_readings(
@@ -108,9 +109,10 @@ def nearest_join(
         .groupBy(*keys, order)
         .agg(F.max("_known").alias("_known"), F.bool_or("_asked").alias("_asked"))
     )
-    if must_split(timeline, keys, split):
-        cut = timeline.withColumn("_bucket", bucket_of(order, bucket_seconds))
-        timeline = cut.join(_known_around(cut, keys), [*keys, "_bucket"])
+    # Counted before equal instants are merged: an upper bound that needs no shuffle by time.
+    if must_split(probes.select(*keys).unionByName(readings.select(*keys)), keys, split):
+        cut = materialize(timeline.withColumn("_bucket", bucket_of(order, bucket_seconds)))
+        timeline = cut.join(materialize(_known_around(cut, keys)), [*keys, "_bucket"])
         span = W.partitionBy(*keys, "_bucket")
         outside = {"_prev": [F.col("_before")], "_next": [F.col("_after")]}
     else:

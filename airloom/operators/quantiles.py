@@ -137,14 +137,18 @@ class _Search:
         self.state = stored.drop("_worst")
         return (stored.agg(F.max("_worst")).first()[0] or 0) if sizes else 0
 
-    def _aggregate(self, aggregates: list[str]) -> DataFrame:
-        """Aggregate the data per key, with the state columns carried along."""
-        carried = []
-        rows = self.data
-        if self.keys:
-            rows = attach(rows, self.state, self.keys, salt_on=self.columns)
-            carried = [f"any_value({c}) AS {c}" for c in self.state.columns if c not in self.keys]
-        return rows.groupBy(*self.keys).agg(*[F.expr(a) for a in [*carried, *aggregates]])
+    def _aggregate(self, aggregates: list[str], rows: DataFrame | None = None) -> DataFrame:
+        """Aggregate the data per key, beside the key's state."""
+        rows = self._rows() if rows is None else rows
+        made = rows.groupBy(*self.keys).agg(*[F.expr(a) for a in aggregates])
+        # Keys may have lost all rows to a filter.
+        return self.state.join(made, self.keys, "left") if self.keys else made
+
+    def _rows(self) -> DataFrame:
+        """The data with the state of its key."""
+        if not self.keys:
+            return self.data
+        return attach(self.data, self.state, self.keys, salt_on=self.columns)
 
     def _sizes(self) -> list[str]:
         return [f"{self.size(c)} AS _n_{i}" for i, c in enumerate(self.columns)]
@@ -237,15 +241,18 @@ class _Search:
     def whole_lists(self) -> DataFrame:
         """Quantiles from the sorted columns: no group has more than ``max_interior`` rows."""
         lists = self._aggregate([
-            f"sort_array(collect_list(`{c}`)) AS _list_{i}" for i, c in enumerate(self.columns)])
+            f"sort_array(collect_list(`{c}`)) AS _list_{i}" for i, c in enumerate(self.columns)],
+            self.data)
         return self._results(lists, lambda s, rank: (
             f"get(_list_{self.columns.index(s.column)}, CAST({rank} AS INT))"))
 
     def interior_lists(self) -> DataFrame:
         """Quantiles from the sorted interiors, each at most ``max_interior`` rows."""
+        hits = {s: f"(({self.open_rows(s)}) > 0 AND {self.inside(s)})" for s in self.slots}
+        rows = self._rows().filter(" OR ".join(f"coalesce({hit}, false)" for hit in hits.values()))
         lists = self._aggregate([
-            f"sort_array(collect_list(CASE WHEN ({self.open_rows(s)}) > 0 AND {self.inside(s)} "
-            f"THEN {s.value} END)) AS _list_{s.number}" for s in self.slots])
+            f"sort_array(collect_list(CASE WHEN {hit} THEN {s.value} END)) AS _list_{s.number}"
+            for s, hit in hits.items()], rows)
 
         def at(s: _Slot, rank: str) -> str:
             upto, length = self.get("upto", s), self.get("inside", s)

@@ -14,6 +14,9 @@ measured first: a count over the key columns, combined map-side. Beyond
 A bucket of 30 days holds 720 hourly readings; pass a shorter ``bucket_seconds`` for denser
 series, so that a bucket stays a comfortable amount of work for one task.
 
+The small tables are stored, so that the planner knows their size: within the broadcast
+threshold the rows are shuffled just once, beyond it they are joined by (city, bucket).
+
 ``split`` overrides the measurement: True always cuts, False never does. (keys, order)
 must identify a row, as it does after the keyed upsert.
 """
@@ -27,6 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airloom.functions.expr import epoch_seconds
+from airloom.session import materialize
 
 SPAN = 30 * 86400
 BLOCK_ROWS = 50_000
@@ -80,7 +84,7 @@ def with_position(
     rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
     in_bucket = W.partitionBy(*keys, "_bucket").orderBy(order)
     ranked = rows.withColumn("_rank", F.row_number().over(in_bucket) - 1)
-    placed = ranked.join(_offsets(rows, keys), [*keys, "_bucket"])
+    placed = ranked.join(materialize(_offsets(rows, keys)), [*keys, "_bucket"])
     extra = [F.col("_total").alias(total)] if total else []
     return placed.select(
         *df.columns, (F.col("_offset") + F.col("_rank")).alias(name), *extra
@@ -103,7 +107,6 @@ def over_rows(
     ``build`` gets the ordered window and returns the new columns. Bucket counts alone tell
     which buckets make up a block of about ``block_rows`` rows, and which earlier buckets
     hold the rows its first frames reach back to, however the series is spread over time.
-    Rows are shuffled once, by block; the bucket table joins them by measured size.
     """
     if block_rows < preceding:
         raise ValueError("block_rows must be at least the number of preceding rows")
@@ -116,7 +119,7 @@ def over_rows(
              f"({end} + {max(preceding - 1, 0)}) DIV {block_rows}L"]
     # The bucket's own block, the one starting right after it, and the last one that a row
     # of this bucket can still precede by no more than `preceding` rows.
-    blocks = (
+    blocks = materialize(
         _offsets(rows, keys)
         .selectExpr(*keys, "_bucket", f"{homes[0]} AS _home",
                     f"explode(array_distinct(array({', '.join(homes)}))) AS _block")
@@ -213,7 +216,8 @@ def fill(
     cut = must_split(df, keys, split)
     if cut:
         rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
-        rows = rows.join(bucket_edges(rows, columns, keys, order), [*keys, "_bucket"])
+        edges = materialize(bucket_edges(rows, columns, keys, order))
+        rows = rows.join(edges, [*keys, "_bucket"])
         span = W.partitionBy(*keys, "_bucket")
     else:
         rows, span = df, W.partitionBy(*keys)
@@ -270,7 +274,7 @@ def rank_cuts(
     targets = F.array(*[
         F.struct(F.lit(n).alias("name"), r.cast("long").alias("rank")) for n, r in named.items()
     ])
-    wanted = (
+    wanted = materialize(
         offsets.select(*keys, "_bucket", "_offset", "_count", F.explode(targets).alias("_t"))
         .filter("_t.rank >= _offset AND _t.rank < _offset + _count")
         .select(*keys, "_bucket", F.col("_t.name").alias("_name"),
