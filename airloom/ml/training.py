@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from airloom.functions.expr import drop_missing
 from airloom.ml.features import feature_columns
 from airloom.operators.stats import regression_metrics
-from airloom.operators.timeseries import add_lags, chrono_split
+from airloom.operators.timeseries import add_lags, chrono_marks
 from airloom.session import materialize
 from airloom.sources.registry import ModelRegistry
 
@@ -120,15 +120,12 @@ def training_frame(features: DataFrame, plan: TrainingPlan) -> DataFrame:
         features, plan.target, keys=plan.keys, order=plan.order, **plan.series
     )
     complete = materialize(drop_missing(lagged))
-    split = chrono_split(complete, 0.8, keys=plan.keys, order=plan.order)
-    fitted = chrono_split(
-        complete, 0.8 * (1 - plan.validation_share), keys=plan.keys, order=plan.order,
-        name="_before_validation",
-    ).select(*plan.keys, plan.order, "_before_validation")
-    flagged = split.join(fitted, [*plan.keys, plan.order]).select(
-        *split.columns, (F.col("is_train") & ~F.col("_before_validation")).alias("is_validation")
+    marked = chrono_marks(
+        complete, {"is_train": 0.8, "_fitting": 0.8 * (1 - plan.validation_share)},
+        keys=plan.keys, order=plan.order,
     )
-    return materialize(flagged)
+    validation = F.col("is_train") & ~F.col("_fitting")
+    return materialize(marked.withColumn("is_validation", validation).drop("_fitting"))
 
 
 def evaluate(scored: DataFrame, target: str) -> dict[str, float]:

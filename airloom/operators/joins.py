@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airloom.functions.expr import aqi_category
-from airloom.operators.series import SPAN, bucket_of, must_split
+from airloom.operators.series import bucketed, must_split
 from airloom.schemas import breakpoint_dim, category_dim
 from airloom.session import materialize
 
@@ -91,7 +91,7 @@ def nearest_join(
     order: str = "ts",
     prefix: str = "near_",
     tolerance_seconds: int | None = None,
-    bucket_seconds: int = SPAN,
+    bucket_seconds: int | None = None,
     split: bool | None = None,
 ) -> DataFrame:
     """Beside each probe, the reading of its series closest in time (earlier one on a tie).
@@ -111,7 +111,7 @@ def nearest_join(
     )
     # Counted before equal instants are merged: an upper bound that needs no shuffle by time.
     if must_split(probes.select(*keys).unionByName(readings.select(*keys)), keys, split):
-        cut = materialize(timeline.withColumn("_bucket", bucket_of(order, bucket_seconds)))
+        cut = bucketed(materialize(timeline), keys, order, bucket_seconds)
         timeline = cut.join(materialize(_known_around(cut, keys)), [*keys, "_bucket"])
         span = W.partitionBy(*keys, "_bucket")
         outside = {"_prev": [F.col("_before")], "_next": [F.col("_after")]}

@@ -11,8 +11,8 @@ measured first: a count over the key columns, combined map-side. Beyond
 * row-framed windows run over *blocks* of consecutive buckets with about equally many
   rows, and each block also receives the buckets before it that its first frames reach.
 
-A bucket of 30 days holds 720 hourly readings; pass a shorter ``bucket_seconds`` for denser
-series, so that a bucket stays a comfortable amount of work for one task.
+A bucket spans 30 days (720 hourly readings), or as much less as it takes for the densest
+one to fit a task; ``bucket_seconds`` fixes the span.
 
 The small tables are stored, so that the planner knows their size: within the broadcast
 threshold the rows are shuffled just once, beyond it they are joined by (city, bucket).
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from airloom.functions.expr import epoch_seconds
 from airloom.session import materialize
 
-SPAN = 30 * 86400
+SPANS = (30 * 86400, 86400, 3600, 60, 1)
 BLOCK_ROWS = 50_000
 MAX_SERIES_ROWS = 1_000_000
 _NULL_BUCKET = -(2**62)
@@ -53,9 +53,33 @@ def must_split(df: DataFrame, keys: Sequence[str], split: bool | None = None) ->
     return (lengths.agg(F.max("_n")).first()[0] or 0) > MAX_SERIES_ROWS
 
 
-def _offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def span_for(
+    df: DataFrame, keys: Sequence[str], order: str, bucket_seconds: int | None = None
+) -> int:
+    """The longest span of time whose densest bucket fits a task."""
+    if bucket_seconds is not None:
+        return bucket_seconds
+    for seconds in SPANS[:-1]:
+        counts = df.groupBy(*keys, bucket_of(order, seconds).alias("_bucket")).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+        if (counts.agg(F.max("_n")).first()[0] or 0) <= MAX_SERIES_ROWS:
+            return seconds
+    return SPANS[-1]
+
+
+def bucketed(
+    df: DataFrame, keys: Sequence[str], order: str, bucket_seconds: int | None = None
+) -> DataFrame:
+    """Rows with their ``_bucket``."""
+    return df.withColumn(
+        "_bucket", bucket_of(order, span_for(df, keys, order, bucket_seconds))
+    )
+
+
+def _offsets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per bucket: its row count, the rows before it, and the rows of the whole series."""
-    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_count"))
+    per_bucket = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_count"))
     series = W.partitionBy(*keys)
     before = series.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     return per_bucket.select(
@@ -71,7 +95,7 @@ def with_position(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = SPAN,
+    bucket_seconds: int | None = None,
     total: str | None = None,
     split: bool | None = None,
 ) -> DataFrame:
@@ -81,7 +105,7 @@ def with_position(
         rank = (F.row_number().over(series.orderBy(order)) - 1).cast("long")
         extra = [F.count(F.lit(1)).over(series).alias(total)] if total else []
         return df.select("*", rank.alias(name), *extra)
-    rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
+    rows = bucketed(df, keys, order, bucket_seconds)
     in_bucket = W.partitionBy(*keys, "_bucket").orderBy(order)
     ranked = rows.withColumn("_rank", F.row_number().over(in_bucket) - 1)
     placed = ranked.join(materialize(_offsets(rows, keys)), [*keys, "_bucket"])
@@ -99,7 +123,7 @@ def over_rows(
     keys: Sequence[str] = ("city",),
     order: str = "ts",
     block_rows: int = BLOCK_ROWS,
-    bucket_seconds: int = SPAN,
+    bucket_seconds: int | None = None,
     split: bool | None = None,
 ) -> DataFrame:
     """Add row-framed window columns that reach back at most ``preceding`` rows.
@@ -113,7 +137,7 @@ def over_rows(
     if not must_split(df, keys, split):
         built = build(W.partitionBy(*keys).orderBy(order))
         return df.withColumns(built)
-    rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
+    rows = bucketed(df, keys, order, bucket_seconds)
     end = "_offset + _count"
     homes = [f"_offset DIV {block_rows}L", f"({end}) DIV {block_rows}L",
              f"({end} + {max(preceding - 1, 0)}) DIV {block_rows}L"]
@@ -150,18 +174,23 @@ def over_time(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = SPAN,
+    bucket_seconds: int | None = None,
+    split: bool | None = None,
 ) -> DataFrame:
     """Add window columns framed by elapsed time, reaching back ``preceding_seconds``.
 
-    A single shuffle: the copies a bucket needs from the one before it follow from the
-    time alone. The window ``build`` receives is ordered by whole epoch seconds.
+    A single shuffle either way: the copies a bucket needs from the one before it follow
+    from the time alone. The window ``build`` receives is ordered by whole epoch seconds.
     """
-    if bucket_seconds < preceding_seconds:
+    if bucket_seconds is not None and bucket_seconds < preceding_seconds:
         raise ValueError("bucket_seconds must be at least preceding_seconds")
     rows = df.withColumn("_seconds", epoch_seconds(order))
-    home = f"floor(_seconds / {bucket_seconds})"
-    reaches_next = f"pmod(_seconds, {bucket_seconds}L) >= {bucket_seconds - preceding_seconds}"
+    if not must_split(df, keys, split):
+        built = build(W.partitionBy(*keys).orderBy("_seconds"))
+        return rows.withColumns(built).drop("_seconds")
+    span = max(span_for(df, keys, order, bucket_seconds), preceding_seconds)
+    home = f"floor(_seconds / {span})"
+    reaches_next = f"pmod(_seconds, {span}L) >= {span - preceding_seconds}"
     copies = rows.selectExpr(
         "*", f"{home} AS _home",
         f"explode(if({reaches_next}, array({home}, {home} + 1), array({home}))) AS _block",
@@ -171,7 +200,7 @@ def over_time(
 
 
 def bucket_edges(
-    bucketed: DataFrame, columns: Sequence[str], keys: Sequence[str], order: str
+    rows: DataFrame, columns: Sequence[str], keys: Sequence[str], order: str
 ) -> DataFrame:
     """Values that cross bucket edges, one row per bucket.
 
@@ -182,7 +211,7 @@ def bucket_edges(
     for c in columns:
         known = F.when(F.col(c).isNotNull(), F.col(order))
         aggs += [F.max_by(c, known).alias(f"_last_{c}"), F.min_by(c, known).alias(f"_first_{c}")]
-    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(*aggs)
+    per_bucket = rows.groupBy(*keys, "_bucket").agg(*aggs)
     series = W.partitionBy(*keys)
     so_far = series.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     to_come = series.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)
@@ -204,7 +233,7 @@ def fill(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = SPAN,
+    bucket_seconds: int | None = None,
     split: bool | None = None,
 ) -> DataFrame:
     """Replace NULLs by neighbouring values of the series, however far away.
@@ -215,7 +244,7 @@ def fill(
         raise ValueError(f"unknown direction {how!r}")
     cut = must_split(df, keys, split)
     if cut:
-        rows = df.withColumn("_bucket", bucket_of(order, bucket_seconds))
+        rows = bucketed(df, keys, order, bucket_seconds)
         edges = materialize(bucket_edges(rows, columns, keys, order))
         rows = rows.join(edges, [*keys, "_bucket"])
         span = W.partitionBy(*keys, "_bucket")
@@ -248,7 +277,7 @@ def rank_cuts(
     *,
     keys: Sequence[str] = ("city",),
     order: str = "ts",
-    bucket_seconds: int = SPAN,
+    bucket_seconds: int | None = None,
     split: bool | None = None,
 ) -> DataFrame:
     """Per series, the ``order`` value found at given 0-based ranks.
@@ -268,7 +297,7 @@ def rank_cuts(
             F.max(F.when(F.col("_rank") == r, F.col(order))).alias(n)
             for n, r in ranks(F.col("_total")).items()
         ])
-    rows = rows.withColumn("_bucket", bucket_of(order, bucket_seconds))
+    rows = bucketed(rows, keys, order, bucket_seconds)
     offsets = _offsets(rows, keys)
     named = ranks(F.col("_total"))
     targets = F.array(*[

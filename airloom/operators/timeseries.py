@@ -12,7 +12,7 @@ from airloom.functions.expr import numeric_columns
 from airloom.operators.attach import with_literals
 from airloom.operators.quantiles import exact_quantiles
 from airloom.operators.series import (
-    BLOCK_ROWS, SPAN, fill, over_rows, over_time, rank_cuts, with_position,
+    BLOCK_ROWS, fill, over_rows, over_time, rank_cuts, with_position,
 )
 from airloom.schemas import AQI_LAGS
 from airloom.session import materialize
@@ -95,7 +95,7 @@ def add_lags(
     order: str = "ts",
     prefix: str = "aqi_lag_",
     block_rows: int = BLOCK_ROWS,
-    bucket_seconds: int = SPAN,
+    bucket_seconds: int | None = None,
     split: bool | None = None,
 ) -> DataFrame:
     """Earlier values of ``target``: k rows ago, or exactly k hours ago."""
@@ -138,28 +138,34 @@ def sequence_windows(
     )
 
 
-def chrono_split(
-    df: DataFrame, train_share: float = 0.8, *, keys: Sequence[str] = ("city",),
-    order: str = "ts", name: str = "is_train", bucket_seconds: int = SPAN,
-    split: bool | None = None,
+def chrono_marks(
+    df: DataFrame, shares: dict[str, float], *, keys: Sequence[str] = ("city",),
+    order: str = "ts", bucket_seconds: int | None = None, split: bool | None = None,
 ) -> DataFrame:
-    """Flag the first ``int(n * train_share)`` rows of each series as training rows.
+    """Per named share, flag the first ``int(n * share)`` rows of each series.
 
     Ranks are found on the key columns alone; the rows themselves are not shuffled when the
     cut table (one row per series) is small enough for the planner to broadcast.
     """
     cuts = rank_cuts(
-        df, lambda n: {"_cut": F.floor(n * F.lit(train_share))},
+        df, lambda n: {f"_cut_{name}": F.floor(n * F.lit(share)) for name, share in shares.items()},
         keys=keys, order=order, bucket_seconds=bucket_seconds, split=split,
     )
     return _join_cuts(df, cuts, keys).select(
-        *df.columns, (F.col(order) < F.col("_cut")).alias(name)
+        *df.columns, *[(F.col(order) < F.col(f"_cut_{name}")).alias(name) for name in shares]
     )
 
 
+def chrono_split(
+    df: DataFrame, train_share: float = 0.8, *, name: str = "is_train", **series
+) -> DataFrame:
+    """Flag the first ``int(n * train_share)`` rows of each series as training rows."""
+    return chrono_marks(df, {name: train_share}, **series)
+
+
 def cv_folds(
     df: DataFrame, splits: int = 5, *, keys: Sequence[str] = ("city",), order: str = "ts",
-    name: str = "fold", bucket_seconds: int = SPAN, split: bool | None = None,
+    name: str = "fold", bucket_seconds: int | None = None, split: bool | None = None,
 ) -> DataFrame:
     """Expanding-window cross-validation: fold k tests on its rows and trains on lower folds.
 
@@ -224,7 +230,7 @@ def _limit_rows(df: DataFrame, n: int, keys: Sequence[str], order: Column) -> Da
 
 
 __all__ = [
-    "add_lags", "backward_fill", "chrono_split", "cv_folds", "fill_then_median",
+    "add_lags", "backward_fill", "chrono_marks", "chrono_split", "cv_folds", "fill_then_median",
     "fill_then_zero", "first_rows", "forward_fill", "last_rows", "latest", "rolling_mean",
     "sequence_windows", "with_position",
 ]

@@ -100,8 +100,9 @@ def test_time_based_windows(data, bucket):
     for _, part in pdf.groupby("city"):
         rolled = part.set_index("ts")["x"].rolling("3h", min_periods=1).mean()
         want.loc[part.index, "x_rolling_3h"] = rolled.values
-    got = tsop.rolling_mean(df, ["x"], by="time", bucket_seconds=bucket)
-    assert_equals_pandas(got, want, ["x_rolling_3h"])
+    for split in (True, False):
+        got = tsop.rolling_mean(df, ["x"], by="time", bucket_seconds=bucket, split=split)
+        assert_equals_pandas(got, want, ["x_rolling_3h"])
     lagged = tsop.add_lags(df, "x", [1, 24], by="time")
     for k in (1, 24):
         moved = pdf[["city", "ts", "x"]].assign(ts=pdf.ts + pd.Timedelta(hours=k)).rename(columns={"x": f"aqi_lag_{k}"})
@@ -200,6 +201,19 @@ def test_long_series_are_cut(spark, monkeypatch, data):
     assert not series.must_split(data[1], ("city",))
 
 
+def test_dense_series_get_shorter_buckets(data, monkeypatch):
+    df = data[1]
+    assert series.span_for(df, ("city",), "ts") == 30 * DAY
+    monkeypatch.setattr(series, "MAX_SERIES_ROWS", 30)
+    assert series.span_for(df, ("city",), "ts") == DAY
+    monkeypatch.setattr(series, "MAX_SERIES_ROWS", 1)
+    assert series.span_for(df, ("city",), "ts") == 3600
+    assert series.span_for(df, ("city",), "ts", 77) == 77
+    assert rows(tsop.forward_fill(df, ["x"])) == rows(tsop.forward_fill(df, ["x"], split=False))
+    assert rows(tsop.rolling_mean(df, ["x"], by="time")) == rows(
+        tsop.rolling_mean(df, ["x"], by="time", split=False))
+
+
 def test_nearest_reading_prefers_the_earlier(spark):
     base = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([("a", base, 1.0), ("a", base + dt.timedelta(hours=2), 2.0)],
