@@ -31,14 +31,17 @@ def attach(
 ) -> DataFrame:
     """Add the columns of a *stored* one-row-per-key table to ``rows``.
 
-    The table is counted first (a footer read) unless ``table_rows`` says its size. Up to ``broadcast_rows`` it is broadcast;
-    beyond that rows are spread over ``salts`` sub-keys and the table is repeated for each,
-    so that a key with a third of the rows is still shared by many tasks.
+    The table is counted first (a footer read) unless ``table_rows`` says its size. Up to
+    ``broadcast_rows`` it is broadcast; beyond that rows are spread over ``salts`` sub-keys
+    and the table is repeated for each, so that a key with a third of the rows is still
+    shared by many tasks. The sub-key also depends on the input partition, which spreads
+    equal rows and stays the same when a task runs again.
     """
     if not keys:
         return with_literals(rows, table)
     if (table.count() if table_rows is None else table_rows) <= broadcast_rows:
         return rows.join(F.broadcast(table), list(keys))
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.hash(*salt_on), F.lit(salts)))
+    salt = F.pmod(F.hash(*salt_on) + F.spark_partition_id().cast("long"), F.lit(salts)).cast("int")
+    salted = rows.withColumn("_salt", salt)
     return salted.join(spread, [*keys, "_salt"]).drop("_salt")

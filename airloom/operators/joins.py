@@ -98,8 +98,8 @@ def nearest_join(
 
     Distinct probe instants and reading instants are merged into one timeline; the last
     reading before and the first after each instant are found along it, bucket by bucket if
-    some timeline is too long for one task. Any number of probes at one instant therefore costs one timeline row. Probes without a
-    reading (within the tolerance) keep NULLs.
+    some timeline is too long for one task. Any number of probes at one instant therefore
+    costs one timeline row. Probes without a reading (within the tolerance) keep NULLs.
     """
     timeline = (
         probes.select(*keys, order, F.lit(None).cast("timestamp_ntz").alias("_known"),

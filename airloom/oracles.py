@@ -292,6 +292,7 @@ def oracle_sql() -> dict[str, str]:
     q["rounding"] = "SELECT event_id, round_even(value, 1) AS value FROM events"
     q["last_events"] = "SELECT event_id, ts, value FROM events ORDER BY ts DESC LIMIT 20"
     q["weather_upsert"] = with_views("SELECT * FROM raw_weather", "raw_weather")
+    q["feed_ingest"] = q["weather_upsert"]
     q["trailing_window"] = with_views(
         """SELECT city, ts, temp FROM raw_weather WHERE ts >= TIMESTAMP '2024-01-11 00:00:00'
            AND ts < TIMESTAMP '2024-01-25 00:00:00'""", "raw_weather")
@@ -525,6 +526,8 @@ def oracle_sql() -> dict[str, str]:
             FULL OUTER JOIN ({_profile({'city': False, **_FLAGS}, 'joined')}) p
               ON f.feature_name = p.feature_name""", "joined")
 
+    q["feature_store"] = q["metadata_merge"]
+
     # streaming, against the batch result
     q["stream_hourly"] = """SELECT concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city,
         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, count(*) AS n,

@@ -134,6 +134,20 @@ def weather_upsert(spark, d):
     return fx.raw_weather(spark, d)
 
 
+@query
+def feed_ingest(spark, d):
+    """Both feeds upserted into stored monthly tables, the forecast over the archive."""
+    log = materialize(fx.weather_feed(spark, d).withColumns({
+        "lat": F.lit(27.7), "lon": F.lit(68.9), "fetched_at": F.lit("2024-02-01").cast("timestamp")}))
+    aqi = fx.raw_aqi(spark, d).withColumns({
+        "lat": F.lit(27.7), "lon": F.lit(68.9), "source": F.lit(schemas.SOURCE_ARCHIVE),
+        "fetched_at": F.lit("2024-02-01").cast("timestamp")})
+    house = Warehouse(spark, _work_path(spark, "warehouse"))
+    archive, forecast = (log.filter(F.col("seq") == n).drop("seq") for n in (1, 2))
+    pipelines.ingest(house, archive, forecast, aqi)
+    return house.raw_weather.read().drop("lat", "lon", "fetched_at")
+
+
 @query
 def trailing_window(spark, d):
     return expr.trailing_days(fx.raw_weather(spark, d), fx.at("2024-01-25 09:30:00"), 14).select(
@@ -655,6 +669,18 @@ def metadata_merge(spark, d):
     return merge_columns(schemas.feature_dim(spark), new, key="feature_name")
 
 
+@query
+def feature_store(spark, d):
+    """Descriptions and statistics after registering and storing the features."""
+    store = metadata.FeatureStore(Warehouse(spark, _work_path(spark, "warehouse")))
+    store.register_defaults()
+    store.store(joined(spark, d).select("city", "ts", *_PROFILED))
+    out = store.metadata().select(
+        "feature_name", "description", "data_type", "source",
+        *[f"statistics.{c}" for c in ("count", "null_count", "mean", "median")])
+    return rounded(out, "mean", "median")
+
+
 # --- Spark ML (no SQL equivalent) -----------------------------------------------------
 
 _SMALL = {"forest_trees": 20, "xgb_rounds": 8, "gbt_rounds": 8}
