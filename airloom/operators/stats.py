@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -285,18 +285,20 @@ _MOMENTS = "i int, j int, n double, sx double, sy double, sxx double, syy double
 
 def _pair_moments(shift: list[float]):
     """Per task, the pairwise-complete moments of all column pairs as masked products."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(shift)
         total = np.zeros((4, width, width))
         for batch in batches:
-            x = batch.to_numpy(dtype="float64") - np.array(shift)
+            # NULL arrives as NaN.
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = x - np.array(shift)
             known = ~np.isnan(x)
             x[~known] = 0.0
             mask = known.astype("float64")
             total += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
         n, sx, sxx, sxy = total
         i, j = np.triu_indices(width)
-        yield pd.DataFrame({
+        yield pa.RecordBatch.from_pydict({
             "i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "sx": sx[i, j],
             "sy": sx[j, i], "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j],
         })
@@ -322,7 +324,7 @@ def _correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], fl
         return found
     shift = [range_of[f"mean{columns.index(c)}"] for c in varying]
     sums = (
-        data.select(*varying).mapInPandas(_pair_moments(shift), _MOMENTS)
+        data.select(*varying).mapInArrow(_pair_moments(shift), _MOMENTS)
         .groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
     doubtful = []
