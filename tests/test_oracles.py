@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from airloom.oracles import oracle_sql
+from airloom.queries import QUERIES
 from check_oracles import compare
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+ORACLES = oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="input tables are not here")
 
@@ -32,6 +34,7 @@ def test_every_oracle_has_a_query():
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry.queries()) and ORACLES.items() <= entry.oracle_sql().items()
     df = entry.entry(spark)
     assert df.columns == ["city", "day", "avg_aqi", "min_aqi", "max_aqi", "category"] and df.count() > 0
 
