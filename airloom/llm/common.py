@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch that Python code looks at together. Bytes are bounded by ``chunks``.
@@ -25,6 +26,12 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 64 << 20) -> None:
+    """Arrow batches of at most ``rows`` rows and about ``size`` bytes, whatever the texts' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def remainder(id_column: str, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(n))

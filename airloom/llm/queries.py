@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airloom.llm import oracles, quality_rules
+from airloom.llm import oracles, packing, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -31,3 +31,13 @@ def op10_quality_rules(spark, d):
     judged = quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept")
+
+
+@query()
+def op3_secret_scan(spark, d):
+    return secret_scan.digest(secret_scan.scan(table(spark, d, "documents").select("doc_id", "text")))
+
+
+@query()
+def op2_best_fit_packing(spark, d):
+    return packing.pack(packing.pieces(table(spark, d, "documents")))
