@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airloom.llm import oracles, packing, quality_rules, secret_scan
+from airloom.llm import oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,3 +41,13 @@ def op3_secret_scan(spark, d):
 @query()
 def op2_best_fit_packing(spark, d):
     return packing.pack(packing.pieces(table(spark, d, "documents")))
+
+
+@query()
+def op1_quality_classifier(spark, d):
+    return quality_classifier.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query()
+def op4_toxicity(spark, d):
+    return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
