@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airloom.llm import oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity
+from airloom.llm import near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -51,3 +51,8 @@ def op1_quality_classifier(spark, d):
 @query()
 def op4_toxicity(spark, d):
     return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query()
+def op8_near_duplicates(spark, d):
+    return near_dup.link(table(spark, d, "documents"))
