@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airloom.llm import near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity
+from airloom.llm import (
+    decontam, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -56,3 +59,15 @@ def op4_toxicity(spark, d):
 @query()
 def op8_near_duplicates(spark, d):
     return near_dup.link(table(spark, d, "documents"))
+
+
+@query()
+def op9_decontamination(spark, d):
+    return decontam.overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query()
+def op5_license_scan(spark, d):
+    """Documents lie in folders by source and language."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return license_scan.scan(table(spark, d, "documents"), path=path)
