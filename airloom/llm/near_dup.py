@@ -285,3 +285,21 @@ def link(
     return out.union(alone).select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def distinct(documents: DataFrame, *, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``documents`` that stay: one of each component, with the smallest id.
+
+    Of rows that repeat an id one stays, the one with the smallest text; rows with a null id stay.
+    """
+    found = materialize(link(documents, id_column=id_column, text=text, **options))
+    dropped = found.filter(~F.col("kept")).select(id_column).distinct()
+    many = dropped.count() > BROADCAST_IDS
+    rows = documents.join(dropped if many else F.broadcast(dropped), id_column, "left_anti").select(*documents.columns)
+    repeated = materialize(found.filter(F.col(id_column).isNotNull()).groupBy(id_column).count().filter("count > 1").select(id_column))
+    if repeated.isEmpty():
+        return rows
+    once = rows.join(repeated, id_column, "left_anti").select(*documents.columns)
+    again = rows.join(repeated, id_column, "left_semi").select(F.struct(*(F.col(c) for c in documents.columns)).alias("r"))
+    first = again.groupBy(F.col(f"r.{id_column}").alias("i")).agg(F.min_by("r", F.col(f"r.{text}")).alias("r"))
+    return once.union(first.select("r.*"))
