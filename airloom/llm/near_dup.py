@@ -301,5 +301,5 @@ def distinct(documents: DataFrame, *, id_column: str = "doc_id", text: str = "te
         return rows
     once = rows.join(repeated, id_column, "left_anti").select(*documents.columns)
     again = rows.join(repeated, id_column, "left_semi").select(F.struct(*(F.col(c) for c in documents.columns)).alias("r"))
-    first = again.groupBy(F.col(f"r.{id_column}").alias("i")).agg(F.min_by("r", F.col(f"r.{text}")).alias("r"))
+    first = again.groupBy(F.col(f"r.{id_column}").alias("i")).agg(F.min_by("r", F.coalesce(F.col(f"r.{text}"), F.lit(""))).alias("r"))
     return once.union(first.select("r.*"))
