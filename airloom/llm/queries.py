@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.llm import (
-    decontam, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity,
+    decontam, html_extract, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op5_license_scan(spark, d):
     """Documents lie in folders by source and language."""
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return license_scan.scan(table(spark, d, "documents"), path=path)
+
+
+@query()
+def op7_html_extraction(spark, d):
+    pages = html_extract.extract(table(spark, d, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
