@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.llm import (
-    decontam, html_extract, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan, toxicity,
+    decontam, html_extract, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan,
+    suffix_dedup, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,8 @@ def op5_license_scan(spark, d):
 def op7_html_extraction(spark, d):
     pages = html_extract.extract(table(spark, d, "pages").select("page_id", "url", "html"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query()
+def op6_suffix_dedup(spark, d):
+    return suffix_dedup.removal(table(spark, d, "documents"))
