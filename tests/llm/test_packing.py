@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -13,12 +14,18 @@ from airloom.llm.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 
 
-def tokens(text):
-    """Ids by the tokenizer itself."""
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    t = tokens.__dict__.setdefault("t", Tokenizer.from_file(packing.default_tokenizer()))
+    t = Tokenizer.from_file(packing.default_tokenizer())
     t.encode_special_tokens = True
+    return t
+
+
+def tokens(text):
+    """Ids by the tokenizer itself."""
+    t = tokenizer()
     return [*t.encode(text or "", add_special_tokens=False).ids, 2]
 
 
