@@ -70,5 +70,5 @@ def test_boosting_learns_a_rule():
     rng = np.random.default_rng(3)
     x = rng.random((3000, 3)).astype(np.float32)
     y = ((x[:, 0] > 0.4) ^ (x[:, 1] > 0.7)).astype(float)
-    trees = boosting.fit(x[:2000], y[:2000], trees=30)
+    trees = boosting.fit(x[:2000], y[:2000], trees=30, bins=128)  # fine enough for the bounds of the rule
     assert ((trees.logit(x[2000:]) > 0) == y[2000:]).mean() > 0.97
