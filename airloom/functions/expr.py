@@ -51,6 +51,14 @@ def epoch_seconds(c: Column | str) -> Column:
     )
 
 
+def epoch_micros(c: Column | str) -> Column:
+    """Microseconds since 1970 of a wall-clock time, without any time-zone conversion."""
+    c = _col(c)
+    whole = F.date_trunc("SECOND", c).cast("timestamp_ntz")
+    fraction = F.extract(F.lit("SECOND"), c) - F.second(whole)
+    return epoch_seconds(c) * 1_000_000 + (fraction * 1_000_000).cast("long")
+
+
 def floor_hour(c: Column | str) -> Column:
     """Start of the hour."""
     return F.date_trunc("HOUR", _col(c)).cast("timestamp_ntz")
@@ -136,8 +144,8 @@ def error_pct(predicted: Column | str, actual: Column | str) -> Column:
 
 
 def metric(name: str, metrics: Column | str = "metrics") -> Column:
-    """One entry of a metrics map, 0 when absent."""
-    return F.coalesce(F.try_element_at(_col(metrics), F.lit(name)), F.lit(0.0))
+    """One entry of a metrics map, 0 when absent or undefined."""
+    return F.coalesce(clean_double(F.try_element_at(_col(metrics), F.lit(name))), F.lit(0.0))
 
 
 def model_status(r2_test: Column | str) -> Column:

@@ -46,7 +46,8 @@ def estimator(name: str, plan: TrainingPlan):
     common = {"featuresCol": "features", "labelCol": plan.target, "seed": plan.seed}
     if name == RANDOM_FOREST:
         return RandomForestRegressor(
-            numTrees=plan.forest_trees, maxDepth=8, minInstancesPerNode=8, **common
+            numTrees=plan.forest_trees, maxDepth=8, minInstancesPerNode=8,
+            featureSubsetStrategy="all", **common,
         )
     if name == XGBOOST:
         # L1/L2 penalties have no counterpart.
@@ -77,22 +78,18 @@ def best_round(errors: list[float], patience: int) -> int:
 def fit(name: str, data: DataFrame, plan: TrainingPlan):
     """Fit one model on the training rows of an assembled frame.
 
-    The early-stopping model is fitted without the validation tail and, as Spark's own
-    stopping rule has no patience, fitted again with the best number of rounds; the same
-    seed gives the same leading trees.
+    The early-stopping model finds its number of rounds on the validation tail (Spark's own
+    stopping rule has no patience) and is then fitted on all training rows.
     """
     train = data.filter("is_train")
     made = estimator(name, plan)
     if name != XGBOOST:
         return made.fit(train)
     fitting, validation = train.filter("NOT is_validation"), train.filter("is_validation")
-    full = made.fit(fitting)
     if validation.isEmpty():
-        return full
-    rounds = best_round(full.evaluateEachIteration(validation, "squared"), plan.patience)
-    if rounds == full.getNumTrees:
-        return full
-    return made.copy({made.maxIter: rounds}).fit(fitting)
+        return made.fit(train)
+    errors = made.fit(fitting).evaluateEachIteration(validation, "squared")
+    return made.copy({made.maxIter: best_round(errors, plan.patience)}).fit(train)
 
 
 def assembly(features: list[str], scale: bool = False) -> Pipeline:
@@ -135,7 +132,8 @@ def evaluate(scored: DataFrame, target: str) -> dict[str, float]:
     for row in rows:  # two rows
         part = "train" if row["is_train"] else "test"
         for name in ("r2", "mae", "rmse"):
-            out[f"{name}_{part}"] = float("nan") if row[name] is None else row[name]
+            if row[name] is not None:  # an undefined score is no entry
+                out[f"{name}_{part}"] = row[name]
     return out
 
 

@@ -12,16 +12,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from airloom.operators.attach import attach
+from airloom.functions.expr import clean_double
+from airloom.operators.attach import attach, join_keys
 from airloom.session import materialize
 
 ACCURACY = 10_000
 GRID = 200
 MAX_INTERIOR = 10_000
-MAX_ROUNDS = 16
+# Infinities are searched as the largest finite numbers, which have room on either side.
+_LARGEST = "double('1.7976931348623157E308')"
 
 
 def approx_quantiles(
@@ -41,19 +43,30 @@ def exact_quantiles(
 ) -> DataFrame:
     """Per column an array of exact, linearly interpolated quantiles (NULL if no values).
 
+    NaN counts as missing, infinities are values. Whether the values are few enough to be
+    sorted whole or have to be searched makes no difference to the result.
+
     Several scans are made, so ``df`` should be a stored table or cheap to recompute.
     """
     search = _Search(
-        df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]),
+        df.select(*keys, *[_finite(c) for c in columns]),
         list(columns), [float(p) for p in probs], list(keys),
     )
     if search.sketch() <= max_interior:
         return search.whole_lists()
-    for _ in range(MAX_ROUNDS):
-        if search.count() <= max_interior:
-            return search.interior_lists()
+    before = None
+    while (largest := search.count()) > max_interior:
+        if before is not None and largest >= before:
+            raise RuntimeError("quantile brackets no longer get narrower")
+        before = largest
         search.narrow()
-    raise RuntimeError("quantile brackets did not converge")
+    return search.interior_lists()
+
+
+def _finite(column: str) -> Column:
+    value = clean_double(column)
+    ends = F.greatest(F.least(value, F.expr(_LARGEST)), F.expr(f"-{_LARGEST}"))
+    return F.when(value.isNotNull(), ends).alias(column)
 
 
 @dataclass(frozen=True)
@@ -142,7 +155,7 @@ class _Search:
         rows = self._rows() if rows is None else rows
         made = rows.groupBy(*self.keys).agg(*[F.expr(a) for a in aggregates])
         # Keys may have lost all rows to a filter.
-        return self.state.join(made, self.keys, "left") if self.keys else made
+        return join_keys(self.state, made, self.keys, "left") if self.keys else made
 
     def _rows(self) -> DataFrame:
         """The data with the state of its key."""
@@ -228,8 +241,14 @@ class _Search:
     def _blend(self, slot: _Slot, at) -> str:
         low, high = self.rank(slot, False), self.rank(slot, True)
         weight = f"(({self.size(slot.column)} - 1) * double('{slot.prob!r}') - {low})"
-        return (f"CASE WHEN {low} = {high} THEN {at(low)} "
-                f"ELSE {at(low)} + ({at(high)} - {at(low)}) * {weight} END")
+
+        def value(rank: str) -> str:
+            found = at(rank)
+            return (f"(CASE WHEN {found} >= {_LARGEST} THEN double('Infinity') "
+                    f"WHEN {found} <= -{_LARGEST} THEN double('-Infinity') ELSE {found} END)")
+
+        return (f"CASE WHEN {low} = {high} OR {value(low)} = {value(high)} THEN {value(low)} "
+                f"ELSE {value(low)} + ({value(high)} - {value(low)}) * {weight} END")
 
     def _results(self, lists: DataFrame, at) -> DataFrame:
         out = []

@@ -15,7 +15,11 @@ A bucket spans 30 days (720 hourly readings), or as much less as it takes for th
 one to fit a task; ``bucket_seconds`` fixes the span.
 
 The small tables are stored, so that the planner knows their size: within the broadcast
-threshold the rows are shuffled just once, beyond it they are joined by (city, bucket).
+threshold the rows are shuffled just once, beyond it they are joined by (city, bucket). Rows
+without a city are a series of their own in every form: keys are compared with NULL equal to NULL.
+
+An input whose series have to be measured is stored first, unless it already is, so that what
+made it runs once.
 
 ``split`` overrides the measurement: True always cuts, False never does. (keys, order)
 must identify a row, as it does after the keyed upsert.
@@ -29,8 +33,9 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from airloom.functions.expr import epoch_seconds
-from airloom.session import materialize
+from airloom.functions.expr import epoch_micros, epoch_seconds
+from airloom.operators.attach import join_keys
+from airloom.session import materialize, stored
 
 SPANS = (30 * 86400, 86400, 3600, 60, 1)
 BLOCK_ROWS = 50_000
@@ -53,6 +58,13 @@ def must_split(df: DataFrame, keys: Sequence[str], split: bool | None = None) ->
     return (lengths.agg(F.max("_n")).first()[0] or 0) > MAX_SERIES_ROWS
 
 
+def measured(df: DataFrame, keys: Sequence[str], split: bool | None) -> tuple[DataFrame, bool]:
+    """``df``, stored if it has to be measured, and whether some series is too long for one task."""
+    if split is None:
+        df = stored(df)
+    return df, must_split(df, keys, split)
+
+
 def span_for(
     df: DataFrame, keys: Sequence[str], order: str, bucket_seconds: int | None = None
 ) -> int:
@@ -100,7 +112,8 @@ def with_position(
     split: bool | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row in its series, and optionally the series length."""
-    if not must_split(df, keys, split):
+    df, cut = measured(df, keys, split)
+    if not cut:
         series = W.partitionBy(*keys)
         rank = (F.row_number().over(series.orderBy(order)) - 1).cast("long")
         extra = [F.count(F.lit(1)).over(series).alias(total)] if total else []
@@ -108,7 +121,7 @@ def with_position(
     rows = bucketed(df, keys, order, bucket_seconds)
     in_bucket = W.partitionBy(*keys, "_bucket").orderBy(order)
     ranked = rows.withColumn("_rank", F.row_number().over(in_bucket) - 1)
-    placed = ranked.join(materialize(_offsets(rows, keys)), [*keys, "_bucket"])
+    placed = join_keys(ranked, materialize(_offsets(rows, keys)), [*keys, "_bucket"])
     extra = [F.col("_total").alias(total)] if total else []
     return placed.select(
         *df.columns, (F.col("_offset") + F.col("_rank")).alias(name), *extra
@@ -134,7 +147,8 @@ def over_rows(
     """
     if block_rows < preceding:
         raise ValueError("block_rows must be at least the number of preceding rows")
-    if not must_split(df, keys, split):
+    df, cut = measured(df, keys, split)
+    if not cut:
         built = build(W.partitionBy(*keys).orderBy(order))
         return df.withColumns(built)
     rows = bucketed(df, keys, order, bucket_seconds)
@@ -150,7 +164,7 @@ def over_rows(
         .selectExpr(*keys, "_bucket", "_block", "_block = _home AS _own")
     )
     window = W.partitionBy(*keys, "_block").orderBy(order)
-    return _built(rows.join(blocks, [*keys, "_bucket"]), df.columns, build(window))
+    return _built(join_keys(rows, blocks, [*keys, "_bucket"]), df.columns, build(window))
 
 
 def _built(copies: DataFrame, columns: Sequence[str], built: dict[str, Column]) -> DataFrame:
@@ -180,22 +194,25 @@ def over_time(
     """Add window columns framed by elapsed time, reaching back ``preceding_seconds``.
 
     A single shuffle either way: the copies a bucket needs from the one before it follow
-    from the time alone. The window ``build`` receives is ordered by whole epoch seconds.
+    from the time alone. The window ``build`` receives is ordered by epoch microseconds.
     """
     if bucket_seconds is not None and bucket_seconds < preceding_seconds:
         raise ValueError("bucket_seconds must be at least preceding_seconds")
-    rows = df.withColumn("_seconds", epoch_seconds(order))
-    if not must_split(df, keys, split):
-        built = build(W.partitionBy(*keys).orderBy("_seconds"))
-        return rows.withColumns(built).drop("_seconds")
-    span = max(span_for(df, keys, order, bucket_seconds), preceding_seconds)
-    home = f"floor(_seconds / {span})"
-    reaches_next = f"pmod(_seconds, {span}L) >= {span - preceding_seconds}"
+    df, cut = measured(df, keys, split)
+    rows = df.withColumn("_micros", epoch_micros(order))
+    if not cut:
+        built = build(W.partitionBy(*keys).orderBy("_micros"))
+        return rows.withColumns(built).drop("_micros")
+    span = max(span_for(df, keys, order, bucket_seconds), preceding_seconds) * 1_000_000
+    home = f"floor(_micros / {span})"
+    reaches_next = f"pmod(_micros, {span}L) >= {span - preceding_seconds * 1_000_000}"
     copies = rows.selectExpr(
         "*", f"{home} AS _home",
         f"explode(if({reaches_next}, array({home}, {home} + 1), array({home}))) AS _block",
     ).withColumn("_own", F.coalesce(F.expr("_block = _home"), F.lit(True)))
-    window = W.partitionBy(*keys, "_block").orderBy("_seconds")
+    # Rows that already lie together by city alone would otherwise stay there.
+    copies = copies.repartition(*[F.col(k) for k in keys], F.col("_block"))
+    window = W.partitionBy(*keys, "_block").orderBy("_micros")
     return _built(copies, df.columns, build(window))
 
 
@@ -242,11 +259,11 @@ def fill(
     """
     if how not in ("forward", "backward", "both"):
         raise ValueError(f"unknown direction {how!r}")
-    cut = must_split(df, keys, split)
+    df, cut = measured(df, keys, split)
     if cut:
         rows = bucketed(df, keys, order, bucket_seconds)
         edges = materialize(bucket_edges(rows, columns, keys, order))
-        rows = rows.join(edges, [*keys, "_bucket"])
+        rows = join_keys(rows, edges, [*keys, "_bucket"])
         span = W.partitionBy(*keys, "_bucket")
     else:
         rows, span = df, W.partitionBy(*keys)
@@ -287,7 +304,8 @@ def rank_cuts(
     and only those buckets are sorted.
     """
     rows = df.select(*keys, order)
-    if not must_split(rows, keys, split):
+    rows, cut = measured(rows, keys, split)
+    if not cut:
         series = W.partitionBy(*keys)
         ranked = rows.select(
             *keys, order, (F.row_number().over(series.orderBy(order)) - 1).alias("_rank"),
@@ -311,7 +329,7 @@ def rank_cuts(
     )
     in_bucket = W.partitionBy(*keys, "_bucket", "_name").orderBy(order)
     hits = (
-        rows.join(wanted, [*keys, "_bucket"])
+        join_keys(rows, wanted, [*keys, "_bucket"])
         .withColumn("_rank", F.row_number().over(in_bucket) - 1)
         .filter("_rank = _local")
     )

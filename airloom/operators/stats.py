@@ -11,10 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from airloom.functions.expr import aqi_category, numeric_columns, round1, sample_std
-from airloom.operators.attach import with_literals
+from airloom.functions.expr import aqi_category, clean_double, numeric_columns, round1, sample_std
+from airloom.operators.attach import join_keys, with_literals
 from airloom.operators.quantiles import approx_quantiles, exact_quantiles
-from airloom.operators.timeseries import last_rows
 
 
 # --- forecast summaries ---------------------------------------------------------------
@@ -89,10 +88,8 @@ def recent_trend(
 ) -> DataFrame:
     """Statistics of the last ``window`` rows and whether the latest value is above the
     mean of the last ``recent`` rows."""
-    tail = last_rows(df.select(*keys, order, value), window, keys=keys, order=order)
-    ranked = tail.withColumn(
-        "_back", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))
-    )
+    back = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))
+    ranked = df.select(*keys, order, value).withColumn("_back", back).filter(F.col("_back") <= window)
     stats = ranked.groupBy(*keys).agg(
         F.avg(value).alias("mean"), sample_std(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"),
@@ -127,7 +124,7 @@ def _quantile_frame(df, columns, probs, keys, approx) -> DataFrame:
 
 
 def _combine(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.join(right, list(keys)) if keys else with_literals(left, right)
+    return join_keys(left, right, keys)
 
 
 def feature_profile(
@@ -137,12 +134,11 @@ def feature_profile(
     names = [c for c in df.columns if c != order and c not in keys]
     numeric = [c for c in numeric_columns(df) if c in names]
     aggs: list[Column] = []
-    for c in names:
-        aggs += [
-            F.count(F.lit(1)).alias(f"count:{c}"), F.count_if(F.col(c).isNull()).alias(f"null_count:{c}")
-        ]
+    for c in names:  # NaN is missing
+        missing = (clean_double(c) if c in numeric else F.col(c)).isNull()
+        aggs += [F.count(F.lit(1)).alias(f"count:{c}"), F.count_if(missing).alias(f"null_count:{c}")]
     for c in numeric:
-        value = F.col(c).cast("double")
+        value = clean_double(c)
         aggs += [
             F.avg(value).alias(f"mean:{c}"), sample_std(value).alias(f"std:{c}"),
             F.min(value).alias(f"min:{c}"), F.max(value).alias(f"max:{c}"),
@@ -166,7 +162,7 @@ def describe(
     columns = list(columns or numeric_columns(df, exclude=tuple(keys)))
     aggs = []
     for c in columns:
-        value = F.col(c).cast("double")
+        value = clean_double(c)
         aggs += [
             F.count(value).alias(f"count:{c}"), F.avg(value).alias(f"mean:{c}"),
             sample_std(value).alias(f"std:{c}"), F.min(value).alias(f"min:{c}"),
@@ -200,6 +196,7 @@ def aqi_stats(
     df: DataFrame, value: str = "us_aqi", *, order: str = "ts", approx: bool = False
 ) -> DataFrame:
     """Whole-table statistics of one column with the covered time range."""
+    df = df.withColumn(value, clean_double(value))
     stats = df.agg(
         F.count(F.lit(1)).alias("n"), F.min(order).alias("first_ts"), F.max(order).alias("last_ts"),
         F.avg(value).alias("mean"), sample_std(value).alias("std"),
@@ -222,7 +219,7 @@ def median_of(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = ()
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Counts in ``bins`` equally wide intervals; the last one is closed. Empty bins are
     left out. The range takes one scan, the counts another."""
-    value = F.col(column).cast("double")
+    value = clean_double(column)
     low, high = df.agg(F.min(value), F.max(value)).first()
     if low is None:
         return df.sparkSession.createDataFrame(
@@ -314,7 +311,7 @@ def _correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], fl
     rows are settled by exact aggregates.
     """
     found: dict[tuple[str, str], float | None] = {}
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    data = df.select(*[clean_double(c).alias(c) for c in columns])
     range_of = data.agg(*[
         a for i, c in enumerate(columns) for a in (
             F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.avg(c).alias(f"mean{i}"))

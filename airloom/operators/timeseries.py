@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airloom.functions.expr import numeric_columns
-from airloom.operators.attach import with_literals
+from airloom.operators.attach import join_keys
 from airloom.operators.quantiles import exact_quantiles
 from airloom.operators.series import (
     BLOCK_ROWS, fill, over_rows, over_time, rank_cuts, with_position,
@@ -74,7 +74,7 @@ def rolling_mean(
     """Trailing mean of the known values among the last ``window`` rows, or hours."""
     def build(w):
         frame = w.rowsBetween(1 - window, 0) if by == "rows" else w.rangeBetween(
-            -(window - 1) * 3600, 0
+            -(window - 1) * 3600 * 1_000_000, 0
         )
         return {f"{c}{suffix}": F.avg(c).over(frame) for c in columns}
 
@@ -107,19 +107,16 @@ def add_lags(
         )
     if by != "time":
         raise ValueError(f"unknown lag unit {by!r}")
-    # Send every value forward to the hours that look back at it, regroup once, join once.
-    shifts = F.array(*[
-        F.struct(F.lit(k).alias("k"), (F.col(order) + F.make_dt_interval(hours=F.lit(k))).alias("t"))
-        for k in lags
-    ])
-    sent = (
-        df.select(*keys, F.col(target).alias("_value"), F.explode(shifts).alias("_s"))
-        .select(*keys, F.col("_s.t").alias(order), F.col("_s.k").alias("_k"), "_value")
-        .groupBy(*keys, order)
-        .agg(*[F.max(F.when(F.col("_k") == k, F.col("_value"))).alias(f"{prefix}{k}") for k in lags])
-    )
-    return df.join(sent, [*keys, order], "left").select(
-        *df.columns, *[f"{prefix}{k}" for k in lags]
+    def back(k: int) -> int:
+        return -k * 3600 * 1_000_000
+
+    # One frame per lag that holds exactly the instant looked back at: a single shuffle.
+    return over_time(
+        df, lambda w: {
+            f"{prefix}{k}": F.when(
+                F.col(order).isNotNull(), F.max(target).over(w.rangeBetween(back(k), back(k))))
+            for k in lags
+        }, max(lags) * 3600, keys=keys, order=order, bucket_seconds=bucket_seconds, split=split,
     )
 
 
@@ -151,9 +148,11 @@ def chrono_marks(
         df, lambda n: {f"_cut_{name}": F.floor(n * F.lit(share)) for name, share in shares.items()},
         keys=keys, order=order, bucket_seconds=bucket_seconds, split=split,
     )
-    return _join_cuts(df, cuts, keys).select(
-        *df.columns, *[(F.col(order) < F.col(f"_cut_{name}")).alias(name) for name in shares]
-    )
+    # Without a cut (a share of 1) every row comes before it; rows without a time come first.
+    before = {
+        name: F.coalesce(F.col(order) < F.col(f"_cut_{name}"), F.lit(share > 0)) for name, share in shares.items()
+    }
+    return join_keys(df, cuts, keys, "left").select(*df.columns, *[b.alias(n) for n, b in before.items()])
 
 
 def chrono_split(
@@ -186,15 +185,9 @@ def cv_folds(
         F.coalesce((F.col(order) >= F.col(f"_cut{k}")).cast("int"), F.lit(0))
         for k in range(1, splits + 1)
     ]
-    return _join_cuts(df, cuts, keys, "left").select(
-        *df.columns, sum(past[1:], past[0]).alias(name)
-    )
-
-
-def _join_cuts(df: DataFrame, cuts: DataFrame, keys: Sequence[str], how: str = "inner"):
     # One row per series: the planner broadcasts it by measured size, and a hot series is
     # split by the adaptive skew join otherwise.
-    return df.join(cuts, list(keys), how) if keys else with_literals(df, cuts)
+    return join_keys(df, cuts, keys, "left").select(*df.columns, sum(past[1:], past[0]).alias(name))
 
 
 def latest(

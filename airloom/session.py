@@ -58,4 +58,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._is_stored = True
+    return out
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is what ``materialize`` has returned, else a stored copy."""
+    return df if getattr(df, "_is_stored", False) else materialize(df)

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from airloom.functions.expr import metric, model_status
+from airloom.functions.expr import clean_double, metric, model_status
 from airloom.schemas import MODEL_COMPARISON, MODEL_REGISTRY
 from airloom.sources.tables import Warehouse
 
@@ -41,11 +41,11 @@ def comparison_rows(models: DataFrame) -> DataFrame:
     return models.select(
         F.col("model_name").alias("Model"),
         *[
-            F.try_element_at("metrics", F.lit(f"{kind.lower()}_{part.lower()}"))
+            clean_double(F.try_element_at("metrics", F.lit(f"{kind.lower()}_{part.lower()}")))
             .alias(f"{kind} ({part})")
             for kind in ("R2", "MAE", "RMSE") for part in ("Train", "Test")
         ],
-    ).orderBy(F.col("R2 (Test)").desc())
+    ).orderBy(F.desc_nulls_last("R2 (Test)"), "Model")
 
 
 class ModelRegistry:

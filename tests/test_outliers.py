@@ -63,7 +63,7 @@ def test_whole_table(spark, skewed):
 
 def test_many_keys_use_the_salted_join(spark, skewed, monkeypatch):
     monkeypatch.setattr(attach_module.attach, "__kwdefaults__",
-                        {**attach_module.attach.__kwdefaults__, "broadcast_rows": 0, "salts": 3})
+                        {**attach_module.attach.__kwdefaults__, "broadcast_bytes": 0, "salts": 3})
     assert ids(zscore_filter(to_spark(spark, skewed), ["a", "c"])) == expected(skewed, ["a", "c"])
 
 
