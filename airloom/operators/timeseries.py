@@ -200,23 +200,26 @@ def latest(
 
 
 def last_rows(
-    df: DataFrame, n: int, *, keys: Sequence[str] = ("city",), order: str = "ts"
+    df: DataFrame, n: int, *, keys: Sequence[str] = ("city",), order: str = "ts",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """The last ``n`` rows of each series; map tasks keep at most n rows per series."""
-    return _limit_rows(df, n, keys, F.desc(order))
+    """The last ``n`` rows of each series; map tasks keep at most n rows per series. ``ties``
+    order rows of one time, ascending."""
+    return _limit_rows(df, n, keys, F.desc(order), *ties)
 
 
 def first_rows(
-    df: DataFrame, n: int, *, keys: Sequence[str] = ("city",), order: str = "ts"
+    df: DataFrame, n: int, *, keys: Sequence[str] = ("city",), order: str = "ts",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """The first ``n`` rows of each series; map tasks keep at most n rows per series."""
-    return _limit_rows(df, n, keys, F.asc(order))
+    return _limit_rows(df, n, keys, F.asc(order), *ties)
 
 
-def _limit_rows(df: DataFrame, n: int, keys: Sequence[str], order: Column) -> DataFrame:
+def _limit_rows(df: DataFrame, n: int, keys: Sequence[str], *order: Column | str) -> DataFrame:
     if not keys:
-        return df.orderBy(order).limit(n)
-    window = W.partitionBy(*keys).orderBy(order)
+        return df.orderBy(*order).limit(n)
+    window = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop(
         "_rank"
     )

@@ -290,7 +290,7 @@ def oracle_sql() -> dict[str, str]:
     q["time_coercion"] = """SELECT event_id, CASE WHEN event_id % 7 <> 0
         THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS ts FROM events"""
     q["rounding"] = "SELECT event_id, round_even(value, 1) AS value FROM events"
-    q["last_events"] = "SELECT event_id, ts, value FROM events ORDER BY ts DESC LIMIT 20"
+    q["last_events"] = "SELECT event_id, ts, value FROM events ORDER BY ts DESC, event_id LIMIT 20"
     q["weather_upsert"] = with_views("SELECT * FROM raw_weather", "raw_weather")
     q["feed_ingest"] = q["weather_upsert"]
     q["trailing_window"] = with_views(
@@ -330,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
         "raw_weather")
     some = ["city", "ts", "temp", "humidity", "wind_speed", "pm10", "pm2_5", "us_aqi"]
     present = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in some)
-    q["drop_sparse_rows"] = with_views(f"SELECT {', '.join(some)} FROM joined WHERE {present} >= 6", "joined")
+    q["drop_sparse_rows"] = with_views(f"SELECT {', '.join(some)} FROM joined WHERE {present} >= 4", "joined")
     q["drop_any_null"] = with_views(
         f"SELECT city, ts, {m} FROM joined WHERE {' AND '.join(f'{c} IS NOT NULL' for c in MEASURES)}", "joined")
 
@@ -528,13 +528,75 @@ def oracle_sql() -> dict[str, str]:
 
     q["feature_store"] = q["metadata_merge"]
 
-    # streaming, against the batch result
+    # streaming, against the batch result; late events do not count
     q["stream_hourly"] = """SELECT concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city,
         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, count(*) AS n,
         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
         CAST(min(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS low,
-        CAST(max(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS high FROM events GROUP BY 1, 2"""
+        CAST(max(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS high FROM events
+        WHERE NOT (event_id % 50 = 0 AND extract(day FROM ts) <= 10) GROUP BY 1, 2"""
     q["stream_upsert"] = q["weather_upsert"]
-    q["stream_first_by_key"] = """SELECT DISTINCT concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city,
-        CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_ts FROM events"""
+    q["stream_first_by_key"] = """SELECT concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city,
+        CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_ts,
+        coalesce(min(event_id) FILTER (NOT (event_id % 50 = 0 AND extract(day FROM ts) <= 10)), min(event_id)) AS event_id
+        FROM events GROUP BY 1, 2"""
+
+    # NULL keys, NaN, broken payloads, short instants
+    nameless = "(SELECT nullif(city, 'city_0') AS city, ts, temp, humidity FROM raw_weather)"
+    modes = "(VALUES (false), (true)) m(split)"
+    q["null_key_series"] = with_views(
+        f"""SELECT city, ts, temp, humidity, humidity_rolling_3h, lag(temp, 1) OVER s AS lag_1, lag(temp, 3) OVER s AS lag_3,
+            row_number() OVER s - 1 AS position, split
+            FROM (SELECT city, ts, last_value(temp IGNORE NULLS) OVER (PARTITION BY city ORDER BY ts) AS temp, humidity,
+              round(avg(humidity) OVER (PARTITION BY city ORDER BY ts ROWS 2 PRECEDING), 6) AS humidity_rolling_3h
+              FROM {nameless}) f, {modes} WINDOW s AS (PARTITION BY city, split ORDER BY ts)""", "raw_weather")
+    q["null_key_marks"] = with_views(
+        f"""SELECT city, ts, pos < floor(n * 0.8) AS is_train, true AS all_of_it,
+            CASE WHEN n // 6 = 0 THEN 0 ELSE CAST(greatest(0, 6 - ceil((n - pos) / (n // 6)::DOUBLE)) AS INT) END AS fold, split
+            FROM (SELECT city, ts, row_number() OVER (PARTITION BY city ORDER BY ts) - 1 AS pos,
+              count(*) OVER (PARTITION BY city) AS n FROM {nameless}) r, {modes}""", "raw_weather")
+    parts = " UNION ALL ".join(
+        f"""SELECT city, '{c}' AS feature_name, count(*) AS count, count(*) - count(v) AS null_count, round(avg(v), 6) AS mean,
+            round(min(v), 6) AS min, round(max(v), 6) AS max, round(quantile_cont(v, 0.5), 6) AS median
+            FROM (SELECT city, {value} AS v FROM {nameless}) x GROUP BY city"""
+        for c, value in (("temp", "CASE WHEN extract(hour FROM ts) % 7 = 3 THEN NULL ELSE temp END"), ("humidity", "humidity")))
+    q["null_key_profile"] = with_views(parts, "raw_weather")
+
+    def screened(rows: str, column: str) -> str:
+        return f"""SELECT * EXCLUDE (z_ok, seen, spread) FROM (
+            SELECT *, avg(CASE WHEN z_ok THEN 1.0 ELSE 0 END) OVER (PARTITION BY city) AS seen FROM (
+              SELECT *, coalesce(abs(({column} - avg({column}) OVER (PARTITION BY city))
+                / nullif(stddev_samp({column}) OVER (PARTITION BY city), 0)) < 3, false) AS z_ok,
+                CASE WHEN n >= 50 THEN stddev_samp({column}) OVER (PARTITION BY city) END AS spread
+              FROM (SELECT * EXCLUDE n, count(*) OVER (PARTITION BY city) AS n FROM (SELECT *, 0 AS n FROM {rows}))))
+            WHERE z_ok OR spread IS NULL OR spread = 0 OR seen < 0.8"""
+
+    filled = f"(SELECT city, ts, coalesce(temp, 0) AS temp, coalesce(humidity, 0) AS humidity FROM {nameless})"
+    once = screened(filled, "temp")
+    twice = screened(f"(SELECT city, ts, temp, humidity FROM ({once}))", "humidity")
+    q["null_key_zscore"] = with_views(f"SELECT city, ts, temp, humidity FROM ({twice})", "raw_weather")
+    q["quantiles_odd_values"] = """SELECT event_type, round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
+        round(quantile_cont(v, 0.75), 6) AS q75, searched FROM (
+          SELECT event_type, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'Infinity'::DOUBLE
+            WHEN event_id % 103 = 0 THEN '-Infinity'::DOUBLE ELSE value END AS v FROM events) e,
+        (VALUES (false), (true)) m(searched) GROUP BY event_type, searched"""
+    q["corr_with_nan"] = with_views(
+        """SELECT a AS col_a, b AS col_b, CASE WHEN a = b THEN 1.0 ELSE r END AS r FROM (
+            SELECT round(corr(CASE WHEN extract(hour FROM ts) % 5 = 1 THEN NULL ELSE temp END, humidity), 6) AS r FROM raw_weather) c,
+            (VALUES ('temp', 'temp'), ('temp', 'humidity'), ('humidity', 'temp'), ('humidity', 'humidity')) p(a, b)""", "raw_weather")
+    q["rolling_events"] = f"""SELECT event_id, city, ts, value, round(avg(value) OVER (PARTITION BY city, split ORDER BY ts
+        RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND CURRENT ROW), 6) AS value_rolling_3h, split
+        FROM (SELECT event_id, concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city, ts, value FROM events) e, {modes}"""
+    q["payload_report"] = with_views(
+        """SELECT city, count(DISTINCT day) FILTER (ok) AS accepted, count(DISTINCT day) FILTER (NOT ok) AS rejected,
+            count(*) FILTER (ok) AS hours, count(temp) FILTER (ok AND extract(hour FROM ts) % 11 <> 2) AS temps
+            FROM (SELECT *, CAST(ts AS DATE) AS day, NOT (extract(day FROM ts) % 5 = 0 OR extract(day FROM ts) % 7 = 3) AS ok
+              FROM weather_hourly) h GROUP BY city""", "weather_hourly")
+    q["upsert_without_time"] = with_views(
+        """SELECT city, CASE WHEN extract(hour FROM ts) % 6 <> 0 THEN ts END AS ts, max(clouds) AS clouds
+           FROM raw_weather GROUP BY 1, 2""", "raw_weather")
+    q["stored_lookup"] = with_views(
+        """SELECT city, ts, temp, source FROM raw_weather WHERE source = 'open-meteo-forecast' AND city = 'city_1'
+           UNION ALL SELECT city, ts, temp, source FROM raw_weather
+           WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-20 06:00:00'""", "raw_weather")
     return q

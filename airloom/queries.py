@@ -15,6 +15,7 @@ from airloom.ml import features as mlf
 from airloom.ml import scoring, training
 from airloom.operators import joins, outliers, stats
 from airloom.operators import timeseries as tsop
+from airloom.operators.quantiles import exact_quantiles
 from airloom.plans import pipelines, reports
 from airloom.session import materialize, scratch_dir
 from airloom.sources import feeds, metadata, registry
@@ -240,7 +241,7 @@ def today_rows(spark, d):
 @query
 def drop_sparse_rows(spark, d):
     return expr.drop_sparse(joined(spark, d).select("city", "ts", "temp", "humidity", "wind_speed",
-                                                    "pm10", "pm2_5", "us_aqi"), 0.75)
+                                                    "pm10", "pm2_5", "us_aqi"))
 
 
 @query
@@ -412,7 +413,7 @@ def last_168(spark, d):
 def last_events(spark, d):
     """The latest rows of a whole table."""
     events = spark.read.parquet(f"{d}/events.parquet").select("event_id", "ts", "value")
-    return tsop.last_rows(events, 20, keys=())
+    return tsop.last_rows(events, 20, keys=(), ties=("event_id",))
 
 
 @query
@@ -728,22 +729,35 @@ def feature_importance(spark, d):
 
 # --- streaming ------------------------------------------------------------------------
 
-def _event_stream(spark, d) -> DataFrame:
-    batch = spark.read.parquet(f"{d}/events.parquet")
-    stream = spark.readStream.schema(batch.schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    return stream.select(
-        F.concat(F.lit("city_"), (F.col("user_id") % 3).cast("string")).alias("city"), "ts",
-        F.col("value").cast("decimal(18,2)").alias("value"))
+_LANDINGS = 5
+
+
+def _landed_events(spark, d, take: Callable[[DataFrame], object]) -> None:
+    """Events in five landings of six days each; ``take`` runs the stream after every one.
+
+    Every 50th event of the first ten days comes with the last landing, long after the watermark.
+    """
+    landing = _work_path(spark, "landing")
+    at = (F.dayofmonth("ts") - 1) / 6
+    number = F.when((F.col("event_id") % 50 == 0) & (F.dayofmonth("ts") <= 10), _LANDINGS - 1).otherwise(
+        F.least(F.floor(at).cast("int"), F.lit(_LANDINGS - 1)))
+    events = spark.read.parquet(f"{d}/events.parquet").select(
+        "event_id", F.concat(F.lit("city_"), (F.col("user_id") % 3).cast("string")).alias("city"), "ts",
+        F.col("value").cast("decimal(18,2)").alias("value"), number.alias("landing"))
+    events = materialize(events)
+    for n in range(_LANDINGS):
+        events.filter(F.col("landing") == n).drop("landing").write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.drop("landing").schema).parquet(landing)
+        take(stream)
 
 
 @query
 def stream_hourly(spark, d):
-    """Hourly aggregation of the event stream, each update upserted by (city, hour)."""
-    hours = streaming.hourly_readings(_event_stream(spark, d))
-    out = Table(spark, _work_path(spark, "hourly"), monthly=False)
-    run = streaming.upsert_stream(
-        hours, out, _work_path(spark, "progress"), output_mode="update")
-    run.awaitTermination()
+    """Hourly aggregation over five micro-batches, each update upserted by (city, hour). Rows that
+    come after the watermark are dropped."""
+    out, progress = Table(spark, _work_path(spark, "hourly"), monthly=True), _work_path(spark, "progress")
+    _landed_events(spark, d, lambda stream: streaming.upsert_stream(
+        streaming.hourly_readings(stream), out, progress, output_mode="update").awaitTermination())
     return out.read().select(
         "city", "ts", "n", F.col("total").cast("double").alias("total"),
         F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
@@ -764,9 +778,135 @@ def stream_upsert(spark, d):
 
 @query
 def stream_first_by_key(spark, d):
-    """First event of each (city, hour) key in arrival order; checked by row count."""
-    stream = _event_stream(spark, d).withColumn("hour_ts", expr.floor_hour("ts"))
-    path = _work_path(spark, "first")
-    rows = streaming.first_by_key(stream, keys=("city", "hour_ts"))
-    streaming.append_stream(rows, path, _work_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(path).select("city", "hour_ts")
+    """The first event of each (city, hour) over five micro-batches: of the earliest landing the one
+    with the lowest id. Later ones never replace it."""
+    out, progress = Table(spark, _work_path(spark, "first"), monthly=True), _work_path(spark, "progress")
+    _landed_events(spark, d, lambda stream: streaming.upsert_stream(
+        stream.withColumn("hour_ts", expr.floor_hour("ts")), out, progress, keys=("city", "hour_ts"),
+        seq="event_id", keep="first").awaitTermination())
+    return out.read().select("city", "hour_ts", "event_id")
+
+
+# --- NULL keys, NaN, broken payloads, short instants ------------------------------------
+
+def _both_modes(make: Callable[[bool], DataFrame]) -> DataFrame:
+    """The rows of one operator with and without cutting the series."""
+    return make(False).withColumn("split", F.lit(False)).unionByName(make(True).withColumn("split", F.lit(True)))
+
+
+def _nameless(spark, d) -> DataFrame:
+    """Weather readings in which one city has no name."""
+    city = F.when(F.col("city") != "city_0", F.col("city")).alias("city")
+    return materialize(fx.raw_weather(spark, d).select(city, "ts", "temp", "humidity"))
+
+
+@query
+def null_key_series(spark, d):
+    rows = _nameless(spark, d)
+
+    def made(split: bool) -> DataFrame:
+        filled = tsop.forward_fill(rows, ["temp"], split=split, bucket_seconds=86400 if split else None)
+        rolled = tsop.rolling_mean(filled, ["humidity"], split=split)
+        lagged = tsop.add_lags(rolled, "temp", (1, 3), prefix="lag_", split=split)
+        placed = tsop.with_position(lagged, split=split)
+        return rounded(placed, "humidity_rolling_3h")
+
+    return _both_modes(made)
+
+
+@query
+def null_key_marks(spark, d):
+    """Training flags and folds, a share of 1 among them."""
+    rows = _nameless(spark, d).select("city", "ts")
+    return _both_modes(lambda split: tsop.cv_folds(
+        tsop.chrono_marks(rows, {"is_train": 0.8, "all_of_it": 1.0}, split=split), split=split))
+
+
+@query
+def null_key_profile(spark, d):
+    """Profile per city with a nameless one, NaN counted as missing."""
+    rows = _nameless(spark, d).withColumn(
+        "temp", F.when(F.hour("ts") % 7 == 3, F.lit(float("nan"))).otherwise(F.col("temp")))
+    out = stats.feature_profile(rows, keys=("city",)).select(
+        "city", "feature_name", "count", "null_count", "mean", "min", "max", "median")
+    return rounded(out, "mean", "min", "max", "median")
+
+
+@query
+def null_key_zscore(spark, d):
+    return outliers.zscore_filter(_nameless(spark, d).na.fill(0.0, ["temp", "humidity"]), ("temp", "humidity"))
+
+
+@query
+def quantiles_odd_values(spark, d):
+    """Quartiles of values with NaN and infinities, sorted whole and searched."""
+    value = F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).when(
+        F.col("event_id") % 101 == 0, F.lit(float("inf"))).when(
+        F.col("event_id") % 103 == 0, F.lit(float("-inf"))).otherwise(F.col("value"))
+    rows = materialize(spark.read.parquet(f"{d}/events.parquet").select("event_type", value.alias("value")))
+
+    def made(searched: bool) -> DataFrame:
+        q = exact_quantiles(rows, ["value"], [0.25, 0.5, 0.75], keys=("event_type",),
+                            max_interior=20 if searched else 10**9)
+        return q.select("event_type", *[F.round(F.col("value")[i], 6).alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
+                        F.lit(searched).alias("searched"))
+
+    return made(False).unionByName(made(True))
+
+
+@query
+def corr_with_nan(spark, d):
+    """Correlations of a column with NaN: they count as missing."""
+    rows = fx.raw_weather(spark, d).select("humidity", F.when(
+        F.hour("ts") % 5 == 1, F.lit(float("nan"))).otherwise(F.col("temp")).alias("temp"))
+    return rounded(stats.corr_matrix(rows, ["temp", "humidity"]), "r")
+
+
+@query
+def rolling_events(spark, d):
+    """Three-hour means over single events, whose times have fractions of a second."""
+    events = materialize(spark.read.parquet(f"{d}/events.parquet").select(
+        "event_id", F.concat(F.lit("city_"), (F.col("user_id") % 3).cast("string")).alias("city"), "ts", "value"))
+    return _both_modes(lambda split: rounded(
+        tsop.rolling_mean(events, ["value"], by="time", split=split), "value_rolling_3h"))
+
+
+@query
+def payload_report(spark, d):
+    """Payloads per city: accepted and rejected ones, and the rows and temperatures of the former.
+
+    Every fifth day's payload is cut short, one day a week answers with an error, and one hour
+    in eleven reads NaN."""
+    hours = fx.weather_hourly(spark, d).withColumn(
+        "temp", F.when(F.hour("ts") % 11 == 2, F.lit(float("nan"))).otherwise(F.col("temp")))
+    good = _daily_payloads(hours, schemas.WEATHER_FIELDS, {}, absent="")
+    text = F.when(F.col("n") % 5 == 0, F.expr("left(payload, length(payload) - 9)")).when(
+        F.col("n") % 7 == 3, F.lit('{"error": true}')).otherwise(F.col("payload"))
+    numbered = good.withColumn("n", F.dayofmonth(F.left(F.get_json_object("payload", "$.hourly.time[0]"), F.lit(10)).cast("date")))
+    accepted, rejected = feeds.split_payloads(
+        materialize(numbered.select("city", text.alias("payload"))), "payload", schemas.WEATHER_FIELDS)
+    rows = feeds.decode_text(accepted, "payload", schemas.WEATHER_FIELDS)
+    counts = accepted.withColumn("good", F.lit(1)).unionByName(rejected.withColumn("good", F.lit(0)))
+    counts = counts.groupBy("city").agg(F.sum("good").alias("accepted"), F.sum(1 - F.col("good")).alias("rejected"))
+    return counts.join(rows.groupBy("city").agg(F.count("*").alias("hours"), F.count("temp").alias("temps")), "city")
+
+
+@query
+def upsert_without_time(spark, d):
+    """Two upserts whose rows partly lack a time: none of them loses rows of the other."""
+    out = Table(spark, _work_path(spark, "raw"), monthly=True)
+    hour = F.when(F.hour("ts") % 6 != 0, F.col("ts"))
+    rows = materialize(fx.raw_weather(spark, d).groupBy("city", hour.alias("ts")).agg(F.max("clouds").alias("clouds")))
+    for city in ("city_0", "city_1", "city_2"):
+        out.upsert(rows.filter(F.col("city") == city))
+    return out.read()
+
+
+@query
+def stored_lookup(spark, d):
+    """Rows of a stored table by value and by time; both filters reach the scan."""
+    out = Table(spark, _work_path(spark, "raw"), monthly=True)
+    out.overwrite(fx.raw_weather(spark, d))
+    wanted = out.lookup(source=schemas.SOURCE_FORECAST, city="city_1").select("city", "ts", "temp", "source")
+    recent = out.read(since=fx.at("2024-01-20 00:00:00"), until=fx.at("2024-01-20 06:00:00"))
+    return wanted.unionByName(recent.select("city", "ts", "temp", "source"))

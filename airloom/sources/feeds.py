@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.functions.expr import parse_time
+from airloom.functions.expr import clean_double, parse_time
 from airloom.schemas import (
     AQI_FIELDS, SOURCE_ARCHIVE, SOURCE_FORECAST, WEATHER_FIELDS, payload_schema,
 )
@@ -14,14 +14,16 @@ from airloom.schemas import (
 def decode_hourly(payloads: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Explode ``hourly.time`` and pick the same index from every measure array.
 
-    A short or absent array yields NULL. Columns other than ``hourly`` are kept.
+    A short or absent array and NaN yield NULL. A payload without times raises. Columns other
+    than ``hourly`` are kept.
     """
     others = [c for c in payloads.columns if c != "hourly"]
+    times = F.when(F.col("hourly.time").isNull(), F.raise_error(F.lit("payload without hourly times")))
     return payloads.select(
-        *others, "hourly", F.posexplode("hourly.time").alias("_i", "_time")
+        *others, "hourly", F.posexplode(times.otherwise(F.col("hourly.time"))).alias("_i", "_time")
     ).select(
         *others, parse_time("_time").alias("ts"),
-        *[F.get(f"hourly.{wire}", "_i").alias(name) for wire, name in fields.items()],
+        *[clean_double(F.get(f"hourly.{wire}", "_i")).alias(name) for wire, name in fields.items()],
     )
 
 
@@ -40,7 +42,8 @@ def _with_origin(
 
 
 def _read(spark, path, fields, city, source, lat, lon, fetched_at, multiline) -> DataFrame:
-    payloads = spark.read.schema(payload_schema(fields)).json(path, multiLine=multiline)
+    reader = spark.read.schema(payload_schema(fields))
+    payloads = reader.json(path, multiLine=multiline, mode="FAILFAST")  # a broken file is an error
     city = F.lit(city) if isinstance(city, str) else city
     return _with_origin(
         decode_hourly(payloads, fields), fields, city, source, lat, lon, fetched_at
@@ -77,12 +80,21 @@ def read_aqi(
 
 
 def decode_text(payloads: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:
-    """Decode payloads held as JSON text in a column; other columns are kept."""
+    """Decode payloads held as JSON text in a column; other columns are kept. A broken payload
+    raises; ``split_payloads`` sets such ones apart first."""
     others = [c for c in payloads.columns if c != column]
-    parsed = F.from_json(column, payload_schema(fields))
+    parsed = F.from_json(column, payload_schema(fields), {"mode": "FAILFAST"})
     return decode_hourly(payloads.select(*others, parsed["hourly"].alias("hourly")), fields)
 
 
+def split_payloads(payloads: DataFrame, column: str, fields: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): payloads that parse and hold times, and all others, NULL included."""
+    schema = payload_schema(fields).add("_broken", "string")
+    parsed = F.from_json(column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    good = F.coalesce(parsed["_broken"].isNull() & parsed["hourly"]["time"].isNotNull(), F.lit(False))
+    return payloads.filter(good), payloads.filter(~good)
+
+
 def combine_feeds(archive: DataFrame, forecast: DataFrame) -> DataFrame:
     """Both feeds as one append log; the forecast is the later batch."""
     return archive.withColumn("seq", F.lit(1)).unionByName(forecast.withColumn("seq", F.lit(2)))

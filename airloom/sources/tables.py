@@ -1,4 +1,9 @@
-"""Stored tables: Parquet folders with overwrite, keyed upsert and partial-column merge."""
+"""Stored tables: Parquet folders with overwrite, keyed upsert and partial-column merge.
+
+A monthly table is partitioned by month, and an upsert swaps in the months it touches. Any other
+table is a folder of versions: a rewrite writes the next one beside the last, and readers take the
+highest that is complete, so a failure leaves the table as it was.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +19,11 @@ from airloom.session import materialize
 
 MONTH = "yyyy-MM"
 PART = "part_month"  # not a feature name: `month` is one
+NO_MONTH = "none"  # rows without a time
+
+
+def month_of(order: str) -> Column:
+    return F.coalesce(F.date_format(order, MONTH), F.lit(NO_MONTH))
 
 
 def latest_by_key(
@@ -29,20 +39,24 @@ def latest_by_key(
 
 def upsert(
     old: DataFrame | None, new: DataFrame, *, keys: Sequence[str] = ("city", "ts"),
-    seq: str | None = None,
+    seq: str | None = None, keep: str = "last",
 ) -> DataFrame:
     """``new`` over ``old``: every column of a rewritten key is replaced, NULLs included.
 
-    ``seq`` orders rewrites within ``new``; without it the keys of ``new`` must be unique.
+    ``seq`` orders rewrites within ``new``; without it the keys of ``new`` must be unique. With
+    ``keep="first"`` it is the other way round: old rows stay, and of new ones the lowest ``seq``,
+    which is then stored, too.
     """
+    if keep not in ("first", "last"):
+        raise ValueError(f"unknown keep {keep!r}")
     order = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
-    fresh = new.withColumn("_seq", order)
-    if seq:
+    fresh = new.withColumn("_seq", order if keep == "last" else -order)
+    if seq and keep == "last":
         fresh = fresh.drop(seq)
     if old is None:
         return latest_by_key(fresh, keys=keys, seq=("_seq",)).drop("_seq")
     stale = old.select(*fresh.drop("_seq").columns).withColumn(
-        "_seq", F.lit(-(2**62)).cast("long")
+        "_seq", F.lit(-(2**62) if keep == "last" else 2**62).cast("long")
     )
     return latest_by_key(stale.unionByName(fresh), keys=keys, seq=("_seq",)).drop("_seq")
 
@@ -82,7 +96,28 @@ class Table:
         self.monthly = monthly
         self.order = order
 
+    def _folders(self) -> tuple[list[int], list[int]]:
+        """Version numbers of this table: all, and the complete ones."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return [], []
+        names = [f.getPath().getName() for f in fs.listStatus(root)]
+        found = sorted(int(n[2:]) for n in names if n.startswith("v-"))
+        done = [n for n in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self._version(n)}/_SUCCESS"))]
+        return found, done
+
+    def _version(self, number: int) -> str:
+        return f"{self.path}/v-{number:010d}"
+
+    def _remove(self, number: int) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._version(number))
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def exists(self) -> bool:
+        if not self.monthly:
+            return bool(self._folders()[1])
         try:
             self._scan()
         except AnalysisException as e:
@@ -96,7 +131,7 @@ class Table:
         if self.schema is not None:
             stored = T.StructType([*self.schema])
             reader = reader.schema(stored.add(PART, "string") if self.monthly else stored)
-        return reader.parquet(self.path)
+        return reader.parquet(self.path if self.monthly else self._version(self._folders()[1][-1]))
 
     def read(self, since=None, until=None) -> DataFrame:
         """The rows, optionally with ``since <= order < until`` (times or columns).
@@ -119,43 +154,46 @@ class Table:
         return df.drop(PART) if self.monthly else df
 
     def overwrite(self, df: DataFrame) -> DataFrame:
-        """Replace the whole content; ``df`` must not read this table."""
+        """Replace the whole content; ``df`` must not read this table if it is monthly."""
         self._write(df, dynamic=False)
         return self.read()
 
     def _write(self, df: DataFrame, dynamic: bool) -> None:
         if not self.monthly:
-            df.write.mode("overwrite").parquet(self.path)
+            found, done = self._folders()
+            df.write.parquet(self._version(found[-1] + 1 if found else 1))
+            for number in found:
+                if number not in done[-1:]:  # the last one may still be read
+                    self._remove(number)
             return
         # Rebalancing splits large months over several tasks and merges small remainders.
-        dated = df.withColumn(PART, F.date_format(self.order, MONTH)).hint("rebalance", PART)
+        dated = df.withColumn(PART, month_of(self.order)).hint("rebalance", PART)
         dated.write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic" if dynamic else "static"
         ).partitionBy(PART).parquet(self.path)
 
     def upsert(
-        self, new: DataFrame, *, keys: Sequence[str] = ("city", "ts"), seq: str | None = None
+        self, new: DataFrame, *, keys: Sequence[str] = ("city", "ts"), seq: str | None = None,
+        keep: str = "last",
     ) -> DataFrame:
-        """Last writer wins on ``keys``.
+        """Last writer wins on ``keys``, or the first one with ``keep="first"``.
 
         A monthly table rewrites only the months that ``new`` touches: Spark writes them
         aside and swaps them in when the job commits, so they may be read meanwhile.
         """
         if not self.exists():
-            return self.overwrite(upsert(None, new, keys=keys, seq=seq))
+            return self.overwrite(upsert(None, new, keys=keys, seq=seq, keep=keep))
         if not self.monthly:
-            return self.overwrite(materialize(upsert(self.read(), new, keys=keys, seq=seq)))
-        touched = new.select(F.date_format(self.order, MONTH).alias(PART)).distinct()
+            return self.overwrite(upsert(self.read(), new, keys=keys, seq=seq, keep=keep))
+        touched = new.select(month_of(self.order).alias(PART)).distinct()
         months = [r[PART] for r in touched.collect()]  # bounded by the covered time range
         old = self._scan().filter(F.col(PART).isin(months)).drop(PART)
-        self._write(upsert(old, new, keys=keys, seq=seq), dynamic=True)
+        self._write(upsert(old, new, keys=keys, seq=seq, keep=keep), dynamic=True)
         return self.read()
 
     def merge(self, new: DataFrame, *, key: str, keep_first: Sequence[str] = ()) -> DataFrame:
         """Update only the columns ``new`` carries."""
-        return self.overwrite(
-            materialize(merge_columns(self.read(), new, key=key, keep_first=keep_first))
-        )
+        return self.overwrite(merge_columns(self.read(), new, key=key, keep_first=keep_first))
 
     def lookup(self, **equal) -> DataFrame:
         """Rows with the given column values; the filter reaches the Parquet scan."""

@@ -15,16 +15,19 @@ from airloom.sources.tables import Table
 def upsert_stream(
     rows: DataFrame, table: Table, checkpoint: str, *, seq: str | None = None,
     keys: tuple[str, ...] = ("city", "ts"), prepare: Callable[[DataFrame], DataFrame] | None = None,
-    output_mode: str = "append",
+    output_mode: str = "append", keep: str = "last",
 ) -> StreamingQuery:
     """Upsert each micro-batch into ``table``; stops when all present input is taken.
 
+    With ``keep="first"`` a stored key is never rewritten, and within a batch the row with the
+    lowest ``seq`` comes first.
+
     A batch that is replayed after a failure writes the same rows again, so the result is
     the same as if it had run once.
     """
     def write(batch: DataFrame, _batch_id: int) -> None:
         # Stored once: the upsert reads it more than once, the stream's plan should not run again.
-        table.upsert(materialize(prepare(batch) if prepare else batch), keys=keys, seq=seq)
+        table.upsert(materialize(prepare(batch) if prepare else batch), keys=keys, seq=seq, keep=keep)
 
     return (
         rows.writeStream.foreachBatch(write).outputMode(output_mode)
@@ -64,6 +67,14 @@ def first_by_key(
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_at")
 
 
+def late_rows(run: StreamingQuery) -> int:
+    """Rows that the watermark has dropped so far; an aggregation counts them after summing up
+    each task's share of a group."""
+    return sum(
+        op.numRowsDroppedByWatermark for p in run.recentProgress for op in p.stateOperators
+    )
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet folder; stops when all present input is taken."""
     return (
