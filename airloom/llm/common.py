@@ -26,7 +26,7 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 64 << 20) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
     """Arrow batches of at most ``rows`` rows and about ``size`` bytes, whatever the texts' length."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -6,14 +6,18 @@
    some coordinates by a hash of its path, and a set goes to the child named by each picked
    coordinate and its token there. Two sets of similarity 0.75 meet in one child on average, so
    that branches of similar sets live on and others die out.
-3. In each node all sets are compared with the node's first one; then small nodes (``LEAF``) are
-   compared exhaustively, and larger ones branch again. Sets that confirmed links have joined in
-   one component need no further comparison, so a large group of near copies takes one comparison
-   each and ends. Nodes still large after ``DEPTH`` levels are compared across their components.
-4. Links are confirmed on the full sets: 100 * intersection >= 75 * union.
-
-A pair at the threshold is in the same node of a level with probability over 0.999 within the
-trees for three levels (16 trees; survival 0.37 per tree), and far more at the first level.
+3. In each node all sets are compared with two of its sets, one of them that with the smallest id
+   (an original, often). Sets that confirmed links have joined in one component need no further
+   comparison, so a large group of near copies takes a few comparisons each. Nodes with few open
+   pairs (``OPEN`` for each of their sets, as a node of 16 unrelated sets has) are then compared
+   exhaustively, and others branch again, by size, too, as similar sets have similar sizes.
+4. Sets that are still in open nodes after ``DEPTH`` levels (those of texts around a common passage or
+   a large group that they nearly resemble) are joined exactly: two similar sets share one of
+   the rarest quarter of their shingles, and sets of different components that do are compared.
+5. Links are confirmed on the full sets: 100 * intersection >= 75 * union.
+
+A pair at the threshold meets in 12 of the 16 roots' children on average, and never with probability
+2e-10; where it meets in open nodes alone, the exact join finds it.
 
 Defined cases: a null or empty text, or one without words, has the empty set and links with
 nothing. Repeated rows are members of one class. Rows with a null id are never linked, and are
@@ -26,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.llm.common import bounded_batches, chunks, text_of
@@ -37,9 +41,9 @@ WORDS = 5
 COORDINATES = 64
 TREES = 16
 #: Coordinates that the root of a tree branches on.
-ROOT = 2
-LEAF = 16
-DEPTH = 6
+ROOT = 1
+OPEN = 8
+DEPTH = 2
 SIMILAR = 75
 #: Pairs whose estimate is below this are not confirmed: at a similarity of 0.75 the estimate
 #: from 64 coordinates falls short of it with a probability of 1e-5.
@@ -69,7 +73,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -131,8 +135,17 @@ def _signatures(batch: pa.RecordBatch) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
+MEMBER = "node bigint, k binary, id bigint, n bigint"
+
+
+def _members(node: np.ndarray, batch: pa.RecordBatch, row: np.ndarray) -> pa.RecordBatch:
+    row = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(node.view(np.int64)), *(batch.column(c).take(row) for c in ("k", "id", "n"))], names=["node", "k", "id", "n"])
+
+
 def roots(classes: DataFrame, trees: int = TREES) -> DataFrame:
-    """(node, k): every class in the first level of all trees."""
+    """(node, k, id, n): every class in the first level of all trees."""
     picked = np.argsort(mix(_SEEDS[2 * COORDINATES: 3 * COORDINATES]))
     coordinate = np.array([picked[(t * ROOT + j) % COORDINATES] for t in range(trees) for j in range(ROOT)])
     path = np.array([t * COORDINATES + c + 1 for t, c in zip(np.repeat(np.arange(trees), ROOT), coordinate)], np.uint64)
@@ -141,15 +154,18 @@ def roots(classes: DataFrame, trees: int = TREES) -> DataFrame:
         for batch in batches:
             node = mix(mix(path)[None, :] ^ _signatures(batch)[:, coordinate].astype(np.uint64))
             row = np.repeat(np.arange(batch.num_rows), len(coordinate))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node.ravel().view(np.int64)), batch.column("k").take(pa.array(row))], names=["node", "k"])
+            yield _members(node.ravel(), batch, row)
 
-    return classes.select("k", "sig").mapInArrow(run, "node bigint, k binary")
+    return classes.select("k", "id", "n", "sig").mapInArrow(run, MEMBER)
 
 
-def branch(rows: DataFrame) -> DataFrame:
-    """(node, k, sig) -> (node, k) one level down. A coordinate is picked with probability
-    1 / (0.75 * COORDINATES), by a hash of the node, so for all sets of the node alike."""
+def branch(rows: DataFrame, by_size: bool) -> DataFrame:
+    """(node, k, id, n, sig) -> (node, k, id, n) one level down. A coordinate is picked with
+    probability 1 / (0.75 * COORDINATES), by a hash of the node, so for all sets of the node alike.
+
+    With ``by_size`` a child is cut into overlapping classes of size: a set goes to its own class
+    and to the next, and classes are so wide that similar sets share one.
+    """
     limit = _U(int(2**64 / (SIMILAR / 100 * COORDINATES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,10 +176,12 @@ def branch(rows: DataFrame) -> DataFrame:
             names = mix(node[:, None] ^ _SEEDS[None, 3 * COORDINATES:])
             row, coordinate = np.nonzero(mix(names) < limit)
             child = mix(names[row, coordinate] ^ _signatures(batch)[row, coordinate].astype(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(child.view(np.int64)), batch.column("k").take(pa.array(row))], names=["node", "k"])
+            if by_size:
+                size = np.floor(np.log(batch.column("n").to_numpy()[row]) / np.log(100 / SIMILAR) - 1e-9).astype(np.int64).astype(np.uint64)
+                child, row = np.concatenate([mix(child ^ mix(size)), mix(child ^ mix(size + _U(1)))]), np.append(row, row)
+            yield _members(child, batch, row)
 
-    return rows.select("node", "k", "sig").mapInArrow(run, "node bigint, k binary")
+    return rows.select("node", "k", "id", "n", "sig").mapInArrow(run, MEMBER)
 
 
 def likely(pairs: DataFrame, classes: DataFrame, least: float = ESTIMATE) -> DataFrame:
@@ -182,10 +200,8 @@ def likely(pairs: DataFrame, classes: DataFrame, least: float = ESTIMATE) -> Dat
     return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, id_column: str, text: str) -> DataFrame:
-    """The pairs (a, b) that the full sets confirm. ``pairs`` is stored."""
-    spark = pairs.sparkSession
-
+def full_sets(wanted: DataFrame, classes: DataFrame, documents: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(k, s), stored: the sorted hashes of the sets of the wanted classes ``k``."""
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in chunks(batches, "text"):
@@ -194,6 +210,49 @@ def confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, id_colum
                 [pa.array([key_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["k", "s"])
 
+    bounded_batches(documents.sparkSession, rows=500)
+    ids = materialize(classes.join(wanted.select("k").distinct(), "k").select("id").distinct())
+    small = ids.count() <= BROADCAST_IDS
+    texts = documents.select(F.col(id_column).cast("bigint").alias("id"), text_of(text).alias("text"))
+    texts = texts.join(F.broadcast(ids) if small else ids, "id", "left_semi")
+    return materialize(
+        texts.select("text").mapInArrow(fetch, "k binary, s binary").groupBy("k").agg(F.first("s").alias("s")))
+
+
+def sharing_rare(sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components whose sets share one of their rarest shingles.
+
+    A set of n shingles has no similar one that shares none of its n - ceil(0.75 n) + 1 rarest, in
+    one order for all sets; and what follows the first shared one in both sets must suffice for
+    the similarity. ``parts``: (k, c). Shingles of a single set fill the place of rare ones and meet
+    nothing, so a set with many own shingles gives few rows or none.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(s, np.int64) for s in batch.column("s").to_pylist()]
+            row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            n = np.array([len(s) for s in sets], np.int64)
+            if len(row):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("k").take(pa.array(row)), pa.array(n[row]), pa.array(np.concatenate(sets))], names=["k", "n", "x"])
+
+    rows = sets.mapInArrow(run, "k binary, n bigint, x bigint")
+    often = rows.groupBy("x").count().filter("count > 1")
+    shared = materialize(rows.join(often, "x"))
+    own = F.col("n") - F.count("*").over(Window.partitionBy("k"))
+    rank = F.row_number().over(Window.partitionBy("k").orderBy("count", "x"))
+    rare = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1
+    first = shared.withColumn("place", own + rank).filter(F.col("place") <= rare)
+    first = materialize(first.select("k", "x", "n", (F.col("n") - F.col("place") + 1).alias("left")).join(parts, "k"))
+    mixed = first.groupBy("x").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("x")
+    first = first.join(mixed, "x")
+    other = first.select("x", F.col("k").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("left").alias("over"))
+    enough = f"{100 + SIMILAR} * least(left, over) >= {SIMILAR} * (n + m)"
+    return first.join(other, "x").filter(f"k < b and c <> d and {enough}").select(F.col("k").alias("a"), "b")
+
+
+def confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, id_column: str, text: str) -> DataFrame:
+    """The pairs (a, b) that the full sets confirm. ``pairs`` is stored."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -203,21 +262,15 @@ def confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, id_colum
                 keep.append(100 * both >= SIMILAR * (len(x) + len(y) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    bounded_batches(spark, rows=500)
-    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    ids = materialize(classes.join(wanted, "k").select("id").distinct())
-    small = ids.count() <= BROADCAST_IDS
-    texts = documents.select(F.col(id_column).cast("bigint").alias("id"), text_of(text).alias("text"))
-    texts = texts.join(F.broadcast(ids) if small else ids, "id", "left_semi")
-    sets = texts.select("text").mapInArrow(fetch, "k binary, s binary").groupBy("k").agg(F.first("s").alias("s"))
-    sets = materialize(sets)
+    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k")))
+    sets = full_sets(wanted, classes, documents, id_column, text)
     one, two = (sets.select(F.col("k").alias(c), F.col("s").alias(f"s_{c}")) for c in "ab")
     out = pairs.join(one, "a").join(two, "b").select("a", "b", "s_a", "s_b").mapInArrow(check, "a binary, b binary")
     return materialize(out)
 
 
 def link(
-    documents: DataFrame, *, id_column: str = "doc_id", text: str = "text", trees: int = TREES, leaf: int = LEAF,
+    documents: DataFrame, *, id_column: str = "doc_id", text: str = "text", trees: int = TREES, open_pairs: float = OPEN,
     depth: int = DEPTH,
 ) -> DataFrame:
     """One row per row of ``documents``: id, n_shingles, component_id (smallest id reachable), kept."""
@@ -231,9 +284,10 @@ def link(
     root = spark.createDataFrame([], "id binary, root binary")
 
     def component(members: DataFrame) -> DataFrame:
-        """(node, k, c): members with the component they are in so far."""
+        """Members with the component ``c`` they are in so far."""
         named = root.select(F.col("id").alias("k"), F.col("root").alias("c"))
-        return members.join(named, "k", "left").select("node", "k", F.coalesce("c", "k").alias("c"))
+        return members.select("node", "k", "id", "n").join(named, "k", "left").select(
+            "node", "k", "id", "n", F.coalesce("c", "k").alias("c"))
 
     def compare(pairs: DataFrame) -> None:
         nonlocal edges, tried, root
@@ -248,33 +302,35 @@ def link(
             root = materialize(components(edges))
 
     def mixed(members: DataFrame) -> DataFrame:
-        """Members of nodes that hold two components at least, with the node's size and first set."""
-        sizes = members.groupBy("node").agg(
-            F.count("*").alias("size"), F.min("k").alias("first"), F.min("c").alias("low"), F.max("c").alias("high"))
-        return members.join(sizes.filter("low <> high"), "node").drop("low", "high")
+        """Members of nodes that hold two components at least, with two of the node's sets and whether
+        it has few open pairs."""
+        parts = members.groupBy("node", "c").agg(
+            F.count("*").alias("m"), F.min(F.struct("k", "c")).alias("some"), F.min(F.struct("id", "k", "c")).alias("first"))
+        sizes = parts.groupBy("node").agg(
+            F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("same"), F.count("*").alias("parts"),
+            F.min("some").alias("some"), F.min("first").alias("first"))
+        few = (F.col("size") * F.col("size") - F.col("same")) / 2 <= open_pairs * F.col("size")
+        return members.join(sizes.filter("parts > 1").select("node", "some", "first", few.alias("few")), "node")
 
     nodes = materialize(roots(classes, trees))
     for level in range(1, depth + 1):
         nodes = materialize(mixed(component(nodes)))
         if nodes.isEmpty():
             break
-        compare(nodes.filter("k <> first").select(F.col("first").alias("a"), F.col("k").alias("b")))
-        nodes = materialize(mixed(component(nodes.select("node", "k"))))
-        last = level == depth
-        few = nodes.select("node", "k", "c") if last else nodes.filter(F.col("size") <= leaf).select("node", "k", "c")
-        other = few.select("node", F.col("k").alias("b"), F.col("c").alias("d"))
-        if last:  # nodes that are still large: spread their pairs over tasks
-            salts = 16
-            few = few.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(salts)).cast("int"))
-            other = other.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-            met = few.join(other, ["node", "salt"])
-        else:
-            met = few.join(other, "node")
+        two = F.array(F.struct("first.k", "first.c"), F.col("some"))
+        met = nodes.select("k", "c", F.explode(F.array_distinct(two)).alias("with")).filter("c <> with.c")
+        compare(met.select(F.col("with.k").alias("a"), F.col("k").alias("b")))
+        nodes = materialize(mixed(component(nodes)))
+        few = nodes.filter("few").select("node", "k", "c")
+        met = few.join(few.select("node", F.col("k").alias("b"), F.col("c").alias("d")), "node")
         compare(met.filter("k < b and c <> d").select(F.col("k").alias("a"), "b"))
-        if last:
-            break
-        large = nodes.filter(F.col("size") > leaf).select("node", "k")
-        nodes = materialize(branch(large.join(classes.select("k", "sig"), "k")))
+        large = nodes.filter("not few").select("node", "k", "id", "n")
+        if level < depth:
+            nodes = materialize(branch(large.join(classes.select("k", "sig"), "k"), by_size=level == 1))
+        else:
+            rest = component(large.dropDuplicates(["k"])).select("k", "c")
+            sets = full_sets(materialize(rest), classes, documents, id_column, text)
+            compare(sharing_rare(sets, rest))
     # The smallest id of every component; classes without a link are their own.
     named = classes.select("k", "id").join(root.select(F.col("id").alias("k"), "root"), "k", "left")
     named = named.select("k", "id", F.coalesce("root", "k").alias("root"))

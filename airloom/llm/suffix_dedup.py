@@ -36,7 +36,7 @@ LENGTH = 100
 PIECE = 16
 HOT = 4000
 #: Bytes of runs that are sorted together.
-SORTED_BYTES = 12 << 20
+SORTED_BYTES = 2 << 20
 #: Bytes of text whose anchors are looked for together; positions must fit 24 bits.
 ANCHOR_BYTES = 8 << 20
 #: Texts up to this number are picked by a broadcast of their keys (40 bytes each), else by a shuffle.

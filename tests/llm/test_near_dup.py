@@ -51,7 +51,7 @@ def test_query_equals_brute_force(spark):
     check(QUERIES["op8_near_duplicates"](spark, FOLDER).collect(), docs)
 
 
-def test_common_passages_large_groups_and_small_leaves(spark):
+def test_common_passages_large_groups_and_deep_trees(spark):
     """One passage in every text, a large group of near copies, and nodes that must branch."""
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
@@ -70,7 +70,7 @@ def test_common_passages_large_groups_and_small_leaves(spark):
         w[rng.randrange(len(w))] = word()
         docs[i] = " ".join(w)
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
-    check(near_dup.link(df, leaf=4).collect(), docs)
+    check(near_dup.link(df, open_pairs=2).collect(), docs)
 
 
 def test_edges(spark):
