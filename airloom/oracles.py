@@ -264,6 +264,15 @@ _FEATURE_VALUES = ", ".join("(" + ", ".join(_text(x) for x in row) + ")" for row
 _FLAGS = {"temp": True, "humidity": True, "pressure": True, "pm2_5": True, "us_aqi": True, "source": False}
 
 
+#: The columns that the models are trained on, in their order.
+_MODEL_FEATURES = (
+    "temp", "humidity", "pressure", "wind_speed", "clouds", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide",
+    "ozone", "hour", "day", "month", "day_of_week", "is_weekend", "is_rush_hour", "temp_humidity_interaction",
+    "wind_pressure_interaction", "pm2_5_rolling_3h", "temp_rolling_3h", "aqi_lag_1", "aqi_lag_3", "aqi_lag_6",
+    "aqi_lag_12", "aqi_lag_24", "aqi_lag_48",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     m = ", ".join(MEASURES)
@@ -528,6 +537,24 @@ def oracle_sql() -> dict[str, str]:
 
     q["feature_store"] = q["metadata_merge"]
 
+    # Spark ML: what holds for any model
+    q["train_compare"] = """SELECT * FROM (VALUES ('Random Forest', true, 2::BIGINT), ('XGBoost', true, 2::BIGINT),
+        ('Gradient Boosting', true, 2::BIGINT)) m("Model", metrics_match, parts)"""
+    q["score_forecast"] = with_views(
+        """SELECT city, ts, humidity, hour, true AS scored, true AS category_fits, true AS is_best FROM features""",
+        "forecast", "raw_aqi", extra=_forecast_views())
+    q["backtest"] = with_views(
+        f"""SELECT f.city, f.ts, us_aqi AS actual, true AS error_fits FROM (
+              SELECT city, ts, row_number() OVER (PARTITION BY city ORDER BY ts DESC) AS rn FROM ({_preprocess()}) p) f
+            JOIN raw_aqi a ON a.city = f.city AND a.ts = f.ts WHERE rn <= 24""", "joined")
+    numbered = ", ".join(f"({i + 1}, '{n}')" for i, n in enumerate(_MODEL_FEATURES))
+    q["feature_importance"] = f"""SELECT feature_name, 1.0::DOUBLE AS total, true AS is_share
+        FROM (VALUES {numbered}) f(number, feature_name)"""
+    q["registered_features"] = f"SELECT CAST(number AS INT) AS number, feature_name FROM (VALUES {numbered}) f(number, feature_name)"
+    q["pipeline_forecast"] = with_views(
+        """SELECT city, CAST(ts AS DATE) AS day, count(*) AS hours, true AS mean_fits, true AS category_fits
+           FROM features GROUP BY 1, 2""", "forecast", "raw_aqi", extra=_forecast_views())
+
     # streaming, against the batch result; late events do not count
     q["stream_hourly"] = """SELECT concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city,
         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, count(*) AS n,
