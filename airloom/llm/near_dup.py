@@ -312,25 +312,32 @@ def link(
         few = (F.col("size") * F.col("size") - F.col("same")) / 2 <= open_pairs * F.col("size")
         return members.join(sizes.filter("parts > 1").select("node", "some", "first", few.alias("few")), "node")
 
-    nodes = materialize(roots(classes, trees))
-    for level in range(1, depth + 1):
-        nodes = materialize(mixed(component(nodes)))
-        if nodes.isEmpty():
-            break
+    def with_two(nodes: DataFrame) -> DataFrame:
+        """Pairs of a node's sets with two of them."""
         two = F.array(F.struct("first.k", "first.c"), F.col("some"))
         met = nodes.select("k", "c", F.explode(F.array_distinct(two)).alias("with")).filter("c <> with.c")
-        compare(met.select(F.col("with.k").alias("a"), F.col("k").alias("b")))
-        nodes = materialize(mixed(component(nodes)))
+        return met.select(F.col("with.k").alias("a"), F.col("k").alias("b"))
+
+    def within(nodes: DataFrame) -> DataFrame:
+        """Open pairs of the nodes that have few."""
         few = nodes.filter("few").select("node", "k", "c")
         met = few.join(few.select("node", F.col("k").alias("b"), F.col("c").alias("d")), "node")
-        compare(met.filter("k < b and c <> d").select(F.col("k").alias("a"), "b"))
+        return met.filter("k < b and c <> d").select(F.col("k").alias("a"), "b")
+
+    nodes = materialize(mixed(component(roots(classes, trees))))
+    compare(with_two(nodes))
+    nodes = materialize(mixed(component(nodes)))
+    for level in range(1, depth):
         large = nodes.filter("not few").select("node", "k", "id", "n")
-        if level < depth:
-            nodes = materialize(branch(large.join(classes.select("k", "sig"), "k"), by_size=level == 1))
-        else:
-            rest = component(large.dropDuplicates(["k"])).select("k", "c")
-            sets = full_sets(materialize(rest), classes, documents, id_column, text)
-            compare(sharing_rare(sets, rest))
+        below = branch(large.join(classes.select("k", "sig"), "k"), by_size=level == 1)
+        below = materialize(mixed(component(below)))
+        compare(within(nodes).union(with_two(below)))
+        nodes = materialize(mixed(component(below)))
+    rest = materialize(nodes.filter("not few").groupBy("k").agg(F.min("c").alias("c")))
+    pairs = within(nodes)
+    if not rest.isEmpty():
+        pairs = pairs.union(sharing_rare(full_sets(rest, classes, documents, id_column, text), rest))
+    compare(pairs)
     # The smallest id of every component; classes without a link are their own.
     named = classes.select("k", "id").join(root.select(F.col("id").alias("k"), "root"), "k", "left")
     named = named.select("k", "id", F.coalesce("root", "k").alias("root"))
