@@ -57,7 +57,7 @@ def materialize(df: DataFrame) -> DataFrame:
     upstream plan, its columns still prune, and its size is known to the join planner.
     """
     path = f"{scratch_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # no direct buffers, which many small tasks add up
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._is_stored = True
     return out
