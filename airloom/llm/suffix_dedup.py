@@ -139,6 +139,13 @@ def sort_piece(table: pa.Table, length: int) -> pa.Table:
     again = np.append(False, (o[1:] == o[:-1]) & (d[1:] == d[:-1]) & (first[1:] == first[:-1]))
     order, o, d, first = (x[~again] for x in (order, o, d, first))  # a row that was read twice
     rows = table.column("bytes").combine_chunks().take(pa.array(order)).to_pylist()
+    # Runs that equal an earlier one are covered whole and need no sorting.
+    seen: set[bytes] = set()
+    fresh = np.array([not (b in seen or seen.add(b)) for b in rows], bool)
+    late = {"ord": o[~fresh], "d": d[~fresh], "first": first[~fresh], "last": first[~fresh] + np.array(
+        [len(b) - length for b, new in zip(rows, fresh) if not new], np.int64), "digest": [None] * int((~fresh).sum())}
+    order, o, d, first = (x[fresh] for x in (order, o, d, first))
+    rows = [b for b, new in zip(rows, fresh) if new]
     hot = (table.column("salts").to_numpy() > 1)[order]
     sizes = np.array([len(b) for b in rows])
     starts = np.cumsum(sizes) - sizes
@@ -170,7 +177,7 @@ def sort_piece(table: pa.Table, length: int) -> pa.Table:
     extra = {"ord": o[run_of[lead]], "d": d[run_of[lead]], "first": first[run_of[lead]] + inside[lead], "last": first[run_of[lead]] + inside[lead],
              "digest": [hashlib.blake2b(blob[p: p + length], digest_size=16).digest() for p in lead.tolist()]}
     schema = pa.schema([("ord", pa.int64()), ("d", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("digest", pa.binary())])
-    return pa.concat_tables([pa.table(x, schema=schema) for x in (out, extra)])
+    return pa.concat_tables([pa.table(x, schema=schema) for x in (late, out, extra)])
 
 
 def _sort_shards(runs: DataFrame, length: int) -> DataFrame:
