@@ -70,3 +70,48 @@ judged AS (SELECT m.*, NOT base_failed AND NOT ({_rejects()}) AS kept FROM b m)
 
 QUALITY_RULES = f"""WITH {QUALITY_RULES_WITH}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"""
+
+NEAR_DUPLICATES = """WITH RECURSIVE
+d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS x FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+m AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id"""
+
+_MASKS = ("1101101101", "1011110011", "1110011101")
+
+
+def _masked(at: str) -> str:
+    """(mask, key) rows of the ten-word window that starts at ``at`` of ``ws``."""
+    keys = ", ".join(
+        "struct_pack(mask := '%s', key := concat_ws(' ', %s))" % (m, ", ".join(f"ws[{at} + {i}]" for i, c in enumerate(m) if c == "1"))
+        for m in _MASKS)
+    return f"[{keys}]"
+
+
+DECONTAMINATION = f"""WITH
+b AS (SELECT min(item_id) AS item, ws FROM (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'),
+    lambda x: x <> '') AS ws FROM benchmark) WHERE len(ws) >= 5 AND item_id IS NOT NULL GROUP BY ws),
+d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'),
+    lambda x: x <> '') AS ws FROM documents WHERE doc_id IS NOT NULL),
+bs AS (SELECT item, q, unnest({_masked('q')}, recursive := true) FROM (SELECT item, ws, unnest(range(1, len(ws) - 8)) AS q FROM b WHERE len(ws) >= 10)
+    UNION ALL SELECT item, 1, 'whole' || len(ws), concat_ws(' ', ws) FROM b WHERE len(ws) < 10),
+ds AS (SELECT doc_id, p, unnest({_masked('p')}, recursive := true) FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 8)) AS p FROM d WHERE len(ws) >= 10)
+    UNION ALL SELECT doc_id, p, 'whole' || n, concat_ws(' ', ws[p:p + n - 1]) FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p
+      FROM d, (SELECT DISTINCT len(ws) AS n FROM b WHERE len(ws) < 10) l WHERE len(ws) >= n)),
+first AS (SELECT item, mask, key, min(q) AS q FROM bs GROUP BY ALL),
+hits AS (SELECT DISTINCT doc_id, item, p - q AS shift FROM ds JOIN first ON first.mask = ds.mask AND first.key = ds.key),
+laid AS (SELECT DISTINCT hits.doc_id, hits.item, len(b.ws) AS item_words, unnest(list_filter(range(1, len(b.ws) + 1),
+    lambda i: i + shift >= 1 AND coalesce(b.ws[i] = d.ws[i + shift], false))) AS i
+    FROM hits JOIN b ON b.item = hits.item JOIN d ON d.doc_id = hits.doc_id),
+found AS (SELECT doc_id, item, item_words, count(*) AS matched FROM laid GROUP BY ALL)
+SELECT doc_id, item AS item_id, item_words::BIGINT AS item_words, matched, matched / item_words AS coverage FROM found
+WHERE matched >= 5 AND matched / item_words >= 0.6"""

@@ -57,12 +57,12 @@ def op4_toxicity(spark, d):
     return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
-@query()
+@query(oracles.NEAR_DUPLICATES)
 def op8_near_duplicates(spark, d):
     return near_dup.link(table(spark, d, "documents"))
 
 
-@query()
+@query(oracles.DECONTAMINATION)
 def op9_decontamination(spark, d):
     return decontam.overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
