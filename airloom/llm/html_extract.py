@@ -157,6 +157,13 @@ class _Builder(HTMLParser):
             if inline and name in BLOCKS:  # an inline end tag does not end blocks
                 return
 
+    def parse_marked_section(self, i, report=1):
+        """As in browsers, an unknown <![...> is a comment up to the next >; the base class would give up."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i + 3) + 1 or -1
+
     def handle_data(self, data):
         if not self.hidden:
             self._add(data)
@@ -176,11 +183,8 @@ class _Builder(HTMLParser):
 def parse(html: str) -> list[Node]:
     """The block nodes of a page in page order, parents first."""
     builder = _Builder()
-    try:
-        builder.feed(html)
-        builder.close()
-    except AssertionError:  # the parser gives up on some malformed declarations; what it has read stays
-        pass
+    builder.feed(html)
+    builder.close()
     out, stack = [], [builder.top]
     while stack:
         node = stack.pop()

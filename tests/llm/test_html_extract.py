@@ -56,6 +56,20 @@ def test_menus_comments_and_markup_are_left_out():
         "A title & more\nFirst bold paragraph, with words enough to be one.\nSecond paragraph goes on here, too."]
 
 
+def test_text_behind_malformed_declarations_is_kept():
+    def texts(page):
+        return [n.text for n in html_extract.parse(page) if n.text]
+
+    for mark in ("<![x]>", "<![ CDATA[ q ]]>", "<![]>", "<![-1]>", "<![>", "<![x[<p>"):
+        assert texts(f"<p>before</p>{mark}<p>behind</p>")[-1] == "behind", mark
+    assert texts("<p>before</p><![-1")[0] == "before"
+    trees, article = html_extract.train(), "<article><h1>A title</h1>{}<p>First paragraph, with words enough to be one.</p></article>"
+    assert html_extract.extract_all([article.format("<![x]>")], trees) == html_extract.extract_all([article.format("")], trees) != [""]
+    rng = random.Random(5)
+    for _ in range(3000):
+        html_extract.parse("".join(rng.choices(["<!", "[", "]", ">", "<", "a", "-", "--", " ", "CDATA[", "if", "/", "?", "\"", "=", "p>"], k=12)))
+
+
 def test_edges(spark):
     broken = ["<p>", "</div></div>text", "<![CDATA[x", "<!-- open", "<table><tr><td>a<td>b", "<a href='", "&#xffffffff;", "<b>" * 3000 + "deep", "plain text", "<div>" * 2000 + "x"]
     rows = [(i, None if i % 2 else "u", h, "clash") for i, h in enumerate([None, "", *broken, "<p>" + "long words here. " * 50_000])]
