@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from airloom.llm import calibration, quality_classifier, toxicity
 from airloom.llm.queries import QUERIES
@@ -77,3 +78,30 @@ def test_word_counts_equal_plain_counts(spark):
         for s in toxicity.word_slots(t).tolist():
             want.setdefault(s, [0, 0])[y] += 1
     assert {r["slot"]: [r["n0"], r["n1"]] for r in got} == want
+
+
+def test_every_word_of_a_growing_vocabulary_counts(spark, monkeypatch):
+    """Rare words, and many words that are a little likelier in toxic texts, raise a score, whatever is joined or looked up."""
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    names = sorted({"".join(rng.choice(letters, 9)) for _ in range(30_000)})
+    plain, mild, rare, filler = names[:200], names[200:400], names[400:440], iter(names[440:])
+    rows = []
+    for i in range(600):
+        toxic = int(i % 4 == 0)
+        words = [*rng.choice(plain, 30), *rng.choice(mild, 10 if toxic else 2), *(next(filler) for _ in range(20))]
+        words += list(rng.choice(rare, 2)) if toxic else []
+        rows.append((i, " ".join(words), toxic))
+    probes = {10_001: plain[:30], 10_002: plain[:28] + rare[:2], 10_003: mild[:30]}
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(i, " ".join(w)) for i, w in probes.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    counts = {r["slot"]: r for r in toxicity.count_words(docs.join(labels, "doc_id").select("text", F.col("toxic").alias("label"))).collect()}
+    pairs = {(a, b) for _, t, _ in rows for a, b in zip(["", *t.split()], t.split())}
+    assert len(counts) == len({b for _, b in pairs}) > 12_000
+    assert sum(r["contexts"] for r in counts.values()) == len(pairs)
+    got = {}
+    for frequent in (1, 200, 1 << 18):
+        monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+        got[frequent] = {r["doc_id"]: r["score"] for r in toxicity.classify(docs, labels).collect()}
+    assert got[1] == got[200] == got[1 << 18]
+    assert got[1][10_002] > got[1][10_001] + 0.1 and got[1][10_003] > got[1][10_001] + 0.1
