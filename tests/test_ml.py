@@ -186,7 +186,7 @@ def test_best_round():
     assert training.best_round([1.0], 30) == 1
 
 
-def test_early_stopping_refits_the_leading_trees(finished):
+def test_early_stopping_refits_on_all_training_rows(finished):
     df = training.training_frame(finished[0].features.read(), PLAN)
     names = ["temp", "ozone", "aqi_lag_1"]
     data = training.assembly(names).fit(df).transform(df)
@@ -197,8 +197,9 @@ def test_early_stopping_refits_the_leading_trees(finished):
     full = training.estimator(training.XGBOOST, plan).fit(noisy.filter("is_train AND NOT is_validation"))
     n = stopped.getNumTrees
     assert n == training.best_round(full.evaluateEachIteration(noisy.filter("is_train AND is_validation"), "squared"), 1)
+    refit = training.estimator(training.XGBOOST, training.TrainingPlan(xgb_rounds=n)).fit(noisy.filter("is_train"))
     assert [t.toDebugString.split("\n")[1:] for t in stopped.trees] == [
-        t.toDebugString.split("\n")[1:] for t in full.trees[:n]]
+        t.toDebugString.split("\n")[1:] for t in refit.trees]
 
 
 def test_scaler_stage(finished):
