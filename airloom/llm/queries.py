@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from airloom.llm import (
     decontam, html_extract, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan,
-    suffix_dedup, toxicity,
+    suffix_dedup, token_files, toxicity,
 )
+from airloom.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -83,3 +85,11 @@ def op7_html_extraction(spark, d):
 @query()
 def op6_suffix_dedup(spark, d):
     return suffix_dedup.removal(table(spark, d, "documents"))
+
+
+@query()
+def op13_token_files(spark, d):
+    """Writes the files below the shared folder, then reads them back."""
+    folder = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write(table(spark, d, "documents"), folder)
+    return token_files.read(spark, folder)
