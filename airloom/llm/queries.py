@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.llm import (
-    decontam, html_extract, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan,
+    conversation_repair, decontam, html_extract, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan,
     suffix_dedup, token_files, toxicity,
 )
 from airloom.session import scratch_dir
@@ -93,3 +93,9 @@ def op13_token_files(spark, d):
     folder = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write(table(spark, d, "documents"), folder)
     return token_files.read(spark, folder)
+
+
+@query()
+def op12_conversation_repair(spark, d):
+    damaged = conversation_repair.damage(table(spark, d, "conversations"), "present")
+    return conversation_repair.summary(damaged, present="present")
