@@ -115,3 +115,56 @@ laid AS (SELECT DISTINCT hits.doc_id, hits.item, len(b.ws) AS item_words, unnest
 found AS (SELECT doc_id, item, item_words, count(*) AS matched FROM laid GROUP BY ALL)
 SELECT doc_id, item AS item_id, item_words::BIGINT AS item_words, matched, matched / item_words AS coverage FROM found
 WHERE matched >= 5 AND matched / item_words >= 0.6"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ord(substr({text}, i::INT, 1))::BIGINT)"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: "
+            "list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384::BIGINT))))")
+
+
+# Best (cost, audit) of every state, forward over the rows; states: '' nothing yet, s, u, a.
+CONVERSATION_REPAIR = f"""WITH RECURSIVE
+base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+kinds AS (SELECT *, {_crc32('name')} % 20 AS k FROM base),
+damaged AS (SELECT coalesce(conv_id::VARCHAR, '') AS c, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen FROM damaged),
+r AS (SELECT *, substr(role, 1, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+    WHEN seen THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM placed),
+step(q, role, nq) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+ins(q, nq, letters, cost) AS (SELECT q, q, '', 0 FROM (VALUES (''), ('s'), ('u'), ('a')) v(q)
+    UNION ALL VALUES ('', 'u', 'I', 5), ('s', 'u', 'I', 5), ('u', 'a', 'I', 5), ('a', 'u', 'I', 5),
+    ('', 'a', 'II', 10), ('s', 'a', 'II', 10), ('u', 'u', 'II', 10), ('a', 'a', 'II', 10)),
+edits AS (SELECT c, i, q, nq, 'K' AS letter, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS cost FROM r JOIN step ON step.role = initial
+      WHERE fault NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT c, i, q, nq, 'R', CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END FROM r JOIN step ON step.role IN ('u', 'a')
+      WHERE fault NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT c, i, q, q, 'D', 2 FROM r, (VALUES (''), ('s'), ('u'), ('a')) v(q)),
+dp(c, i, q, cost, audit) AS (SELECT DISTINCT c, 0::BIGINT, '', 0, '' FROM r
+    UNION ALL SELECT c, i, q, best.cost, best.audit FROM (
+      SELECT dp.c, dp.i + 1 AS i, e.nq AS q, min(struct_pack(cost := dp.cost + ins.cost + e.cost, audit := dp.audit || ins.letters || e.letter)) AS best
+      FROM dp JOIN ins ON ins.q = dp.q JOIN edits e ON e.c = dp.c AND e.i = dp.i + 1 AND e.q = ins.nq GROUP BY 1, 2, 3)),
+n AS (SELECT c, count(*) AS n, sum((fault = 'blank')::INT)::BIGINT AS blank, sum((fault = 'duplicate')::INT)::BIGINT AS duplicate,
+    sum((fault = 'truncated')::INT)::BIGINT AS truncated, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps FROM r GROUP BY c),
+pairs AS (SELECT c, sum((initial || coalesce(after, '') NOT IN ('su', 'ua', 'au'))::INT)::BIGINT AS illegal
+    FROM (SELECT c, initial, lead(initial) OVER (PARTITION BY c ORDER BY i) AS after, lead(i) OVER (PARTITION BY c ORDER BY i) AS j FROM r)
+    WHERE j IS NOT NULL GROUP BY c),
+best AS (SELECT dp.c, min(struct_pack(cost := dp.cost + ins.cost, audit := dp.audit || ins.letters)) AS b
+    FROM dp JOIN n ON n.c = dp.c AND n.n = dp.i JOIN ins ON ins.q = dp.q AND ins.nq IN ('', 'a') GROUP BY dp.c),
+letters AS (SELECT c, p, letter, sum((letter <> 'I')::INT) OVER (PARTITION BY c ORDER BY p) AS i, sum((letter <> 'D')::INT) OVER (PARTITION BY c ORDER BY p) AS e
+    FROM (SELECT c, p, substr(b.audit, p::INT, 1) AS letter FROM (SELECT c, b, unnest(range(1, length(b.audit) + 1)) AS p FROM best))),
+emitted AS (SELECT l.c, l.e, letter, CASE WHEN letter = 'I' THEN '' ELSE r.text END AS text, r.role,
+    first_value(letter = 'K' AND r.initial = 's') OVER (PARTITION BY l.c ORDER BY l.e) AS s
+    FROM letters l LEFT JOIN r ON r.c = l.c AND r.i = l.i WHERE letter <> 'D'),
+said AS (SELECT c, string_agg(CASE WHEN letter = 'K' THEN role WHEN (e + s::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY e) AS t
+    FROM emitted GROUP BY c)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+  coalesce(b.audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, '') AS c FROM conversations) o
+LEFT JOIN n ON n.c = o.c LEFT JOIN pairs ON pairs.c = o.c LEFT JOIN best ON best.c = o.c LEFT JOIN said ON said.c = o.c"""

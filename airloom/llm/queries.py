@@ -95,7 +95,7 @@ def op13_token_files(spark, d):
     return token_files.read(spark, folder)
 
 
-@query()
+@query(oracles.CONVERSATION_REPAIR)
 def op12_conversation_repair(spark, d):
     damaged = conversation_repair.damage(table(spark, d, "conversations"), "present")
     return conversation_repair.summary(damaged, present="present")
