@@ -168,3 +168,24 @@ SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
   coalesce(b.audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, '') AS c FROM conversations) o
 LEFT JOIN n ON n.c = o.c LEFT JOIN pairs ON pairs.c = o.c LEFT JOIN best ON best.c = o.c LEFT JOIN said ON said.c = o.c"""
+
+
+# A node is the joined digests of its turns, so that a subtree is what starts with it.
+PREFIX_TRIE = f"""WITH
+o AS (SELECT conv_id AS c, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS x, strlen(coalesce(text, '')) AS b,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c, {_crc32('c::VARCHAR')} % 9 AS h FROM o),
+rows AS (SELECT ids.c, o.i, o.x, o.b FROM ids JOIN o ON o.c = ids.c - ids.c % 5 AND o.i <= h
+    UNION ALL SELECT ids.c, 100 + o.i, o.x, o.b FROM ids JOIN o ON o.c = ids.c AND o.i > h),
+p AS (SELECT c, count(*) OVER w AS d, string_agg(x, '') OVER w AS k, b FROM rows WINDOW w AS (PARTITION BY c ORDER BY i)
+    UNION ALL SELECT c, 0, '', 0 FROM ids),
+n AS (SELECT min(c) AS conv_id, d AS depth, k, left(k, greatest(length(k) - 64, 0)::BIGINT) AS pk, count(*) AS n_convs, min(b) AS b FROM p GROUP BY d, k),
+last AS (SELECT c, max(d) AS d FROM p GROUP BY c),
+ends AS (SELECT p.k, string_agg(p.c::VARCHAR, ',' ORDER BY p.c) AS list FROM p JOIN last ON last.c = p.c AND last.d = p.d GROUP BY p.k),
+kids AS (SELECT pk AS k, count(*) AS n FROM n WHERE depth > 0 GROUP BY pk),
+below AS (SELECT v.k, sum((u.n_convs - 1) * u.b)::BIGINT AS saved, sum((kids.n IS NULL)::INT)::BIGINT AS leaves
+    FROM n v JOIN n u ON starts_with(u.k, v.k) LEFT JOIN kids ON kids.k = u.k GROUP BY v.k)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+  below.leaves AS n_leaves, below.saved AS saved_tokens, sha256(coalesce(ends.list, '')) AS ends_sha256
+FROM n JOIN below ON below.k = n.k LEFT JOIN kids ON kids.k = n.k LEFT JOIN ends ON ends.k = n.k
+LEFT JOIN n up ON n.depth > 0 AND up.k = n.pk AND up.depth = n.depth - 1"""

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.llm import (
-    conversation_repair, decontam, html_extract, license_scan, near_dup, oracles, packing, quality_classifier, quality_rules, secret_scan,
-    suffix_dedup, token_files, toxicity,
+    conversation_repair, decontam, html_extract, license_scan, near_dup, oracles, packing, prefix_trie, quality_classifier,
+    quality_rules, secret_scan, suffix_dedup, token_files, toxicity,
 )
 from airloom.session import scratch_dir
 
@@ -99,3 +99,12 @@ def op13_token_files(spark, d):
 def op12_conversation_repair(spark, d):
     damaged = conversation_repair.damage(table(spark, d, "conversations"), "present")
     return conversation_repair.summary(damaged, present="present")
+
+
+@query(oracles.PREFIX_TRIE)
+def op11_prefix_trie(spark, d):
+    """Conversations of five share the first turns of the first one."""
+    conv = F.col("conv")
+    nodes = prefix_trie.trie(table(spark, d, "conversations"), base=conv - conv % 5,
+                             head=F.crc32(conv.cast("string").cast("binary")) % 9)
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
