@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.functions.expr import drop_missing
+from airloom.ml import boosting
 from airloom.ml.features import feature_columns
 from airloom.operators.stats import regression_metrics
 from airloom.operators.timeseries import add_lags, chrono_marks
@@ -42,19 +43,13 @@ class TrainingPlan:
 
 
 def estimator(name: str, plan: TrainingPlan):
-    """The regressor behind a model name."""
+    """The Spark ML regressor behind a model name."""
     common = {"featuresCol": "features", "labelCol": plan.target, "seed": plan.seed}
     if name == RANDOM_FOREST:
         return RandomForestRegressor(
             numTrees=plan.forest_trees, maxDepth=8, minInstancesPerNode=8,
             featureSubsetStrategy="all", **common,
         )
-    if name == XGBOOST:
-        # L1/L2 penalties have no counterpart.
-        return GBTRegressor(
-            maxIter=plan.xgb_rounds, maxDepth=4, stepSize=0.05, minInstancesPerNode=5,
-            minInfoGain=0.5, subsamplingRate=0.8, featureSubsetStrategy="0.8", **common,
-        )
     if name == GRADIENT_BOOSTING:
         return GBTRegressor(
             maxIter=plan.gbt_rounds, maxDepth=3, stepSize=0.05, minInstancesPerNode=10,
@@ -63,33 +58,24 @@ def estimator(name: str, plan: TrainingPlan):
     raise ValueError(f"unknown model {name!r}")
 
 
-def best_round(errors: list[float], patience: int) -> int:
-    """Number of rounds up to the lowest error seen before ``patience`` rounds pass without
-    a new lowest one."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def fit(name: str, data: DataFrame, plan: TrainingPlan):
     """Fit one model on the training rows of an assembled frame.
 
-    The early-stopping model finds its number of rounds on the validation tail (Spark's own
-    stopping rule has no patience) and is then fitted on all training rows.
+    The regularised ensemble finds its number of rounds on the validation tail of the training rows, and is
+    fitted on all of them.
     """
     train = data.filter("is_train")
-    made = estimator(name, plan)
-    if name != XGBOOST:
-        return made.fit(train)
-    fitting, validation = train.filter("NOT is_validation"), train.filter("is_validation")
-    if validation.isEmpty():
-        return made.fit(train)
-    errors = made.fit(fitting).evaluateEachIteration(validation, "squared")
-    return made.copy({made.maxIter: best_round(errors, plan.patience)}).fit(train)
+    if name == XGBOOST:
+        settings = boosting.Boosting(rounds=plan.xgb_rounds, patience=plan.patience, seed=plan.seed)
+        return boosting.fit(train, settings, target=plan.target, validation=F.col("is_validation"))
+    return estimator(name, plan).fit(train)
+
+
+def hyperparameters(fitted) -> dict[str, object]:
+    """What a fitted stage was asked for."""
+    if isinstance(fitted, boosting.BoostedModel):
+        return fitted.hyperparameters()
+    return {p.name: v for p, v in fitted.extractParamMap().items()}
 
 
 def assembly(features: list[str], scale: bool = False) -> Pipeline:
@@ -153,7 +139,7 @@ def train_models(
         metrics = evaluate(fitted.transform(vectors), plan.target)
         registry.register(
             name, PipelineModel(stages=[*prepared.stages, fitted]), metrics, names,
-            {p.name: v for p, v in fitted.extractParamMap().items()},
+            hyperparameters(fitted),
         )
     return registry.write_comparison()
 

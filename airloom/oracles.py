@@ -253,6 +253,36 @@ def _wide_quality(digits: int = 6) -> str:
     return f'SELECT model_name AS "Model", {cols} FROM quality GROUP BY model_name'
 
 
+def _stumps(rounds: int) -> str:
+    """Rounds of depth 1 with the library's penalties: L1 and L2 of 1, a least gain of 0.5, five rows a side."""
+    features = ("hour", "clouds", "carbon_monoxide", "nitrogen_dioxide")
+
+    def shrunk(g: str) -> str:
+        return f"(sign({g}) * greatest(abs({g}) - 1, 0))"
+
+    def score(g: str, n: str) -> str:
+        return f"({shrunk(g)} ** 2 / ({n} + 1))"
+
+    extra = {
+        "src": f"""SELECT row_number() OVER () AS rid, * FROM (SELECT extract(hour FROM ts)::DOUBLE AS hour, clouds, carbon_monoxide,
+            nitrogen_dioxide, us_aqi FROM joined) j WHERE {' AND '.join(f'{c} IS NOT NULL' for c in (*features, 'us_aqi'))}""",
+        "long": " UNION ALL ".join(f"SELECT rid, {i} AS f, '{c}' AS feature, {c} AS v FROM src" for i, c in enumerate(features)),
+        "margin0": "SELECT rid, us_aqi AS y, avg(us_aqi) OVER () AS m FROM src",
+    }
+    for r in range(1, rounds + 1):
+        extra[f"cuts{r}"] = f"""SELECT f, feature, v, sum(g) OVER up AS gl, sum(n) OVER up AS nl, sum(g) OVER (PARTITION BY f) AS gt, sum(n) OVER (PARTITION BY f) AS nt
+            FROM (SELECT f, feature, v, sum(m - y) AS g, count(*) AS n FROM long JOIN margin{r - 1} USING (rid) GROUP BY ALL) s WINDOW up AS (PARTITION BY f ORDER BY v)"""
+        extra[f"best{r}"] = f"""SELECT {r} AS round, feature, v AS cut, gain, -0.3::DOUBLE * {shrunk('gl')} / (nl + 1) AS left_value,
+            -0.3::DOUBLE * {shrunk('(gt - gl)')} / (nt - nl + 1) AS right_value FROM (
+              SELECT *, {score('gl', 'nl')} + {score('(gt - gl)', '(nt - nl)')} - {score('gt', 'nt')} AS gain FROM cuts{r}) c
+            WHERE nl >= 5 AND nt - nl >= 5 AND gain > 0.5 ORDER BY round(gain, 6) DESC, f, v LIMIT 1"""
+        extra[f"margin{r}"] = f"""SELECT p.rid, p.y, p.m + CASE WHEN l.v <= b.cut THEN b.left_value ELSE b.right_value END AS m
+            FROM margin{r - 1} p JOIN best{r} b ON true JOIN long l ON l.rid = p.rid AND l.feature = b.feature"""
+    return with_views(" UNION ALL ".join(
+        f"SELECT CAST(round AS INT) AS round, feature, cut, round(gain, 3) AS gain, round(left_value, 6) AS left_value, "
+        f"round(right_value, 6) AS right_value FROM best{r}" for r in range(1, rounds + 1)), "joined", extra=extra)
+
+
 def _forward_zero(columns) -> str:
     return ", ".join(f"coalesce({c}, 0) AS {c}" for c in columns)
 
@@ -538,8 +568,17 @@ def oracle_sql() -> dict[str, str]:
     q["feature_store"] = q["metadata_merge"]
 
     # Spark ML: what holds for any model
-    q["train_compare"] = """SELECT * FROM (VALUES ('Random Forest', true, 2::BIGINT), ('XGBoost', true, 2::BIGINT),
-        ('Gradient Boosting', true, 2::BIGINT)) m("Model", metrics_match, parts)"""
+    lags = ", ".join(f"lag(us_aqi, {k}) OVER w AS aqi_lag_{k}" for k in AQI_LAGS)
+    plain = f"""SELECT count(*) AS test_rows, round(sqrt(avg((us_aqi - mean) ** 2)), 4) AS rmse_mean,
+          round(sqrt(avg((us_aqi - aqi_lag_1) ** 2)), 4) AS rmse_persistence
+        FROM (SELECT *, avg(us_aqi) FILTER (is_train) OVER () AS mean FROM (
+          SELECT *, row_number() OVER (PARTITION BY city ORDER BY ts) - 1 < floor(count(*) OVER (PARTITION BY city) * 0.8) AS is_train
+          FROM (SELECT *, {lags} FROM ({_preprocess()}) p WINDOW w AS (PARTITION BY city ORDER BY ts)) l
+          WHERE {' AND '.join(f'{c} IS NOT NULL' for c in (*MEASURES, *_LAG_NAMES))}) m) t WHERE NOT is_train"""
+    q["train_compare"] = with_views(f"""SELECT m.*, true AS beats_mean, true AS beats_persistence, b.*
+        FROM (VALUES ('Random Forest', true, 2::BIGINT), ('XGBoost', true, 2::BIGINT),
+          ('Gradient Boosting', true, 2::BIGINT)) m("Model", metrics_match, parts), ({plain}) b""", "joined")
+    q["regularised_boosting"] = _stumps(3)
     q["score_forecast"] = with_views(
         """SELECT city, ts, humidity, hour, true AS scored, true AS category_fits, true AS is_best FROM features""",
         "forecast", "raw_aqi", extra=_forecast_views())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from airloom import schemas
 from airloom.functions import expr
 from airloom.ml import features as mlf
-from airloom.ml import scoring, training
+from airloom.ml import boosting, scoring, training
 from airloom.plans import pipelines, reports
 from airloom.sources import registry
 from airloom.sources.metadata import FeatureStore
@@ -181,25 +181,18 @@ def test_align_features(spark):
 
 
 def test_best_round():
-    assert training.best_round([5, 4, 3, 3.5, 3.2, 2], 2) == 3  # stops before the later minimum
-    assert training.best_round([5, 4, 3, 3.5, 3.2, 2], 3) == 6
-    assert training.best_round([1.0], 30) == 1
+    assert boosting.best_round([5, 4, 3, 3.5, 3.2, 2], 2) == 3  # stops before the later minimum
+    assert boosting.best_round([5, 4, 3, 3.5, 3.2, 2], 3) == 6
+    assert boosting.best_round([1.0], 30) == 1
 
 
-def test_early_stopping_refits_on_all_training_rows(finished):
-    df = training.training_frame(finished[0].features.read(), PLAN)
-    names = ["temp", "ozone", "aqi_lag_1"]
-    data = training.assembly(names).fit(df).transform(df)
-    # The validation target is unrelated, so that further rounds stop helping.
-    noisy = data.withColumn("us_aqi", F.when(F.col("is_validation"), F.rand(1) * 100).otherwise(F.col("us_aqi")))
-    plan = training.TrainingPlan(xgb_rounds=12, patience=1)
-    stopped = training.fit(training.XGBOOST, noisy, plan)
-    full = training.estimator(training.XGBOOST, plan).fit(noisy.filter("is_train AND NOT is_validation"))
-    n = stopped.getNumTrees
-    assert n == training.best_round(full.evaluateEachIteration(noisy.filter("is_train AND is_validation"), "squared"), 1)
-    refit = training.estimator(training.XGBOOST, training.TrainingPlan(xgb_rounds=n)).fit(noisy.filter("is_train"))
-    assert [t.toDebugString.split("\n")[1:] for t in stopped.trees] == [
-        t.toDebugString.split("\n")[1:] for t in refit.trees]
+def test_regularised_model_is_not_the_other_boosting(finished):
+    models = registry.ModelRegistry(finished[0])
+    model, row = models.get("XGBoost")
+    assert isinstance(model.stages[-1], boosting.BoostedModel)
+    assert {k: row["hyperparameters"][k] for k in ("alpha", "lambda_", "gamma", "min_child_weight", "column_sample")} == {
+        "alpha": "1.0", "lambda_": "1.0", "gamma": "0.5", "min_child_weight": "5", "column_sample": "0.8"}
+    assert 1 <= model.stages[-1].getNumTrees() <= PLAN.xgb_rounds
 
 
 def test_scaler_stage(finished):
