@@ -92,7 +92,7 @@ def nearest_join(
     prefix: str = "near_",
     tolerance_seconds: int | None = None,
     bucket_seconds: int | None = None,
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Beside each probe, the reading of its series closest in time (earlier one on a tie).
 

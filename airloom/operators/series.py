@@ -18,11 +18,11 @@ The small tables are stored, so that the planner knows their size: within the br
 threshold the rows are shuffled just once, beyond it they are joined by (city, bucket). Rows
 without a city are a series of their own in every form: keys are compared with NULL equal to NULL.
 
-An input whose series have to be measured is stored first, unless it already is, so that what
-made it runs once.
+Measuring reads the key columns of the input, and nothing is stored for it; the counts that a stored table
+keeps beside itself (``Table.lengths``) save that pass, too. Where making the input is expensive, store it first.
 
-``split`` overrides the measurement: True always cuts, False never does. (keys, order)
-must identify a row, as it does after the keyed upsert.
+``split`` says how: None measures, a frame of lengths (keys, ``rows``) is used instead, True always cuts, and False
+never does. (keys, order) must identify a row, as it does after the keyed upsert.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from airloom.functions.expr import epoch_micros, epoch_seconds
 from airloom.operators.attach import join_keys
-from airloom.session import materialize, stored
+from airloom.session import materialize
 
 SPANS = (30 * 86400, 86400, 3600, 60, 1)
 BLOCK_ROWS = 50_000
@@ -50,19 +50,15 @@ def bucket_of(order: str, seconds: int) -> Column:
     )
 
 
-def must_split(df: DataFrame, keys: Sequence[str], split: bool | None = None) -> bool:
+def must_split(df: DataFrame, keys: Sequence[str], split: bool | DataFrame | None = None) -> bool:
     """Whether some series is too long for one task."""
-    if split is not None:
+    if isinstance(split, bool):
         return split
-    lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (lengths.agg(F.max("_n")).first()[0] or 0) > MAX_SERIES_ROWS
-
-
-def measured(df: DataFrame, keys: Sequence[str], split: bool | None) -> tuple[DataFrame, bool]:
-    """``df``, stored if it has to be measured, and whether some series is too long for one task."""
     if split is None:
-        df = stored(df)
-    return df, must_split(df, keys, split)
+        lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        lengths = split.groupBy(*keys).agg(F.sum("rows").alias("rows"))
+    return (lengths.agg(F.max("rows")).first()[0] or 0) > MAX_SERIES_ROWS
 
 
 def span_for(
@@ -109,10 +105,10 @@ def with_position(
     order: str = "ts",
     bucket_seconds: int | None = None,
     total: str | None = None,
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row in its series, and optionally the series length."""
-    df, cut = measured(df, keys, split)
+    cut = must_split(df, keys, split)
     if not cut:
         series = W.partitionBy(*keys)
         rank = (F.row_number().over(series.orderBy(order)) - 1).cast("long")
@@ -137,7 +133,7 @@ def over_rows(
     order: str = "ts",
     block_rows: int = BLOCK_ROWS,
     bucket_seconds: int | None = None,
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Add row-framed window columns that reach back at most ``preceding`` rows.
 
@@ -147,7 +143,7 @@ def over_rows(
     """
     if block_rows < preceding:
         raise ValueError("block_rows must be at least the number of preceding rows")
-    df, cut = measured(df, keys, split)
+    cut = must_split(df, keys, split)
     if not cut:
         built = build(W.partitionBy(*keys).orderBy(order))
         return df.withColumns(built)
@@ -189,7 +185,7 @@ def over_time(
     keys: Sequence[str] = ("city",),
     order: str = "ts",
     bucket_seconds: int | None = None,
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns framed by elapsed time, reaching back ``preceding_seconds``.
 
@@ -198,7 +194,7 @@ def over_time(
     """
     if bucket_seconds is not None and bucket_seconds < preceding_seconds:
         raise ValueError("bucket_seconds must be at least preceding_seconds")
-    df, cut = measured(df, keys, split)
+    cut = must_split(df, keys, split)
     rows = df.withColumn("_micros", epoch_micros(order))
     if not cut:
         built = build(W.partitionBy(*keys).orderBy("_micros"))
@@ -251,7 +247,7 @@ def fill(
     keys: Sequence[str] = ("city",),
     order: str = "ts",
     bucket_seconds: int | None = None,
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Replace NULLs by neighbouring values of the series, however far away.
 
@@ -259,7 +255,7 @@ def fill(
     """
     if how not in ("forward", "backward", "both"):
         raise ValueError(f"unknown direction {how!r}")
-    df, cut = measured(df, keys, split)
+    cut = must_split(df, keys, split)
     if cut:
         rows = bucketed(df, keys, order, bucket_seconds)
         edges = materialize(bucket_edges(rows, columns, keys, order))
@@ -295,7 +291,7 @@ def rank_cuts(
     keys: Sequence[str] = ("city",),
     order: str = "ts",
     bucket_seconds: int | None = None,
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Per series, the ``order`` value found at given 0-based ranks.
 
@@ -304,7 +300,7 @@ def rank_cuts(
     and only those buckets are sorted.
     """
     rows = df.select(*keys, order)
-    rows, cut = measured(rows, keys, split)
+    cut = must_split(rows, keys, split)
     if not cut:
         series = W.partitionBy(*keys)
         ranked = rows.select(

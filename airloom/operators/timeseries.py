@@ -96,7 +96,7 @@ def add_lags(
     prefix: str = "aqi_lag_",
     block_rows: int = BLOCK_ROWS,
     bucket_seconds: int | None = None,
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Earlier values of ``target``: k rows ago, or exactly k hours ago."""
     if by == "rows":
@@ -137,7 +137,7 @@ def sequence_windows(
 
 def chrono_marks(
     df: DataFrame, shares: dict[str, float], *, keys: Sequence[str] = ("city",),
-    order: str = "ts", bucket_seconds: int | None = None, split: bool | None = None,
+    order: str = "ts", bucket_seconds: int | None = None, split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Per named share, flag the first ``int(n * share)`` rows of each series.
 
@@ -164,7 +164,7 @@ def chrono_split(
 
 def cv_folds(
     df: DataFrame, splits: int = 5, *, keys: Sequence[str] = ("city",), order: str = "ts",
-    name: str = "fold", bucket_seconds: int | None = None, split: bool | None = None,
+    name: str = "fold", bucket_seconds: int | None = None, split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Expanding-window cross-validation: fold k tests on its rows and trains on lower folds.
 

@@ -594,6 +594,17 @@ def oracle_sql() -> dict[str, str]:
         """SELECT city, CAST(ts AS DATE) AS day, count(*) AS hours, true AS mean_fits, true AS category_fits
            FROM features GROUP BY 1, 2""", "forecast", "raw_aqi", extra=_forecast_views())
 
+    # tables as a whole
+    q["failed_writes"] = with_views(
+        """SELECT step, 2 AS failures, CAST(extract(year FROM ts) AS INT) AS year, count(*) AS n,
+            sum(temp + CASE WHEN step = 'upserted' AND extract(year FROM ts) = 1995 AND extract(month FROM ts) <= 6 THEN 1 ELSE 0 END) AS total
+            FROM daily, (VALUES ('kept'), ('upserted')) s(step) GROUP BY ALL""", "daily")
+    q["series_lengths"] = with_views(
+        "SELECT city, CAST(count(*) AS BIGINT) AS rows, min(ts) AS first, max(ts) AS last FROM raw_weather GROUP BY city", "raw_weather")
+    q["stored_fill"] = with_views(
+        f"""SELECT city, ts, {_ffill('temp')} AS temp, {_ffill('wind_speed')} AS wind_speed,
+            round(avg(humidity) OVER (PARTITION BY city ORDER BY ts ROWS 2 PRECEDING), 6) AS humidity_rolling_3h FROM raw_weather""", "raw_weather")
+
     # streaming, against the batch result; late events do not count
     q["stream_hourly"] = """SELECT concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city,
         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, count(*) AS n,

@@ -52,7 +52,9 @@ def clean(
 
 
 def preprocess_data(warehouse: Warehouse, **options) -> DataFrame:
-    """Raw tables to the preprocessed table."""
+    """Raw tables to the preprocessed table. How long series are is kept beside the weather table."""
+    if warehouse.raw_weather.exists():
+        options = {"split": warehouse.raw_weather.lengths(options.get("keys", ("city",))), **options}
     return warehouse.preprocessed.overwrite(
         clean(warehouse.raw_weather.read(), warehouse.raw_aqi.read(), **options)
     )

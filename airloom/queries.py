@@ -826,6 +826,58 @@ def pipeline_forecast(spark, d):
         (F.col("category") == expr.aqi_category("avg_aqi")).alias("category_fits"))
 
 
+# --- tables as a whole ------------------------------------------------------------------
+
+@query
+def failed_writes(spark, d):
+    """A table of many months after an upsert and an overwrite that fail in one of them, and after an upsert that does not."""
+    rows = daily(spark, d, "city", "ts", "temp")
+    table = Table(spark, _work_path(spark, "daily"), monthly=True)
+    table.overwrite(rows)
+    broken = rows.withColumn("temp", F.when(F.year("ts") == 1995, F.raise_error(F.lit("broken"))).otherwise(F.lit(-1.0)))
+    failures = 0
+    for write in (table.upsert, table.overwrite):
+        try:
+            write(broken)
+        except Exception as e:  # Spark wraps the error in ways that differ by where it is raised
+            if "broken" not in str(e):
+                raise
+            failures += 1
+
+    def by_year(step: str) -> DataFrame:
+        return table.read().groupBy(F.year("ts").alias("year")).agg(F.count("*").alias("n"), F.sum("temp").alias("total")).select(
+            F.lit(step).alias("step"), F.lit(failures).alias("failures"), "year", "n", "total")
+
+    kept = materialize(by_year("kept"))
+    table.upsert(rows.filter((F.year("ts") == 1995) & (F.month("ts") <= 6)).withColumn("temp", F.col("temp") + 1))
+    return kept.unionByName(by_year("upserted"))
+
+
+def _stored_weather(spark, d) -> Table:
+    """Both feeds in a monthly table, the forecast upserted over the archive."""
+    table = Table(spark, _work_path(spark, "weather"), monthly=True)
+    log = materialize(fx.weather_feed(spark, d))
+    for seq in (1, 2):
+        table.upsert(log.filter(F.col("seq") == seq), seq="seq")
+    return table
+
+
+@query
+def series_lengths(spark, d):
+    """What a stored table keeps about its series beside the rows, after an upsert into a month that it has."""
+    return _stored_weather(spark, d).lengths()
+
+
+@query
+def stored_fill(spark, d):
+    """Forward fill and trailing mean on a stored table, by the lengths kept beside it."""
+    table = _stored_weather(spark, d)
+    lengths = table.lengths()
+    filled = tsop.forward_fill(table.read(), ["temp", "wind_speed"], split=lengths)
+    return rounded(tsop.rolling_mean(filled, ["humidity"], split=lengths), "humidity_rolling_3h").select(
+        "city", "ts", "temp", "wind_speed", "humidity_rolling_3h")
+
+
 # --- streaming ------------------------------------------------------------------------
 
 _LANDINGS = 5

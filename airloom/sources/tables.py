@@ -1,15 +1,21 @@
 """Stored tables: Parquet folders with overwrite, keyed upsert and partial-column merge.
 
-A monthly table is partitioned by month, and an upsert swaps in the months it touches. Any other
-table is a folder of versions: a rewrite writes the next one beside the last, and readers take the
-highest that is complete, so a failure leaves the table as it was.
+A write puts its files into a folder of its own, never touched again; a monthly table has a folder per month
+in there. A *snapshot* is a small file that names, for every month, the write that holds it, and is put in
+place last by one rename. So a table changes as a whole: whatever fails before leaves the last snapshot, and a
+reader keeps the files of the one it has resolved. An upsert writes only the months it touches, and its
+snapshot takes over the others. The rename fails if another writer has taken the number, so of two writers that
+started from one snapshot the second gets an error instead of undoing the first.
+
+The file system must rename a file in one step, as HDFS and local disks do.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,6 +25,7 @@ from airloom.session import materialize
 
 MONTH = "yyyy-MM"
 PART = "part_month"  # not a feature name: `month` is one
+WRITE = "part_write"
 NO_MONTH = "none"  # rows without a time
 
 
@@ -83,6 +90,10 @@ def merge_columns(
     return joined.select(*[merged(c).alias(c) for c in columns])
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has changed the table meanwhile; nothing of this write is visible."""
+
+
 class Table:
     """One stored Parquet table; with ``monthly`` it is partitioned by the month of ``order``."""
 
@@ -96,42 +107,107 @@ class Table:
         self.monthly = monthly
         self.order = order
 
-    def _folders(self) -> tuple[list[int], list[int]]:
-        """Version numbers of this table: all, and the complete ones."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return [], []
-        names = [f.getPath().getName() for f in fs.listStatus(root)]
-        found = sorted(int(n[2:]) for n in names if n.startswith("v-"))
-        done = [n for n in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self._version(n)}/_SUCCESS"))]
-        return found, done
-
-    def _version(self, number: int) -> str:
-        return f"{self.path}/v-{number:010d}"
-
-    def _remove(self, number: int) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._version(number))
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+    # --- snapshots
 
-    def exists(self) -> bool:
-        if not self.monthly:
-            return bool(self._folders()[1])
+    def _fs(self):
+        root = self._at("")
+        return root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _at(self, inside: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{inside}" if inside else self.path)
+
+    def _names(self, inside: str) -> list[str]:
+        fs, folder = self._fs(), self._at(inside)
+        return [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+
+    def _numbers(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in self._names("snapshots") if n.endswith(".json") and n[:-5].isdigit())
+
+    def _load(self, number: int) -> dict:
+        stream = self._fs().open(self._at(f"snapshots/{number:010d}.json"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def snapshot(self) -> dict | None:
+        """The live state: ``number``, ``schema`` and ``parts`` (month, or nothing -> write); None before the first write."""
+        numbers = self._numbers()
+        return self._load(numbers[-1]) if numbers else None
+
+    def _commit(self, state: dict) -> None:
+        """Make ``state`` the live one, unless its number is taken."""
+        jvm = self.spark._jvm
+        target, aside = self._at(f"snapshots/{state['number']:010d}.json"), self._at(f"snapshots/.{uuid.uuid4().hex}")
+        out = self._fs().create(aside, False)
+        try:
+            out.write(bytearray(json.dumps(state).encode()))
+        finally:
+            out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self._fs().makeQualified(target).toUri(), self.spark._jsc.hadoopConfiguration())
+        never_over = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
-            self._scan()
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
+            context.rename(aside, target, never_over)
+        except Exception as e:
+            self._fs().delete(aside, False)
+            if "FileAlreadyExists" in str(e):
+                raise ConcurrentWrite(f"{self.path} has changed since snapshot {state['number'] - 1}") from e
             raise
-        return True
+        self._forget(state)
+
+    def _forget(self, live: dict) -> None:
+        """Remove snapshots before the last one, which may still be read, and the months that only they name."""
+        old = [n for n in self._numbers() if n < live["number"] - 1]
+        if not old:
+            return
+        last = self._load(live["number"] - 1)
+        kept = {*live["parts"].items(), *last["parts"].items()}
+        fs = self._fs()
+        for number in old:
+            for part, write in self._load(number)["parts"].items():
+                if (part, write) not in kept:
+                    fs.delete(self._at(self._folder(part, write)), True)
+                if all(write != w for _, w in kept):
+                    fs.delete(self._at(f"data/{WRITE}={write}"), True)
+                    fs.delete(self._at(f"lengths/{WRITE}={write}"), True)
+            fs.delete(self._at(f"snapshots/{number:010d}.json"), False)
+
+    def vacuum(self) -> list[str]:
+        """Remove what failed writes have left behind; not while another writer is at work."""
+        numbers = self._numbers()
+        named = {w for n in numbers for w in self._load(n)["parts"].values()}
+        fs, gone = self._fs(), []
+        for kind in ("data", "lengths"):
+            for name in self._names(kind):
+                if name.removeprefix(f"{WRITE}=") not in named:
+                    fs.delete(self._at(f"{kind}/{name}"), True)
+                    gone.append(f"{kind}/{name}")
+        for name in self._names("snapshots"):
+            if name.startswith(".") and not name.endswith(".crc"):
+                fs.delete(self._at(f"snapshots/{name}"), False)
+                gone.append(f"snapshots/{name}")
+        return gone
+
+    @staticmethod
+    def _folder(part: str, write: str) -> str:
+        return f"data/{WRITE}={write}/{PART}={part}" if part else f"data/{WRITE}={write}"
+
+    # --- reading
 
-    def _scan(self) -> DataFrame:
-        reader = self.spark.read
-        if self.schema is not None:
-            stored = T.StructType([*self.schema])
-            reader = reader.schema(stored.add(PART, "string") if self.monthly else stored)
-        return reader.parquet(self.path if self.monthly else self._version(self._folders()[1][-1]))
+    def exists(self) -> bool:
+        return bool(self._numbers())
+
+    def _scan(self, state: dict, months: Sequence[str] | None = None) -> DataFrame:
+        """The rows of a snapshot, or of some of its months, with their month."""
+        schema = self.schema or T.StructType.fromJson(json.loads(state["schema"]))
+        read_as = T.StructType([*schema]).add(WRITE, "string")
+        if self.monthly:
+            read_as = read_as.add(PART, "string")
+        paths = [f"{self.path}/{self._folder(p, w)}" for p, w in state["parts"].items() if months is None or p in months]
+        if not paths:
+            return self.spark.createDataFrame([], read_as).drop(WRITE)
+        return self.spark.read.schema(read_as).option("basePath", f"{self.path}/data").parquet(*paths).drop(WRITE)
 
     def read(self, since=None, until=None) -> DataFrame:
         """The rows, optionally with ``since <= order < until`` (times or columns).
@@ -139,9 +215,12 @@ class Table:
         The bounds also prune month folders. A table never written reads as empty if its
         schema is fixed.
         """
-        if self.schema is not None and not self.exists():
+        state = self.snapshot()
+        if state is None:
+            if self.schema is None:
+                raise FileNotFoundError(f"{self.path} was never written and has no fixed schema")
             return self.spark.createDataFrame([], self.schema)
-        df = self._scan()
+        df = self._scan(state)
         for bound, below in ((since, False), (until, True)):
             if bound is None:
                 continue
@@ -153,24 +232,57 @@ class Table:
                 df = df.filter(F.col(PART) <= month if below else F.col(PART) >= month)
         return df.drop(PART) if self.monthly else df
 
+    def lengths(self, keys: Sequence[str] = ("city",)) -> DataFrame:
+        """Rows, first and last ``order`` of every series, from a side table with a row per series, month and write.
+
+        Files of a write never change, so its share is counted once, by the first call after the write. Operators
+        on series take the result as ``split``, for this table or anything with no more rows per series.
+        """
+        state = self.snapshot()
+        if state is None:
+            raise FileNotFoundError(f"{self.path} was never written")
+        name = "-".join(keys) or "all"
+        kept = []
+        for write in sorted(set(state["parts"].values())):
+            folder = f"lengths/{WRITE}={write}/{name}"
+            parts = [p for p, w in state["parts"].items() if w == write]
+            if not self._fs().exists(self._at(f"{folder}/_SUCCESS")):
+                by = [*keys, *([PART] if self.monthly else [])]
+                counted = self._scan(state, parts).groupBy(*by).agg(
+                    F.count(F.lit(1)).alias("rows"), F.min(self.order).alias("first"), F.max(self.order).alias("last"))
+                counted.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+            found = self.spark.read.parquet(f"{self.path}/{folder}")
+            kept.append(found.filter(F.col(PART).isin(parts)).drop(PART) if self.monthly else found)
+        if not kept:
+            return self._scan(state).groupBy(*keys).agg(
+                F.count(F.lit(1)).alias("rows"), F.min(self.order).alias("first"), F.max(self.order).alias("last"))
+        together = kept[0]
+        for more in kept[1:]:
+            together = together.unionByName(more)
+        return together.groupBy(*keys).agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+    # --- writing
+
     def overwrite(self, df: DataFrame) -> DataFrame:
-        """Replace the whole content; ``df`` must not read this table if it is monthly."""
-        self._write(df, dynamic=False)
+        """Replace the whole content; ``df`` may read this table."""
+        self._write(df, self.snapshot(), None)
         return self.read()
 
-    def _write(self, df: DataFrame, dynamic: bool) -> None:
-        if not self.monthly:
-            found, done = self._folders()
-            df.write.parquet(self._version(found[-1] + 1 if found else 1))
-            for number in found:
-                if number not in done[-1:]:  # the last one may still be read
-                    self._remove(number)
-            return
-        # Rebalancing splits large months over several tasks and merges small remainders.
-        dated = df.withColumn(PART, month_of(self.order)).hint("rebalance", PART)
-        dated.write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic" if dynamic else "static"
-        ).partitionBy(PART).parquet(self.path)
+    def _write(self, df: DataFrame, state: dict | None, replaced: Sequence[str] | None) -> None:
+        """Write ``df`` aside and make it live, in place of all months or of the ``replaced`` ones of ``state``."""
+        write = uuid.uuid4().hex
+        folder = f"{self.path}/data/{WRITE}={write}"
+        if self.monthly:
+            # Rebalancing splits large months over several tasks and merges small remainders.
+            dated = df.withColumn(PART, month_of(self.order)).hint("rebalance", PART)
+            dated.write.partitionBy(PART).parquet(folder)
+            parts = [n.removeprefix(f"{PART}=") for n in self._names(f"data/{WRITE}={write}") if n.startswith(f"{PART}=")]
+        else:
+            df.write.parquet(folder)
+            parts = [""]
+        kept = {} if replaced is None or state is None else {p: w for p, w in state["parts"].items() if p not in replaced}
+        self._commit({"number": (state["number"] if state else 0) + 1, "schema": df.schema.json(),
+                      "parts": {**kept, **dict.fromkeys(parts, write)}})
 
     def upsert(
         self, new: DataFrame, *, keys: Sequence[str] = ("city", "ts"), seq: str | None = None,
@@ -178,17 +290,17 @@ class Table:
     ) -> DataFrame:
         """Last writer wins on ``keys``, or the first one with ``keep="first"``.
 
-        A monthly table rewrites only the months that ``new`` touches: Spark writes them
-        aside and swaps them in when the job commits, so they may be read meanwhile.
+        A monthly table writes only the months that ``new`` touches; all of them change at once.
         """
-        if not self.exists():
-            return self.overwrite(upsert(None, new, keys=keys, seq=seq, keep=keep))
-        if not self.monthly:
-            return self.overwrite(upsert(self.read(), new, keys=keys, seq=seq, keep=keep))
+        state = self.snapshot()
+        if state is None or not self.monthly:
+            old = self._scan(state) if state else None
+            self._write(upsert(old, new, keys=keys, seq=seq, keep=keep), state, None)
+            return self.read()
         touched = new.select(month_of(self.order).alias(PART)).distinct()
         months = [r[PART] for r in touched.collect()]  # bounded by the covered time range
-        old = self._scan().filter(F.col(PART).isin(months)).drop(PART)
-        self._write(upsert(old, new, keys=keys, seq=seq, keep=keep), dynamic=True)
+        old = self._scan(state, months).drop(PART)
+        self._write(upsert(old, new, keys=keys, seq=seq, keep=keep), state, months)
         return self.read()
 
     def merge(self, new: DataFrame, *, key: str, keep_first: Sequence[str] = ()) -> DataFrame:

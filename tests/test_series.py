@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from airloom.operators import joins, series
 from airloom.operators import timeseries as tsop
+from airloom.session import scratch_dir
+from airloom.sources.tables import Table
 
 DAY = 86400
 # Each variant must give the same rows: one window per series, and cuts of several sizes.
@@ -220,3 +223,22 @@ def test_nearest_reading_prefers_the_earlier(spark):
                                "city string, ts timestamp_ntz, x double")
     now = F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")
     assert joins.nearest_reading(df, now).first()["x"] == 1.0
+
+
+def test_nothing_is_stored_to_measure(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"), monthly=True)
+    table.overwrite(to_spark(spark, gappy()))
+    stages = lambda: len(list(Path(scratch_dir(spark).removeprefix("file:")).glob("stage-*")))
+    before, lengths = stages(), table.lengths()
+    with_lengths = tsop.forward_fill(table.read(), ["x"], split=lengths)
+    plan = with_lengths._jdf.queryExecution().executedPlan().toString()
+    assert stages() == before and plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert rows(with_lengths) == rows(tsop.forward_fill(table.read(), ["x"])) and stages() == before
+
+
+def test_lengths_decide_on_cutting(spark, monkeypatch):
+    lengths = spark.createDataFrame([("a", 6), ("a", 5), ("b", 10)], "city string, rows long")
+    df = spark.createDataFrame([("a",)], "city string")
+    monkeypatch.setattr(series, "MAX_SERIES_ROWS", 10)
+    assert series.must_split(df, ("city",), lengths) and not series.must_split(df, ("city",))
+    assert not series.must_split(df, ("city",), lengths.filter("city = 'b'"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from airloom import schemas
 from airloom.sources import feeds, registry
 from airloom.sources.metadata import FeatureStore
-from airloom.sources.tables import Table, Warehouse, latest_by_key, preprocessed_or_joined, upsert
+from airloom.sources.tables import ConcurrentWrite, Table, Warehouse, latest_by_key, preprocessed_or_joined, upsert
 
 PAYLOAD = {"latitude": 27.7, "hourly": {
     "time": ["2024-01-01T00:00", "2024-01-01T01:00Z", "2024-01-01T02:00"], "temperature_2m": [1.5, 2]}}
@@ -72,9 +72,14 @@ def test_monthly_table_rewrites_only_touched_months(spark, tmp_path):
     table = Table(spark, str(tmp_path / "t"), schema, monthly=True)
     assert table.read().count() == 0 and table.is_empty()
     table.upsert(spark.createDataFrame([reading("a", 0, 1.0), reading("a", 0, 3.0, month=2)], DDL))
-    january = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "part_month=2024-01").iterdir()}
+
+    def january():
+        folder = tmp_path / "t" / table._folder("2024-01", table.snapshot()["parts"]["2024-01"])
+        return {p: p.stat().st_mtime_ns for p in folder.iterdir()}
+
+    before = january()
     table.upsert(spark.createDataFrame([reading("a", 0, 4.0, month=2), reading("a", 1, 5.0, month=3)], DDL))
-    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "part_month=2024-01").iterdir()} == january
+    assert january() == before
     assert sorted(r["temp"] for r in table.read().collect()) == [1.0, 4.0, 5.0]
     since = table.read(since="2024-02-01 00:00:00", until="2024-03-01 00:00:00")
     assert [r["temp"] for r in since.collect()] == [4.0]
@@ -84,6 +89,70 @@ def test_monthly_table_rewrites_only_touched_months(spark, tmp_path):
     assert [r["temp"] for r in table.overwrite(spark.createDataFrame([reading("z", 0, 8.0)], DDL)).collect()] == [8.0]
 
 
+def failing(df, month):
+    """Rows that cannot be computed in one month."""
+    return df.withColumn("temp", F.when(F.month("ts") == month, F.raise_error(F.lit("no"))).otherwise(F.lit(0.0)))
+
+
+def test_failed_writes_leave_every_month(spark, tmp_path, monkeypatch):
+    table = Table(spark, str(tmp_path / "t"), monthly=True)
+    data = spark.createDataFrame([reading("a", h, float(m * 10 + h), month=m) for m in (1, 2, 3) for h in range(3)], DDL)
+    table.overwrite(data)
+    before, state = rows(table.read()), table.snapshot()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a task per month, so that others have written theirs
+    try:
+        for write in (table.upsert, table.overwrite):
+            with pytest.raises(Exception, match="no"):
+                write(failing(data, 2))
+            assert rows(table.read()) == before and table.snapshot() == state
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    with monkeypatch.context() as m:
+        m.setattr(Table, "_commit", lambda self, state: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            table.overwrite(data.filter("temp < 0"))
+    assert rows(table.read()) == before
+    assert len([n for n in table.vacuum() if n.startswith("data/")]) >= 1 and rows(table.read()) == before
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1
+
+
+def test_of_two_writers_the_second_fails(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"), monthly=True)
+    table.overwrite(spark.createDataFrame([reading("a", 0, 1.0)], DDL))
+    state = table.snapshot()
+    table.upsert(spark.createDataFrame([reading("b", 0, 2.0)], DDL))
+    with pytest.raises(ConcurrentWrite):
+        table._write(spark.createDataFrame([reading("c", 0, 3.0)], DDL), state, None)
+    assert rows(table.read(), "city") == [("a",), ("b",)]
+
+
+def test_readers_keep_their_snapshot_and_old_files_go(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"), monthly=True)
+    table.overwrite(spark.createDataFrame([reading("a", 0, 1.0), reading("a", 0, 2.0, month=2)], DDL))
+    old = table.read()
+    table.overwrite(table.read().withColumn("temp", F.col("temp") + 10))
+    assert rows(old, "temp") == [(1.0,), (2.0,)] and rows(table.read(), "temp") == [(11.0,), (12.0,)]
+    for n in range(3):
+        table.upsert(spark.createDataFrame([reading("a", 0, float(n), month=2)], DDL))
+    assert rows(table.read(), "temp") == [(11.0,), (2.0,)]
+    assert len(table._numbers()) == 2 and len(list((tmp_path / "t" / "data").iterdir())) == 3  # january, and two of february
+    table.overwrite(table.read().filter("false"))
+    assert table.exists() and table.is_empty() and table.read().columns == ["city", "ts", "temp"]
+
+
+def test_lengths_are_counted_once_per_write(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"), monthly=True)
+    table.overwrite(spark.createDataFrame([reading(c, h, 1.0, month=m) for c in ("a", None) for m in (1, 2) for h in range(5)], DDL))
+    table.upsert(spark.createDataFrame([reading("a", h, 2.0, month=2) for h in range(3, 8)] + [("a", None, 3.0)], DDL))
+    want = [(None, 10, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1, 4)), ("a", 14, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1, 7))]
+    assert rows(table.lengths()) == sorted(want, key=repr)
+    side = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "lengths").rglob("*.parquet")}
+    assert rows(table.lengths()) == sorted(want, key=repr) and rows(table.lengths(()), "rows") == [(24,)]
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "lengths").rglob("*.parquet") if p in side} == side
+    files = table.lengths().inputFiles()
+    assert files and all("/lengths/" in f for f in files)  # not the rows
+
+
 def test_plain_table_rebuilds_itself(spark, tmp_path):
     table = Table(spark, str(tmp_path / "t"))
     with pytest.raises(Exception):
