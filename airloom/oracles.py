@@ -612,6 +612,22 @@ def oracle_sql() -> dict[str, str]:
         CAST(min(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS low,
         CAST(max(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS high FROM events
         WHERE NOT (event_id % 50 = 0 AND extract(day FROM ts) <= 10) GROUP BY 1, 2"""
+    landed = """SELECT event_id, concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city, ts, CAST(value AS DECIMAL(18,2)) AS value,
+        CASE WHEN event_id % 50 = 0 AND extract(day FROM ts) <= 10 THEN 4 ELSE least((extract(day FROM ts) - 1) // 6, 4) END AS landing FROM events"""
+    marks = """SELECT l.landing, (SELECT max(ts) FROM landed e WHERE e.landing < l.landing) AS newest
+        FROM (SELECT DISTINCT landing FROM landed) l"""
+    q["stream_hourly_late"] = f"""WITH landed AS ({landed}), marks AS ({marks}),
+        told AS (SELECT city, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour, value,
+          coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR <= newest - INTERVAL 1 HOUR, false) AS late FROM landed JOIN marks USING (landing))
+        SELECT city, hour AS ts, count(*) FILTER (NOT late) AS n, CAST(sum(value) FILTER (NOT late) AS DOUBLE) AS total,
+          count(*) FILTER (late) AS late FROM told GROUP BY 1, 2"""
+    q["first_arrivals"] = f"""WITH once AS ({landed}),
+        landed AS (SELECT *, true AS first FROM once UNION ALL
+          SELECT event_id, city, ts, value + 1000, landing + 1, false FROM once WHERE event_id % 7 = 0 AND landing < 4),
+        marks AS ({marks}),
+        told AS (SELECT landed.*, coalesce(ts < newest - INTERVAL 2 DAY, false) AS late FROM landed JOIN marks USING (landing))
+        SELECT event_id, city, ts, CAST(value AS DOUBLE) AS value, (SELECT count(*) FROM told WHERE late) AS late
+        FROM told WHERE first AND NOT late"""
     q["stream_upsert"] = q["weather_upsert"]
     q["stream_first_by_key"] = """SELECT concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city,
         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_ts,

@@ -883,10 +883,11 @@ def stored_fill(spark, d):
 _LANDINGS = 5
 
 
-def _landed_events(spark, d, take: Callable[[DataFrame], object]) -> None:
+def _landed_events(spark, d, take: Callable[[DataFrame], object], again: bool = False) -> None:
     """Events in five landings of six days each; ``take`` runs the stream after every one.
 
-    Every 50th event of the first ten days comes with the last landing, long after the watermark.
+    Every 50th event of the first ten days comes with the last landing, long after the watermark. With ``again``
+    every 7th event is delivered once more by the next landing, with another value.
     """
     landing = _work_path(spark, "landing")
     at = (F.dayofmonth("ts") - 1) / 6
@@ -895,6 +896,10 @@ def _landed_events(spark, d, take: Callable[[DataFrame], object]) -> None:
     events = spark.read.parquet(f"{d}/events.parquet").select(
         "event_id", F.concat(F.lit("city_"), (F.col("user_id") % 3).cast("string")).alias("city"), "ts",
         F.col("value").cast("decimal(18,2)").alias("value"), number.alias("landing"))
+    if again:
+        repeated = events.filter((F.col("event_id") % 7 == 0) & (F.col("landing") < _LANDINGS - 1))
+        events = events.unionByName(repeated.withColumns({
+            "value": (F.col("value") + 1000).cast("decimal(18,2)"), "landing": F.col("landing") + 1}))
     events = materialize(events)
     for n in range(_LANDINGS):
         events.filter(F.col("landing") == n).drop("landing").write.mode("append").parquet(landing)
@@ -902,6 +907,34 @@ def _landed_events(spark, d, take: Callable[[DataFrame], object]) -> None:
         take(stream)
 
 
+@query
+def stream_hourly_late(spark, d):
+    """Hourly aggregation over five micro-batches that keeps late events: per (city, hour) the events in time, their
+    sum, and the late ones."""
+    out, progress, late = Table(spark, _work_path(spark, "hourly"), monthly=True), _work_path(spark, "progress"), _work_path(spark, "late")
+    _landed_events(spark, d, lambda stream: streaming.hours_with_late(stream, out, late, progress).awaitTermination())
+    missed = spark.read.parquet(late).groupBy("city", expr.floor_hour("ts").alias("ts")).agg(F.count("*").alias("late"))
+    return out.read().join(missed, ["city", "ts"], "full").select(
+        "city", "ts", F.coalesce("n", F.lit(0)).alias("n"), F.col("total").cast("double").alias("total"),
+        F.coalesce("late", F.lit(0)).alias("late"))
+
+
+@query
+def first_arrivals(spark, d):
+    """The first delivery of each event over five micro-batches, by a state that the watermark bounds, and the number of
+    deliveries that came after it."""
+    out, progress, late = _work_path(spark, "first"), _work_path(spark, "progress"), []
+
+    def take(stream: DataFrame) -> None:
+        run = streaming.append_stream(streaming.first_by_key(stream, keys=("event_id",), late="2 days"), out, progress)
+        run.awaitTermination()
+        late.append(streaming.late_rows(run))
+
+    _landed_events(spark, d, take, again=True)
+    return spark.read.parquet(out).select(
+        "event_id", "city", "ts", F.col("value").cast("double").alias("value"), F.lit(sum(late)).cast("bigint").alias("late"))
+
+
 @query
 def stream_hourly(spark, d):
     """Hourly aggregation over five micro-batches, each update upserted by (city, hour). Rows that

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -131,7 +131,8 @@ class Table:
             stream.close()
 
     def snapshot(self) -> dict | None:
-        """The live state: ``number``, ``schema`` and ``parts`` (month, or nothing -> write); None before the first write."""
+        """The live state: ``number``, ``schema``, ``parts`` (month, or nothing -> write) and ``marks``; None before
+        the first write."""
         numbers = self._numbers()
         return self._load(numbers[-1]) if numbers else None
 
@@ -268,7 +269,7 @@ class Table:
         self._write(df, self.snapshot(), None)
         return self.read()
 
-    def _write(self, df: DataFrame, state: dict | None, replaced: Sequence[str] | None) -> None:
+    def _write(self, df: DataFrame, state: dict | None, replaced: Sequence[str] | None, marks: dict | None = None) -> None:
         """Write ``df`` aside and make it live, in place of all months or of the ``replaced`` ones of ``state``."""
         write = uuid.uuid4().hex
         folder = f"{self.path}/data/{WRITE}={write}"
@@ -282,27 +283,36 @@ class Table:
             parts = [""]
         kept = {} if replaced is None or state is None else {p: w for p, w in state["parts"].items() if p not in replaced}
         self._commit({"number": (state["number"] if state else 0) + 1, "schema": df.schema.json(),
-                      "parts": {**kept, **dict.fromkeys(parts, write)}})
+                      "parts": {**kept, **dict.fromkeys(parts, write)},
+                      "marks": marks if marks is not None else (state or {}).get("marks", {})})
 
-    def upsert(
-        self, new: DataFrame, *, keys: Sequence[str] = ("city", "ts"), seq: str | None = None,
-        keep: str = "last",
+    def fold(
+        self, new: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame], *, marks: dict | None = None,
     ) -> DataFrame:
-        """Last writer wins on ``keys``, or the first one with ``keep="first"``.
+        """Replace the months that ``new`` touches, or a table that is not monthly, by ``combine(old rows, new)``.
 
-        A monthly table writes only the months that ``new`` touches; all of them change at once.
+        All of them change at once, together with the ``marks`` of the snapshot: small facts, such as how far
+        a stream has got.
         """
         state = self.snapshot()
         if state is None or not self.monthly:
-            old = self._scan(state) if state else None
-            self._write(upsert(old, new, keys=keys, seq=seq, keep=keep), state, None)
+            self._write(combine(self._scan(state) if state else None, new), state, None, marks)
             return self.read()
         touched = new.select(month_of(self.order).alias(PART)).distinct()
         months = [r[PART] for r in touched.collect()]  # bounded by the covered time range
-        old = self._scan(state, months).drop(PART)
-        self._write(upsert(old, new, keys=keys, seq=seq, keep=keep), state, months)
+        self._write(combine(self._scan(state, months).drop(PART), new), state, months, marks)
         return self.read()
 
+    def upsert(
+        self, new: DataFrame, *, keys: Sequence[str] = ("city", "ts"), seq: str | None = None,
+        keep: str = "last",
+    ) -> DataFrame:
+        """Last writer wins on ``keys``, or the first one with ``keep="first"``.
+
+        A monthly table writes only the months that ``new`` touches; all of them change at once.
+        """
+        return self.fold(new, lambda old, fresh: upsert(old, fresh, keys=keys, seq=seq, keep=keep))
+
     def merge(self, new: DataFrame, *, key: str, keep_first: Sequence[str] = ()) -> DataFrame:
         """Update only the columns ``new`` carries."""
         return self.overwrite(merge_columns(self.read(), new, key=key, keep_first=keep_first))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from airloom.functions.expr import epoch_micros, floor_hour
 from airloom.session import materialize
 from airloom.sources.tables import Table
 
@@ -58,6 +59,58 @@ def hourly_readings(
     )
 
 
+def fold_hours(
+    events: DataFrame, table: Table, late_path: str, batch_id: int, *, value: str = "value", order: str = "ts",
+    late_seconds: int = 3600, keys: tuple[str, ...] = ("city",),
+) -> None:
+    """Add one batch of events to the hourly rows of ``table``; events of closed hours go to ``late_path``.
+
+    The watermark trails the latest time of all earlier batches by ``late_seconds``; an hour is closed once it
+    ends at the watermark or before. Rows, watermark and batch number change in one snapshot, and the late
+    events of a batch have a folder of their own, so a batch that runs again changes nothing. Events without a
+    time belong to no hour and go aside with the late ones.
+    """
+    state = table.snapshot() or {}
+    marks = state.get("marks", {})
+    if marks.get("batch", -1) >= batch_id:
+        return
+    batch = materialize(events)
+    watermark, micros = marks.get("watermark"), epoch_micros(order)
+    hour = floor_hour(order)
+    if watermark is None:
+        closed = F.col(order).isNull()
+    else:
+        closed = F.coalesce(epoch_micros(hour) + 3_600_000_000 <= F.lit(watermark), F.lit(True))
+    batch.filter(closed).write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
+    newest = batch.agg(F.max(micros)).first()[0]
+    known = [w for w in (watermark, None if newest is None else newest - late_seconds * 1_000_000) if w is not None]
+    counted = batch.filter(~closed).groupBy(*keys, hour.alias("ts")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(value).alias("n_values"), F.sum(value).alias("total"), F.min(value).alias("low"),
+        F.max(value).alias("high"))
+    kinds = dict(counted.dtypes)
+
+    def added(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        both = new if old is None else old.select(*new.columns).unionByName(new)
+        return both.groupBy(*keys, "ts").agg(
+            *[F.sum(c).cast(kinds[c]).alias(c) for c in ("n", "n_values", "total")], F.min("low").alias("low"), F.max("high").alias("high"))
+
+    table.fold(counted, added, marks={"batch": batch_id, "watermark": max(known, default=None)})
+
+
+def hours_with_late(
+    events: DataFrame, table: Table, late_path: str, checkpoint: str, **options,
+) -> StreamingQuery:
+    """Hourly aggregation whose late events are kept instead of lost; stops when all present input is taken.
+
+    ``table`` gets (keys, ``ts``, n, n_values, total, low, high), ``late_path`` the late events with the number of their
+    ``batch``. Only sums are merged, so no state is held between batches. See ``fold_hours``.
+    """
+    return (
+        events.writeStream.foreachBatch(lambda batch, n: fold_hours(batch, table, late_path, n, **options))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def first_by_key(
     events: DataFrame, *, keys: tuple[str, ...] = ("city", "ts"), order: str = "ts",
     late: str = "1 hour",
