@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airloom.functions.expr import aqi_category
-from airloom.operators.series import bucketed, must_split
+from airloom.operators.attach import join_keys
+from airloom.operators.series import BLOCK_ROWS, bucketed, must_split
 from airloom.schemas import breakpoint_dim, category_dim
 from airloom.session import materialize
 
@@ -61,11 +62,12 @@ def last_known(
 ) -> DataFrame:
     """Copy each series' most recent ``value`` into all of ``names``; ``default`` if unknown.
 
-    One row per series is joined: broadcast by measured size, else an adaptive skew join.
+    One row per series is joined: broadcast by measured size, else an adaptive skew join. Series without a
+    key are one series, on either side.
     """
     recent = readings.groupBy(*keys).agg(F.max_by(value, order).alias("_recent"))
     known = F.coalesce(F.col("_recent"), F.lit(default))
-    return df.join(recent, list(keys), "left").select(
+    return join_keys(df, recent, keys, "left").select(
         *[c for c in df.columns if c not in names], *[known.alias(n) for n in names]
     )
 
@@ -96,65 +98,74 @@ def nearest_join(
 ) -> DataFrame:
     """Beside each probe, the reading of its series closest in time (earlier one on a tie).
 
-    Distinct probe instants and reading instants are merged into one timeline; the last
-    reading before and the first after each instant are found along it, bucket by bucket if
-    some timeline is too long for one task. Any number of probes at one instant therefore
-    costs one timeline row. Probes without a reading (within the tolerance) keep NULLs.
+    Probes and readings are merged into one timeline, along which the last and the next reading are carried with
+    their values, so every row is shuffled once and no join follows. If some timeline is too long for one task it is cut
+    into buckets of time, and each bucket receives the reading before and after it. A bucket with very many
+    probes, at whatever instants, is dealt to several tasks that all receive its readings; this costs a second shuffle.
+
+    Series without a key are series of their own. Probes without a time or a reading (within the tolerance) get NULLs;
+    a reading needs a time, and (keys, time) identify it.
     """
-    timeline = (
-        probes.select(*keys, order, F.lit(None).cast("timestamp_ntz").alias("_known"),
-                      F.lit(True).alias("_asked"))
-        .unionByName(readings.select(*keys, order, F.col(order).alias("_known"),
-                                     F.lit(False).alias("_asked")))
-        .groupBy(*keys, order)
-        .agg(F.max("_known").alias("_known"), F.bool_or("_asked").alias("_asked"))
-    )
-    # Counted before equal instants are merged: an upper bound that needs no shuffle by time.
-    if must_split(probes.select(*keys).unionByName(readings.select(*keys)), keys, split):
-        cut = bucketed(materialize(timeline), keys, order, bucket_seconds)
-        timeline = cut.join(materialize(_known_around(cut, keys)), [*keys, "_bucket"])
-        span = W.partitionBy(*keys, "_bucket")
+    values = [c for c in readings.columns if c not in (*keys, order)]
+    probe_type, reading = probes.schema, F.struct(F.col(order), *values)
+    told = readings.filter(F.col(order).isNotNull()).select(*keys, order, reading.alias("_reading"))
+    timeline = probes.select(*keys, order, F.struct(*probes.columns).alias("_probe")).unionByName(
+        told, allowMissingColumns=True)
+    # A frame of lengths counts the readings; there may be more probes than that.
+    count = probes.select(*keys).unionByName(readings.select(*keys))
+    if isinstance(split, DataFrame):
+        count = probes.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).unionByName(split.select(*keys, "rows"))
+        cut = must_split(probes, keys, count)
+    else:
+        cut = must_split(count, keys, split)
+    if cut:
+        rows = bucketed(timeline, keys, order, bucket_seconds)
+        around = materialize(_readings_around(rows, keys, order))
+        rows = join_keys(rows, around, [*keys, "_bucket"])
+        dealt = F.monotonically_increasing_id() % F.col("_shares")
+        if around.filter("_shares > 1").isEmpty():
+            shares = F.lit(0).cast("long")
+        else:
+            shares = F.explode(F.when(F.col("_probe").isNotNull(), F.array(dealt)).otherwise(F.sequence(
+                F.lit(0).cast("long"), F.col("_shares") - 1)))
+        rows = rows.withColumn("_share", shares)
+        span = W.partitionBy(*keys, "_bucket", "_share")
         outside = {"_prev": [F.col("_before")], "_next": [F.col("_after")]}
     else:
-        span, outside = W.partitionBy(*keys), {"_prev": [], "_next": []}
-    up_to = span.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    from_on = span.orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
-    found = timeline.select(
-        *keys, order, "_asked",
-        F.coalesce(F.max("_known").over(up_to), *outside["_prev"]).alias("_prev"),
-        F.coalesce(F.min("_known").over(from_on), *outside["_next"]).alias("_next"),
-    ).filter("_asked")
-    since = F.timestamp_diff("MICROSECOND", F.col("_prev"), F.col(order))
-    until = F.timestamp_diff("MICROSECOND", F.col(order), F.col("_next"))
-    nearest = F.when(F.col("_next").isNull() | (since <= until), F.col("_prev")).otherwise(
-        F.col("_next")
-    )
-    matched = found.select(*keys, order, nearest.alias(f"{prefix}{order}"))
+        rows, span, outside = timeline, W.partitionBy(*keys), {"_prev": [], "_next": []}
+    # Frames by time: a reading at the probe's own instant counts in either direction.
+    up_to = span.orderBy(order).rangeBetween(W.unboundedPreceding, 0)
+    from_on = span.orderBy(F.desc(order)).rangeBetween(W.unboundedPreceding, 0)
+    found = rows.select(
+        "_probe",
+        F.coalesce(F.last("_reading", ignorenulls=True).over(up_to), *outside["_prev"]).alias("_prev"),
+        F.coalesce(F.last("_reading", ignorenulls=True).over(from_on), *outside["_next"]).alias("_next"),
+    ).filter(F.col("_probe").isNotNull())
+    at = F.col(f"_probe.{order}")
+    since = F.timestamp_diff("MICROSECOND", F.col(f"_prev.{order}"), at)
+    until = F.timestamp_diff("MICROSECOND", at, F.col(f"_next.{order}"))
+    nearest = F.when(F.col("_next").isNull() | (since <= until), F.col("_prev")).otherwise(F.col("_next"))
+    near = F.when(at.isNotNull(), nearest)
     if tolerance_seconds is not None:
-        apart = F.abs(F.timestamp_diff("MICROSECOND", F.col(order), F.col(f"{prefix}{order}")))
-        matched = matched.filter(apart <= tolerance_seconds * 1_000_000)
-    values = [c for c in readings.columns if c not in (*keys, order)]
-    named = readings.select(
-        *keys, F.col(order).alias(f"{prefix}{order}"),
-        *[F.col(c).alias(f"{prefix}{c}") for c in values],
-    )
-    located = matched.join(named, [*keys, f"{prefix}{order}"], "left")
-    return probes.join(located, [*keys, order], "left").select(
-        *probes.columns, f"{prefix}{order}", *[f"{prefix}{c}" for c in values]
+        near = F.when(F.least(since, until) <= tolerance_seconds * 1_000_000, near)
+    return found.withColumn("_near", near).select(
+        *[F.col(f"_probe.{f.name}") for f in probe_type], F.col(f"_near.{order}").alias(f"{prefix}{order}"),
+        *[F.col(f"_near.{c}").alias(f"{prefix}{c}") for c in values]
     )
 
 
-def _known_around(timeline: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per bucket, the last known instant before it and the first one after it."""
+def _readings_around(timeline: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Per bucket, the last reading before it, the first one after it, and how many tasks share its probes."""
     series = W.partitionBy(*keys)
     earlier = series.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     later = series.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)
+    known = F.when(F.col("_reading").isNotNull(), F.col(order))
     per_bucket = timeline.groupBy(*keys, "_bucket").agg(
-        F.max("_known").alias("_last"), F.min("_known").alias("_first")
-    )
+        F.max_by("_reading", known).alias("_last"), F.min_by("_reading", known).alias("_first"), F.count("_probe").alias("_probes"))
     return per_bucket.select(
-        *keys, "_bucket", F.max("_last").over(earlier).alias("_before"),
-        F.min("_first").over(later).alias("_after"),
+        *keys, "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_before"),
+        F.last("_first", ignorenulls=True).over(later).alias("_after"),
+        (F.floor(F.col("_probes") / BLOCK_ROWS) + 1).alias("_shares"),
     )
 
 

@@ -643,6 +643,16 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT city, ts, last_value(temp IGNORE NULLS) OVER (PARTITION BY city ORDER BY ts) AS temp, humidity,
               round(avg(humidity) OVER (PARTITION BY city ORDER BY ts ROWS 2 PRECEDING), 6) AS humidity_rolling_3h
               FROM {nameless}) f, {modes} WINDOW s AS (PARTITION BY city, split ORDER BY ts)""", "raw_weather")
+    q["null_key_nearest"] = with_views(
+        f"""SELECT event_id, nullif(city, 'city_0') AS city, near_ts, near_humidity, split FROM (
+             SELECT event_id, e.city, w.ts AS near_ts, w.humidity AS near_humidity, row_number() OVER (
+               PARTITION BY event_id ORDER BY abs(epoch_us(w.ts) - epoch_us(e.ts)), w.ts) AS rn
+             FROM (SELECT *, concat('city_', CAST(user_id % 3 AS VARCHAR)) AS city FROM events) e
+             LEFT JOIN raw_weather w ON w.city = e.city) x, {modes} WHERE rn = 1""", "raw_weather")
+    q["null_key_last_known"] = with_views(
+        """SELECT nullif(w.city, 'city_0') AS city, w.ts, coalesce(us_aqi, 50.0::DOUBLE) AS recent, coalesce(us_aqi, 50.0::DOUBLE) AS again
+           FROM raw_weather w LEFT JOIN (SELECT city, arg_max_null(us_aqi, ts) AS us_aqi FROM raw_aqi WHERE city <> 'city_1' GROUP BY city) k
+             ON k.city = w.city WHERE w.ts >= TIMESTAMP '2024-01-28 00:00:00'""", "raw_weather", "raw_aqi")
     q["null_key_marks"] = with_views(
         f"""SELECT city, ts, pos < floor(n * 0.8) AS is_train, true AS all_of_it,
             CASE WHEN n // 6 = 0 THEN 0 ELSE CAST(greatest(0, 6 - ceil((n - pos) / (n // 6)::DOUBLE)) AS INT) END AS fold, split

@@ -998,6 +998,27 @@ def null_key_series(spark, d):
     return _both_modes(made)
 
 
+@query
+def null_key_nearest(spark, d):
+    """The nearest reading of every event, where one city has no name, in both modes."""
+    probes = spark.read.parquet(f"{d}/events.parquet").select(
+        "event_id", F.nullif(F.concat(F.lit("city_"), (F.col("user_id") % 3).cast("string")), F.lit("city_0")).alias("city"), "ts")
+    readings = _nameless(spark, d).select("city", "ts", "humidity")
+    return _both_modes(lambda split: joins.nearest_join(
+        probes, readings, split=split, bucket_seconds=86400 if split else None).select("event_id", "city", "near_ts", "near_humidity"))
+
+
+@query
+def null_key_last_known(spark, d):
+    """The last known index beside every forecast row, where one city has no name and another no reading."""
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("city", F.nullif("city", F.lit("city_0")))
+
+    ahead = named(fx.raw_weather(spark, d).filter(F.col("ts") >= now())).select("city", "ts")
+    known = named(fx.raw_aqi(spark, d)).filter("city is null or city <> 'city_1'")
+    return joins.last_known(ahead, known, names=["recent", "again"])
+
+
 @query
 def null_key_marks(spark, d):
     """Training flags and folds, a share of 1 among them."""

@@ -195,6 +195,31 @@ def test_nearest_join(spark, data, how, tolerance):
         assert got[p.id] == (best.to_pydatetime() if best is not None else None)
 
 
+@pytest.mark.parametrize("how", [*VARIANTS, {"split": None}])
+def test_nearest_join_of_nameless_series_and_odd_times(spark, how, monkeypatch):
+    monkeypatch.setattr(joins, "BLOCK_ROWS", 10)  # so that probes of one instant are dealt to several tasks
+    at = dt.datetime(2024, 1, 1)
+    readings = spark.createDataFrame([(None, at, 1.0, "n"), (None, at + dt.timedelta(hours=40), None, "m"), ("a", None, 9.0, "x")],
+                                     "city string, ts timestamp_ntz, x double, text string")
+    probes = spark.createDataFrame(
+        [(i, None, at + dt.timedelta(hours=30)) for i in range(95)] + [(100, None, None), (101, "a", at), (102, None, at)],
+        "id int, city string, ts timestamp_ntz")
+    got = {r["id"]: tuple(r)[1:] for r in joins.nearest_join(probes, readings, prefix="r_", **how).collect()}
+    assert len(got) == 98
+    later = at + dt.timedelta(hours=40)
+    assert {got[i] for i in range(95)} == {(None, at + dt.timedelta(hours=30), later, None, "m")}
+    assert got[100][2:] == (None, None, None) and got[101] == ("a", at, None, None, None) and got[102][2:] == (at, 1.0, "n")
+
+
+def test_nearest_join_shuffles_rows_once(spark, data):
+    df = data[1]
+    probes = df.select("city", "ts")
+    plain = joins.nearest_join(probes, df, split=False)._jdf.queryExecution().executedPlan().toString()
+    assert plain.count("Exchange hashpartitioning") == 1 and "Join" not in plain
+    cut = joins.nearest_join(probes, df, split=True)._jdf.queryExecution().executedPlan().toString()
+    assert cut.count("Exchange hashpartitioning") <= 2 and cut.count("Join") <= 1
+
+
 def test_long_series_are_cut(spark, monkeypatch, data):
     monkeypatch.setattr(series, "MAX_SERIES_ROWS", 100)
     assert series.must_split(data[1], ("city",))

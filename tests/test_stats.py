@@ -182,3 +182,6 @@ def test_last_known_defaults(spark):
                                  ("b", dt.datetime(2024, 1, 2), None)], "city string, ts timestamp_ntz, us_aqi double")
     got = {r["city"]: (r["l1"], r["l2"]) for r in joins.last_known(df, aqi, names=["l1", "l2"]).collect()}
     assert got == {"a": (20.0, 20.0), "b": (50.0, 50.0), "c": (50.0, 50.0)}
+    nameless = joins.last_known(df.withColumn("city", F.nullif("city", F.lit("a"))),
+                                aqi.withColumn("city", F.nullif("city", F.lit("a"))), names=["l"])
+    assert {r["city"]: r["l"] for r in nameless.collect()} == {None: 20.0, "b": 50.0, "c": 50.0}
