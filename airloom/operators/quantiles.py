@@ -28,21 +28,23 @@ _LARGEST = "double('1.7976931348623157E308')"
 
 def approx_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
-    keys: Sequence[str] = (), accuracy: int = ACCURACY,
+    keys: Sequence[str] = (), accuracy: int = ACCURACY, beside: Sequence[Column] = (),
 ) -> DataFrame:
-    """Per column an array of approximate quantiles, in one pass."""
+    """Per column an array of approximate quantiles, in one pass, and the aggregates ``beside`` them."""
     return df.groupBy(*keys).agg(
         *[F.percentile_approx(c, list(probs), accuracy).cast("array<double>").alias(c)
-          for c in columns]
+          for c in columns], *beside
     )
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
-    keys: Sequence[str] = (), max_interior: int = MAX_INTERIOR,
+    keys: Sequence[str] = (), max_interior: int = MAX_INTERIOR, beside: Sequence[Column] = (),
 ) -> DataFrame:
     """Per column an array of exact, linearly interpolated quantiles (NULL if no values).
 
+    ``beside`` are named aggregates of the input that the first scan computes as well; they follow as columns.
+
     NaN counts as missing, infinities are values. Whether the values are few enough to be
     sorted whole or have to be searched makes no difference to the result.
 
@@ -52,15 +54,16 @@ def exact_quantiles(
         df.select(*keys, *[_finite(c) for c in columns]),
         list(columns), [float(p) for p in probs], list(keys),
     )
-    if search.sketch() <= max_interior:
-        return search.whole_lists()
+    finite = {f"_v_{i}": _finite(c) for i, c in enumerate(columns)}
+    if search.sketch(df.withColumns(finite) if finite else df, beside) <= max_interior:
+        return search.with_beside(search.whole_lists())
     before = None
     while (largest := search.count()) > max_interior:
         if before is not None and largest >= before:
             raise RuntimeError("quantile brackets no longer get narrower")
         before = largest
         search.narrow()
-    return search.interior_lists()
+    return search.with_beside(search.interior_lists())
 
 
 def _finite(column: str) -> Column:
@@ -104,6 +107,8 @@ class _Search:
         self.state: DataFrame | None = None
         self.only: Row | None = None
         self.literal = not keys
+        self.first: DataFrame | None = None
+        self.constants: dict[str, Column] = {}
 
     # expressions ----------------------------------------------------------------------
 
@@ -166,17 +171,18 @@ class _Search:
     def _sizes(self) -> list[str]:
         return [f"{self.size(c)} AS _n_{i}" for i, c in enumerate(self.columns)]
 
-    def sketch(self) -> int:
+    def sketch(self, rows: DataFrame, beside: Sequence[Column] = ()) -> int:
         """Count each column and propose a first bracket around each quantile; returns the
-        largest column size."""
+        largest column size. ``rows`` has the values as ``_v_0`` and so on, and what ``beside`` aggregates."""
         reach = 2.0 / ACCURACY
         ends = [e for p in self.probs for e in (max(0.0, p - reach), min(1.0, p + reach))]
         points = ", ".join(f"double('{e!r}')" for e in ends)
-        made = self.data.groupBy(*self.keys).agg(*[
-            F.expr(a) for i, c in enumerate(self.columns) for a in (
-                f"count(`{c}`) AS _n_{i}",
-                f"percentile_approx(`{c}`, array({points}), {ACCURACY}) AS _g_{i}")
-        ])
+        made = rows.groupBy(*self.keys).agg(*[
+            F.expr(a) for i in range(len(self.columns)) for a in (
+                f"count(_v_{i}) AS _n_{i}",
+                f"percentile_approx(_v_{i}, array({points}), {ACCURACY}) AS _g_{i}")
+        ], *beside)
+        names = made.columns[len(made.columns) - len(beside):] if beside else []
         fields = [f"_n_{i}" for i in range(len(self.columns))]
         for s in self.slots:
             i, p = self.columns.index(s.column), self.probs.index(s.prob)
@@ -185,9 +191,20 @@ class _Search:
                 f"0L AS _upto_{s.number}", f"_n_{i} AS _inside_{s.number}",
                 f"_g_{i}[{2 * p}] AS _lo2_{s.number}", f"_g_{i}[{2 * p + 1}] AS _hi2_{s.number}",
             ]
-        return self._keep(
-            made.selectExpr(*self.keys, *fields), lambda: [self.size(c) for c in self.columns]
-        )
+        state = made.selectExpr(*self.keys, *fields, *[f"`{n}`" for n in names])
+        largest = self._keep(state, lambda: [self.size(c) for c in self.columns])
+        if names and self.keys:
+            self.first, self.state = self.state.select(*self.keys, *[f"`{n}`" for n in names]), self.state.drop(*names)
+        elif names:
+            kinds = {f.name: f.dataType for f in state.schema}
+            self.constants = {n: F.lit(self.only[n]).cast(kinds[n]) for n in names}
+        return largest
+
+    def with_beside(self, found: DataFrame) -> DataFrame:
+        """The result with the other aggregates of the first scan."""
+        if self.first is not None:
+            return join_keys(found, self.first, self.keys)
+        return found.withColumns(self.constants) if self.constants else found
 
     def count(self) -> int:
         """Count around the proposed ends; keep an old end where the new one would lose a

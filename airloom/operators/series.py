@@ -124,6 +124,26 @@ def with_position(
     )
 
 
+def global_rank(df: DataFrame, by: Sequence[Column | str], name: str = "rank") -> DataFrame:
+    """Add the 1-based place of each row in the order of ``by`` over the whole table; equal rows are in any order.
+
+    Rows are range-partitioned, sorted and numbered within their task, and stored so that the tasks stay as they
+    are. The number of rows in each task, summed up on the driver, is all that is missing.
+    """
+    inside = F.monotonically_increasing_id()  # the task number above 33 bits of row number
+    placed = materialize(
+        df.repartitionByRange(*by).sortWithinPartitions(*by)
+        .withColumns({"_task": F.shiftright(inside, 33), "_row": inside.bitwiseAND(F.lit((1 << 33) - 1))}))
+    counts = sorted(tuple(r) for r in placed.groupBy("_task").count().collect())  # a row per task
+    before, offsets = 0, []
+    for task, n in counts:
+        offsets.append((task, before))
+        before += n
+    table = df.sparkSession.createDataFrame(offsets, "_task long, _before long")
+    return placed.join(F.broadcast(table), "_task").select(
+        *df.columns, (F.col("_before") + F.col("_row") + 1).alias(name))
+
+
 def over_rows(
     df: DataFrame,
     build: Callable[[WindowSpec], dict[str, Column]],

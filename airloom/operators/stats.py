@@ -116,17 +116,14 @@ def _unpivot(wide: DataFrame, names: Sequence[str], fields: dict[str, str], keys
     return wide.select(*keys, F.inline(rows))
 
 
-def _quantile_frame(df, columns, probs, keys, approx) -> DataFrame:
+def _quantile_frame(df, columns, probs, keys, approx, beside: Sequence[Column] = ()) -> DataFrame:
+    """Quantiles, and the other aggregates of the same first scan."""
     make = approx_quantiles if approx else exact_quantiles
-    return make(df, columns, probs, keys=keys).withColumnsRenamed(
+    return make(df, columns, probs, keys=keys, beside=beside).withColumnsRenamed(
         {c: f"quantiles:{c}" for c in columns}
     )
 
 
-def _combine(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return join_keys(left, right, keys)
-
-
 def feature_profile(
     df: DataFrame, *, keys: Sequence[str] = (), order: str = "ts", approx: bool = False
 ) -> DataFrame:
@@ -143,12 +140,12 @@ def feature_profile(
             F.avg(value).alias(f"mean:{c}"), sample_std(value).alias(f"std:{c}"),
             F.min(value).alias(f"min:{c}"), F.max(value).alias(f"max:{c}"),
         ]
-    wide = df.groupBy(*keys).agg(*aggs)
     if numeric:
-        medians = _quantile_frame(df, numeric, [0.5], keys, approx)
-        wide = _combine(wide, medians, keys).withColumns(
+        wide = _quantile_frame(df, numeric, [0.5], keys, approx, aggs).withColumns(
             {f"median:{c}": F.col(f"`quantiles:{c}`")[0] for c in numeric}
         )
+    else:
+        wide = df.groupBy(*keys).agg(*aggs)
     fields = {"count": "long", "null_count": "long", "mean": "double", "std": "double",
               "min": "double", "max": "double", "median": "double"}
     return _unpivot(wide, names, fields, keys, "feature_name")
@@ -168,8 +165,7 @@ def describe(
             sample_std(value).alias(f"std:{c}"), F.min(value).alias(f"min:{c}"),
             F.max(value).alias(f"max:{c}"),
         ]
-    quartiles = _quantile_frame(df, columns, [0.25, 0.5, 0.75], keys, approx)
-    wide = _combine(df.groupBy(*keys).agg(*aggs), quartiles, keys).withColumns({
+    wide = _quantile_frame(df, columns, [0.25, 0.5, 0.75], keys, approx, aggs).withColumns({
         f"{name}:{c}": F.col(f"`quantiles:{c}`")[i]
         for c in columns for i, name in enumerate(("q25", "q50", "q75"))
     })
@@ -197,13 +193,12 @@ def aqi_stats(
 ) -> DataFrame:
     """Whole-table statistics of one column with the covered time range."""
     df = df.withColumn(value, clean_double(value))
-    stats = df.agg(
+    stats = [
         F.count(F.lit(1)).alias("n"), F.min(order).alias("first_ts"), F.max(order).alias("last_ts"),
         F.avg(value).alias("mean"), sample_std(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"),
-    )
-    median = _quantile_frame(df, [value], [0.5], (), approx)
-    return with_literals(stats, median).select(
+    ]
+    return _quantile_frame(df, [value], [0.5], (), approx, stats).select(
         "n", "first_ts", "last_ts", "mean", F.col(f"`quantiles:{value}`")[0].alias("median"),
         "std", "min", "max",
     )

@@ -594,6 +594,13 @@ def oracle_sql() -> dict[str, str]:
         """SELECT city, CAST(ts AS DATE) AS day, count(*) AS hours, true AS mean_fits, true AS category_fits
            FROM features GROUP BY 1, 2""", "forecast", "raw_aqi", extra=_forecast_views())
 
+    q["global_order"] = """SELECT event_id, event_type, CAST(value AS DOUBLE) AS value,
+        row_number() OVER (ORDER BY value DESC, event_id) AS rank FROM events"""
+    q["grouped_describe"] = " UNION ALL ".join(
+        f"""SELECT event_type, '{c}' AS column_name, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+            round(min({c})::DOUBLE, 6) AS min, round(quantile_cont({c}::DOUBLE, 0.25), 6) AS q25, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS q50,
+            round(quantile_cont({c}::DOUBLE, 0.75), 6) AS q75, round(max({c})::DOUBLE, 6) AS max FROM events GROUP BY event_type"""
+        for c in ("value", "user_id"))
     # tables as a whole
     q["failed_writes"] = with_views(
         """SELECT step, 2 AS failures, CAST(extract(year FROM ts) AS INT) AS year, count(*) AS n,

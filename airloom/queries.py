@@ -18,6 +18,7 @@ from airloom.ml import boosting, scoring, training
 from airloom.operators import joins, outliers, stats
 from airloom.operators import timeseries as tsop
 from airloom.operators.quantiles import exact_quantiles
+from airloom.operators.series import global_rank
 from airloom.plans import pipelines, reports
 from airloom.session import materialize, scratch_dir
 from airloom.sources import feeds, metadata, registry
@@ -826,6 +827,21 @@ def pipeline_forecast(spark, d):
         (F.col("category") == expr.aqi_category("avg_aqi")).alias("category_fits"))
 
 
+@query
+def global_order(spark, d):
+    """The place of every event by value, largest first, in one order of the whole table."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_id", "event_type", F.col("value").cast("double").alias("value"))
+    return global_rank(events, [F.desc("value"), F.asc("event_id")])
+
+
+@query
+def grouped_describe(spark, d):
+    """Counts, moments, ends and quartiles of events by type, by one search."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_type", F.col("value").cast("double").alias("value"), "user_id")
+    found = stats.describe(events, ["value", "user_id"], keys=("event_type",))
+    return rounded(found, "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
 # --- tables as a whole ------------------------------------------------------------------
 
 @query

@@ -54,3 +54,31 @@ def test_missing_single_and_empty(spark):
 def test_approximate(spark, values):
     got = approx_quantiles(to_spark(spark, values), ["smooth"], [0.5]).first()["smooth"][0]
     assert abs((values.smooth < got).mean() - 0.5) < 0.01
+
+
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_describe_takes_three_scans(spark, monkeypatch, keys):
+    from airloom.operators import quantiles, stats
+
+    df = spark.range(60_000).selectExpr("id % 3 as k", "cast(id * 7919 % 60000 as double) as x", "if(id % 10 = 0, null, cast(id as double)) as y")
+    scans = []
+    for name in ("sketch", "count", "narrow", "whole_lists", "interior_lists"):
+        made = getattr(quantiles._Search, name)
+        monkeypatch.setattr(quantiles._Search, name, lambda self, *a, made=made, name=name: (scans.append(name), made(self, *a))[1])
+    got = stats.describe(df, ["x", "y"], keys=keys).collect()
+    assert scans == ["sketch", "count", "interior_lists"]
+    pdf = df.toPandas()
+    for r in got:
+        part = pdf[pdf.k == r["k"]] if keys else pdf
+        want = part[r["column_name"]].describe()
+        assert [r[n] for n in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")] == pytest.approx(list(want))
+
+
+def test_profile_of_a_table_without_rows_or_numbers(spark):
+    from airloom.operators import stats
+
+    none = spark.createDataFrame([], "x double, s string")
+    assert [tuple(r) for r in stats.feature_profile(none, order="none").collect()] == [("x", 0, 0, None, None, None, None, None), ("s", 0, 0, None, None, None, None, None)]
+    words = spark.createDataFrame([("a",), (None,)], "s string")
+    assert tuple(stats.feature_profile(words, order="none").first())[:3] == ("s", 2, 1)
+    assert stats.aqi_stats(spark.createDataFrame([], "us_aqi double, ts timestamp_ntz")).first()["n"] == 0

@@ -267,3 +267,19 @@ def test_lengths_decide_on_cutting(spark, monkeypatch):
     monkeypatch.setattr(series, "MAX_SERIES_ROWS", 10)
     assert series.must_split(df, ("city",), lengths) and not series.must_split(df, ("city",))
     assert not series.must_split(df, ("city",), lengths.filter("city = 'b'"))
+
+
+def test_global_rank_needs_no_task_with_all_rows(spark):
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(5000).selectExpr("id", "if(id % 9 = 0, null, id * 7919 % 997) as v", "1 as _t")
+        ranked = series.global_rank(df, [F.desc_nulls_last("v"), "id"], "place")
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "Window" not in plan
+        got = ranked.orderBy("place").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert [r["place"] for r in got] == list(range(1, 5001))
+    assert [(r["v"], r["id"]) for r in got] == sorted(((r["v"], r["id"]) for r in got), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+    assert series.global_rank(df.limit(0), ["id"]).count() == 0
