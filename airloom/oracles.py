@@ -6,6 +6,7 @@ from airloom.schemas import (
     AQI_CATEGORIES, AQI_LAGS, AQI_MEASURES, OUTLIER_COLUMNS, PM25_BREAKPOINTS,
     REGISTERED_FEATURES, WEATHER_MEASURES,
 )
+from airloom.report_cells import ANALYSED, PAGES
 
 MEASURES = (*WEATHER_MEASURES, *AQI_MEASURES)
 
@@ -253,6 +254,72 @@ def _wide_quality(digits: int = 6) -> str:
     return f'SELECT model_name AS "Model", {cols} FROM quality GROUP BY model_name'
 
 
+def _pages(q: dict[str, str]) -> dict[str, str]:
+    """Report pages out of the SQL of their frames."""
+    def view(body: str, *names: str) -> str:
+        return with_views(body, *names)
+
+    analysed = "joined"
+    describe = " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min,
+            quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max FROM {analysed}"""
+        for c in ANALYSED)
+    melted = {kind: f"""SELECT model_name AS "Model", '{kind} (' || CASE WHEN is_train THEN 'Train' ELSE 'Test' END || ')' AS "Dataset",
+                        {kind.lower()} AS value FROM quality""" for kind in ("R2", "MAE", "RMSE")}
+    categories = ", ".join(f"({_text(row[1])}, {_text(row[3])}, {_text(row[2])})" for row in AQI_CATEGORIES)
+    recent = f"SELECT city, ts, us_aqi FROM (SELECT *, row_number() OVER ({_TOP[0]}) AS rn FROM raw_aqi) x WHERE rn <= 20"
+    frames = {
+        "page_overview": {
+            "counts": view("""SELECT 'raw_aqi' AS table_name, count(*) AS n FROM raw_aqi UNION ALL SELECT 'feature_store', count(*) FROM joined
+                UNION ALL SELECT 'model_registry', count(DISTINCT model_name) FROM quality""", "joined", "quality"),
+            "latest": q["latest_aqi"], "last_week": q["last_168"]},
+        "page_data_analysis": {
+            "shape": q["shape_report"], "describe": view(describe, "joined"), "missing": q["missing_report"],
+            "aqi_stats": view("""SELECT count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, avg(us_aqi) AS mean, median(us_aqi) AS median,
+                stddev_samp(us_aqi) AS std, min(us_aqi) AS min, max(us_aqi) AS max FROM joined""", "joined"),
+            "correlation": view(" UNION ALL ".join(
+                f"SELECT '{a}' AS col_a, '{b}' AS col_b, " + ("1.0 AS r" if a == b else f"{_corr(a, b)} AS r FROM joined")
+                for a in ANALYSED for b in ANALYSED), "joined"),
+            "correlation_with_aqi": view(" UNION ALL ".join(
+                f"SELECT '{a}' AS column_name, {_corr(a, 'us_aqi')} AS r FROM joined" for a in ANALYSED), "joined"),
+            "boxes": view(_box(OUTLIER_COLUMNS, "joined"), "joined"),
+            **{f"histogram_{c}": view(_histogram("joined", c, 50), "joined") for c in ("pm2_5", "temp")},
+            "series": view("SELECT ts, us_aqi, temp, humidity, pm2_5, pm10 FROM joined", "joined")},
+        "page_model_performance": {"comparison": q["model_comparison"], **{k: view(sql, "quality") for k, sql in melted.items()}},
+        "page_current_prediction": {
+            "current": view(f"""SELECT city, ts, predicted_aqi, {_case('predicted_aqi', 1)} AS category, {_case('predicted_aqi', 2)} AS color FROM (
+                SELECT *, row_number() OVER (PARTITION BY city ORDER BY abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-28 05:20:00')), ts) AS rn
+                FROM preds) x WHERE rn = 1""", "preds"),
+            "first_24": view(f"SELECT city, ts, predicted_aqi FROM (SELECT *, row_number() OVER ({_TOP[1]}) AS rn FROM preds) x WHERE rn <= 24", "preds")},
+        "page_forecast": {
+            "headline": view("""SELECT p.city, avg(predicted_aqi) AS avg_aqi, max(predicted_aqi) AS max_aqi, min(predicted_aqi) AS min_aqi, any_value(c.aqi_category) AS most_common
+                FROM preds p JOIN (SELECT city, aqi_category, row_number() OVER (PARTITION BY city ORDER BY count(*) DESC, aqi_category) AS rn
+                  FROM preds GROUP BY city, aqi_category) c ON c.city = p.city AND c.rn = 1 GROUP BY p.city""", "preds"),
+            "daily": q["daily_summary"], "hourly": q["hourly_format"], "histogram": q["hist_predicted"],
+            "category_share": view("""SELECT city, aqi_category, n, n / CAST(sum(n) OVER (PARTITION BY city) AS DOUBLE) AS share FROM (
+                SELECT city, aqi_category, count(*) AS n FROM preds GROUP BY ALL) c""", "preds"),
+            "temperature": view("""SELECT city, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, avg(temp) AS mean, min(temp) AS min, max(temp) AS max
+                FROM preds GROUP BY city""", "preds"),
+            "advice": view(f"""SELECT city, ts, predicted_aqi, {_case('predicted_aqi', 1)} AS category, {_case('predicted_aqi', 3)} AS zone,
+                {_case('predicted_aqi', 4)} AS advice FROM preds""", "preds"),
+            "categories": f"SELECT * FROM (VALUES {categories}) c(category, zone, color)"},
+        "page_accuracy": {
+            "recent": view(recent, "raw_aqi"), "trend": q["recent_trend"], "models": q["model_status"], "errors": q["error_rows"],
+            "error_summary": f"""SELECT city, avg(abs_error) AS mae, sqrt(avg(abs_error * abs_error)) AS rmse FROM (
+                SELECT city, abs(predicted - actual) AS abs_error FROM ({q["error_rows"]}) e) x GROUP BY city"""},
+    }
+    pages = {}
+    for page, spec in PAGES.items():
+        cells = []
+        for frame, (ids, columns) in spec.items():
+            name = "concat_ws('|', " + ", ".join(f'CAST("{c}" AS VARCHAR)' for c in ids) + ")" if ids else "''"
+            for c in columns:
+                value, label = ("NULL::DOUBLE", f'CAST("{c[1:]}" AS VARCHAR)') if c.startswith("=") else (f'round(CAST("{c}" AS DOUBLE), 6)', "NULL::VARCHAR")
+                cells.append(f"SELECT '{frame}' AS frame, {name} AS id, '{c.lstrip('=')}' AS name, {value} AS value, {label} AS label FROM ({frames[page][frame]}) t")
+        pages[page] = " UNION ALL ".join(cells)
+    return pages
+
+
 def _stumps(rounds: int) -> str:
     """Rounds of depth 1 with the library's penalties: L1 and L2 of 1, a least gain of 0.5, five rows a side."""
     features = ("hour", "clouds", "carbon_monoxide", "nitrogen_dioxide")
@@ -601,6 +668,27 @@ def oracle_sql() -> dict[str, str]:
             round(min({c})::DOUBLE, 6) AS min, round(quantile_cont({c}::DOUBLE, 0.25), 6) AS q25, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS q50,
             round(quantile_cont({c}::DOUBLE, 0.75), 6) AS q75, round(max({c})::DOUBLE, 6) AS max FROM events GROUP BY event_type"""
         for c in ("value", "user_id"))
+    q.update(_pages(q))
+    q["feature_stage"] = q["feature_store"]
+    counts = {"raw_weather": "raw_weather", "raw_aqi": "raw_aqi", "preprocessed": f"({_preprocess()})", "features": f"({_preprocess()})",
+              "models": "(VALUES (1), (2), (3))", "predictions": "ahead", "scored": "ahead",
+              "days": "(SELECT DISTINCT city, CAST(ts AS DATE) FROM ahead)"}
+    ahead = {"ahead": """SELECT city, ts FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY ts) AS rn FROM forecast) f WHERE rn <= 144"""}
+    q["end_to_end"] = with_views(
+        "SELECT c.*, run FROM (" + " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n FROM {rows} t" for name, rows in counts.items())
+        + ") c, (VALUES (1), (2)) r(run)", "joined", "forecast", extra=ahead)
+    q["fallback_source"] = with_views(
+        """SELECT city, ts, temp, us_aqi, false AS prepared FROM joined
+           UNION ALL SELECT city, ts, 1.0::DOUBLE, us_aqi, true FROM joined WHERE us_aqi IS NOT NULL""", "joined")
+    q["drop_missing_target"] = with_views(
+        "SELECT city, ts, temp, us_aqi FROM joined WHERE us_aqi IS NOT NULL AND clouds % 5 <> 0", "joined")
+    scaled = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in ("temp", "humidity", "ozone"))
+    moments = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in ("temp", "humidity", "ozone"))
+    q["scaled_features"] = with_views(
+        f"""SELECT city, ts, {scaled} FROM known, (SELECT {moments} FROM known WHERE ts < TIMESTAMP '2024-01-15 00:00:00') m
+            WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""", "joined",
+        extra={"known": "SELECT city, ts, temp, humidity, ozone FROM joined WHERE temp IS NOT NULL AND humidity IS NOT NULL AND ozone IS NOT NULL"})
+
     # tables as a whole
     q["failed_writes"] = with_views(
         """SELECT step, 2 AS failures, CAST(extract(year FROM ts) AS INT) AS year, count(*) AS n,

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +21,11 @@ from airloom.operators import timeseries as tsop
 from airloom.operators.quantiles import exact_quantiles
 from airloom.operators.series import global_rank
 from airloom.plans import pipelines, reports
+from airloom.report_cells import ANALYSED, PAGES
 from airloom.session import materialize, scratch_dir
 from airloom.sources import feeds, metadata, registry
-from airloom.sources.tables import Table, Warehouse, merge_columns
+from airloom.sources.metadata import FeatureStore
+from airloom.sources.tables import Table, Warehouse, merge_columns, preprocessed_or_joined
 from airloom.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -842,6 +845,133 @@ def grouped_describe(spark, d):
     return rounded(found, "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
+# --- report pages and stages as runs ------------------------------------------------------
+
+def _cells(page: str, report: reports.Report) -> DataFrame:
+    """The compared cells of a page as (frame, id, name, value, label)."""
+    out = None
+    for frame, (ids, columns) in PAGES[page].items():
+        name = F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in ids]) if ids else F.lit("")
+        cells = F.array(*[
+            F.struct(
+                F.lit(c.lstrip("=")).alias("name"),
+                (F.lit(None) if c.startswith("=") else F.round(F.col(f"`{c}`").cast("double"), 6)).cast("double").alias("value"),
+                (F.col(f"`{c[1:]}`") if c.startswith("=") else F.lit(None)).cast("string").alias("label"))
+            for c in columns])
+        part = report[frame].select(F.lit(frame).alias("frame"), name.alias("id"), F.inline(cells))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def page_overview(spark, d):
+    raw = materialize(fx.raw_aqi(spark, d))
+    return _cells("page_overview", reports.overview(raw, joined(spark, d), _model_rows(spark, d)))
+
+
+@query
+def page_data_analysis(spark, d):
+    rows = materialize(joined(spark, d).select("city", "ts", *ALL_MEASURES))
+    return _cells("page_data_analysis", reports.data_analysis(rows, columns=list(ANALYSED)))
+
+
+@query
+def page_model_performance(spark, d):
+    return _cells("page_model_performance", reports.model_performance(materialize(registry.comparison_rows(_model_rows(spark, d)))))
+
+
+@query
+def page_current_prediction(spark, d):
+    made = materialize(predictions(spark, d))
+    return _cells("page_current_prediction", reports.current_prediction(made, fx.at("2024-01-28 05:20:00")))
+
+
+@query
+def page_forecast(spark, d):
+    return _cells("page_forecast", reports.forecast_report(materialize(predictions(spark, d))))
+
+
+@query
+def page_accuracy(spark, d):
+    """Recent readings, their trend, the models' verdicts, and the errors of a closed-form prediction with their summary."""
+    raw = materialize(fx.raw_aqi(spark, d))
+    predicted = fx.raw_weather(spark, d).select("city", "ts", F.coalesce(F.col("temp"), F.lit(0.0)).alias("predicted"))
+    actual = raw.filter("us_aqi IS NOT NULL").select("city", "ts", F.col("us_aqi").alias("actual"))
+    errors = materialize(scoring.error_rows(joins.pair_by_key(predicted, actual)))
+    return _cells("page_accuracy", reports.accuracy_report(raw, _model_rows(spark, d), errors))
+
+
+def _placed(rows: DataFrame, source: Column | None = None) -> DataFrame:
+    """Readings with the columns that raw tables have besides."""
+    extra = {"lat": F.lit(27.7), "lon": F.lit(68.9), "fetched_at": F.lit("2024-02-01").cast("timestamp")}
+    return rows.withColumns(extra if source is None else {**extra, "source": source})
+
+
+@query
+def feature_stage(spark, d):
+    """The stage from the preprocessed table to the feature store, with what it knows of every feature."""
+    house = Warehouse(spark, _work_path(spark, "warehouse"))
+    house.preprocessed.overwrite(joined(spark, d).select("city", "ts", *_PROFILED))
+    pipelines.engineer_and_store_features(house)
+    out = FeatureStore(house).metadata().select(
+        "feature_name", "description", "data_type", "source",
+        *[f"statistics.{c}" for c in ("count", "null_count", "mean", "median")])
+    return rounded(out, "mean", "median")
+
+
+@query
+def end_to_end(spark, d):
+    """Rows of every table after the whole run from feeds to the scored forecast, with few trees, and after a second run."""
+    house = Warehouse(spark, _work_path(spark, "warehouse"))
+    log = materialize(_placed(fx.weather_feed(spark, d)))
+    archive, forecast = (log.filter(F.col("seq") == n).drop("seq") for n in (1, 2))
+    aqi = materialize(_placed(fx.raw_aqi(spark, d), F.lit(schemas.SOURCE_ARCHIVE)))
+    plan = training.TrainingPlan(forest_trees=3, xgb_rounds=2, gbt_rounds=2)
+    out = None
+    for run in (1, 2):
+        made = pipelines.run(house, archive, forecast, aqi, now(), plan)
+        counts = materialize(stats.table_counts({
+            "raw_weather": house.raw_weather.read(), "raw_aqi": house.raw_aqi.read(), "preprocessed": house.preprocessed.read(),
+            "features": house.features.read(), "models": house.model_registry.read(), "predictions": house.predictions.read(),
+            "scored": made.rows.filter("predicted_aqi IS NOT NULL AND aqi_category IS NOT NULL"), "days": made.daily,
+        })).withColumn("run", F.lit(run))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@query
+def fallback_source(spark, d):
+    """The preprocessed table where there is one, else the joined raw tables."""
+    found = None
+    for prepared in (False, True):
+        house = Warehouse(spark, _work_path(spark, "warehouse"))
+        house.raw_weather.overwrite(_placed(fx.raw_weather(spark, d)))
+        house.raw_aqi.overwrite(_placed(fx.raw_aqi(spark, d), F.lit(schemas.SOURCE_ARCHIVE)))
+        if prepared:
+            house.preprocessed.overwrite(joined(spark, d).filter("us_aqi IS NOT NULL").withColumn("temp", F.lit(1.0)))
+        rows = preprocessed_or_joined(house).select("city", "ts", "temp", "us_aqi", F.lit(prepared).alias("prepared"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def drop_missing_target(spark, d):
+    """Rows that have the target and a time, whatever else they lack."""
+    broken = joined(spark, d).withColumn("ts", F.when(F.col("clouds") % 5 != 0, F.col("ts")))
+    return expr.drop_missing(broken, "us_aqi", "ts").select("city", "ts", "temp", "us_aqi")
+
+
+@query
+def scaled_features(spark, d):
+    """The optional scaling stage: fitted on the rows before a day, applied to those from it on."""
+    rows = materialize(joined(spark, d).select("city", "ts", "temp", "humidity", "ozone").dropna())
+    early = F.col("ts") < fx.at("2024-01-15 00:00:00")
+    fitted = training.assembly(["temp", "humidity", "ozone"], scale=True).fit(rows.filter(early))
+    x = vector_to_array("features")
+    return fitted.transform(rows.filter(~early)).select(
+        "city", "ts", *[F.round(x[i], 6).alias(c) for i, c in enumerate(("temp", "humidity", "ozone"))])
+
+
 # --- tables as a whole ------------------------------------------------------------------
 
 @query

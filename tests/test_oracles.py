@@ -15,7 +15,8 @@ FOLDER = "/root/testdata/sf0.001"
 ORACLES = oracle_sql()
 
 #: The smallest tables leave no training rows after two days of lags; ``check_oracles.py`` runs these.
-NEED_MODELS = {"train_compare", "score_forecast", "backtest", "feature_importance", "registered_features", "pipeline_forecast"}
+NEED_MODELS = {"train_compare", "score_forecast", "backtest", "feature_importance", "registered_features", "pipeline_forecast",
+               "end_to_end"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="input tables are not here")
 
