@@ -110,22 +110,22 @@ def _rank(text: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
     padded = np.zeros(len(text) + depth + 16, np.uint8)
     padded[: len(text)] = text
     words = np.lib.stride_tricks.as_strided(padded.view(np.uint8), (len(padded) - 7, 8), (1, 1))
-    order = np.arange(len(lms))
-    group = np.zeros(len(lms), np.int64)  # first place of the suffixes that are equal so far
-    open_ = np.ones(len(lms), bool)
+    order, todo = np.arange(len(lms)), np.arange(len(lms))
+    group = np.zeros(len(lms), np.int64)  # number of the suffixes that are equal so far, in order
     for at in range(0, depth, 8):
-        todo = np.flatnonzero(open_)
         if not len(todo):
             break
-        key = words[lms[order[todo]] + at].copy().view(">u8").ravel()
-        sort = np.lexsort((key, group[todo]))
+        key = words[lms[order[todo]] + at].copy().view(">u8").ravel().astype(np.uint64)
+        first = np.argsort(key)
+        rank = np.empty(len(key), np.int64)
+        rank[first] = np.cumsum(np.append(False, key[first[1:]] != key[first[:-1]]))
+        both = group * (len(key) + 1) + rank  # one number to sort by: group, then the next eight bytes
+        sort = np.argsort(both)
         order[todo] = order[todo[sort]]
-        key, g = key[sort], group[todo]
-        new = np.append(True, (key[1:] != key[:-1]) | (g[1:] != g[:-1]))
-        start = todo[np.maximum.accumulate(np.where(new, np.arange(len(todo)), 0))]
-        group[todo] = start
-        single = new & np.append(new[1:], True)
-        open_[todo[single]] = False
+        both = both[sort]
+        new = np.append(True, both[1:] != both[:-1])
+        open_ = ~(new & np.append(new[1:], True))
+        group, todo = np.cumsum(new)[open_], todo[open_]
     return lms[order]
 
 

@@ -39,8 +39,8 @@ HOT = 4000
 SORTED_BYTES = 2 << 20
 #: Bytes of text whose anchors are looked for together; positions must fit 24 bits.
 ANCHOR_BYTES = 8 << 20
-#: Texts up to this number are picked by a broadcast of their keys (40 bytes each), else by a shuffle.
-BROADCAST_KEYS = 2_000_000
+#: Texts up to this number are picked by a broadcast of their keys (two numbers each), else by a shuffle.
+BROADCAST_KEYS = 1_000_000
 
 _U = np.uint64
 
@@ -84,17 +84,21 @@ def find_anchors(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "body", ANCHOR_BYTES // 4):
+            rows, found, held = [], [], 0
             for i, body in enumerate(batch.column("body")):
                 raw = np.frombuffer(body.as_buffer(), np.uint8)
                 for start in range(0, max(1, len(raw) - length + 1), ANCHOR_BYTES):
                     part = raw[start: start + ANCHOR_BYTES + length - 1]
                     h, first, last = anchors(np.ascontiguousarray(part), length)
-                    if len(h):
-                        row = pa.array(np.full(len(h), i))
-                        yield pa.RecordBatch.from_arrays([
-                            batch.column("ord").take(row), batch.column("d").take(row), pa.array(h),
-                            pa.array((first + start).astype(np.int64)), pa.array((last + start).astype(np.int64)),
-                        ], names=["ord", "d", "h", "first", "last"])
+                    rows.append(np.full(len(h), i))
+                    found.append((h, first + start, last + start))
+                    held += len(h)
+                if held > 200_000 or i == batch.num_rows - 1:
+                    row = pa.array(np.concatenate(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("ord").take(row), batch.column("d").take(row),
+                         *(pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found))], names=["ord", "d", "h", "first", "last"])
+                    rows, found, held = [], [], 0
 
     bounded_batches(texts.sparkSession)
     return texts.select("ord", "d", "body").mapInArrow(run, f"{KEY}, h bigint, first bigint, last bigint")
@@ -105,22 +109,21 @@ def _runs_with_bytes(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "body"):
-            names = ("ord", "d", "h", "salts", "first", "bytes")
-            out: dict[str, list] = {k: [] for k in names}
-            held = 0
-            for o, d, runs, body in zip(*(batch.column(c).to_pylist() for c in ("ord", "d", "runs", "body"))):
-                for r in runs:
-                    piece = body[r["first"]: r["last"] + length]
-                    for k, v in zip(names, (o, d, r["h"], r["salts"], r["first"], piece)):
-                        out[k].append(v)
-                    held += len(piece)
-                if held > 4 << 20:
-                    yield pa.RecordBatch.from_pydict(out, schema)
-                    out, held = {k: [] for k in names}, 0
-            if out["h"]:
-                yield pa.RecordBatch.from_pydict(out, schema)
-
-    schema = pa.schema([("ord", pa.int64()), ("d", pa.int64()), ("h", pa.int64()), ("salts", pa.int32()), ("first", pa.int64()), ("bytes", pa.binary())])
+            lists = batch.column("runs")
+            bodies = batch.column("body").to_pylist()
+            row_of = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy())
+            h, salts, first, last = lists.flatten().flatten()
+            begin, end = first.to_numpy(), last.to_numpy() + length
+            # Pieces of about four megabytes.
+            cuts = np.flatnonzero(np.diff(np.cumsum(end - begin) >> 22)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(row_of)]):
+                rows = row_of[a:b]
+                pieces = [bodies[i][x:y] for i, x, y in zip(rows.tolist(), begin[a:b].tolist(), end[a:b].tolist())]
+                at = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("ord").take(at), batch.column("d").take(at), h[a:b], salts[a:b], first[a:b], pa.array(pieces, pa.binary())],
+                    names=["ord", "d", "h", "salts", "first", "bytes"])
+
     return texts.mapInArrow(run, f"{KEY}, h bigint, salts int, first bigint, bytes binary")
 
 
@@ -206,6 +209,19 @@ def _sort_shards(runs: DataFrame, length: int) -> DataFrame:
     return runs.mapInArrow(run, COVERED)
 
 
+def _shared(found: DataFrame, hot: int) -> DataFrame:
+    """The runs whose anchor occurs more than once, with its ``count``.
+
+    Counts are summed before they are shuffled. Anchors with more than a ten-thousandth of all runs, fewer than ten
+    thousand of them, are joined by broadcast; any other one has few rows enough to be joined by a shuffle.
+    """
+    counts = materialize(found.groupBy("h").count().filter("count > 1"))
+    limit = max(hot, found.count() // 10_000)
+    frequent = F.broadcast(counts.filter(F.col("count") > limit))
+    rest = found.join(frequent.select("h"), "h", "left_anti").join(counts.filter(F.col("count") <= limit), "h")
+    return rest.unionByName(found.join(frequent, "h"))
+
+
 def covered_windows(documents: DataFrame, *, id_column: str, text: str, length: int = LENGTH, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(rows, windows). Rows: ord, sha, n, m (times the row occurs), origin (the first id of that
     text). Windows: (ord, d, first, last), ranges of starts of covered windows of first texts."""
@@ -214,12 +230,11 @@ def covered_windows(documents: DataFrame, *, id_column: str, text: str, length:
     rows = materialize(rows)
     origin = materialize(rows.groupBy("sha").agg(F.min("ord").alias("origin"), F.count("*").alias("ids")))
     rows = materialize(rows.join(origin.drop("ids"), "sha"))
-    copies = rows.filter("ord <> origin").select("ord", "sha")
+    copies = rows.filter("ord <> origin").select("ord", _key("sha").alias("d"))
     few = copies.count() <= BROADCAST_KEYS
-    single = texts.join(F.broadcast(copies) if few else copies, ["ord", "sha"], "left_anti").withColumn("d", _key("sha"))
+    single = texts.withColumn("d", _key("sha")).join(F.broadcast(copies) if few else copies, ["ord", "d"], "left_anti")
     found = materialize(find_anchors(single, length))
-    counts = found.groupBy("h").count().filter("count > 1")
-    shared = materialize(found.join(counts, "h").select(
+    shared = materialize(_shared(found, hot).select(
         "ord", "d", F.struct("h", F.ceil(F.col("count") / hot).cast("int").alias("salts"), "first", "last").alias("r")))
     wanted = materialize(shared.select("ord", "d").distinct())
     few = wanted.count() <= BROADCAST_KEYS
