@@ -4,10 +4,11 @@ Two zstandard dictionaries are trained on good and on bad labelled texts. The fe
 the difference of its two compressed sizes, normalised by the bytes of the text and by the sizes
 themselves. A logistic curve over it, fitted on labelled texts that no dictionary has seen, gives
 the probability of label 1; it also knows the good size per byte and the length, because a
-difference means less in a text that compresses well by itself or is short. Fitting takes a bounded sample: per label at most ``DICTIONARY_ROWS``
-texts for the dictionaries and ``CALIBRATION_ROWS`` for the curve, of at most ``SAMPLE_CHARS``
-characters each, chosen by a hash of the id and weighted back to the labels' true shares. Scoring
-takes every whole text.
+difference means less in a text that compresses well by itself or is short. Fitting takes a bounded sample, chosen by
+a hash of the id and weighted back to the labels' true shares: per label at most ``DICTIONARY_ROWS``
+texts for the dictionaries and ``CALIBRATION_ROWS`` for the curve. A dictionary learns from ``SAMPLE_CHARS``
+characters of a longer text, at a place by a hash of the id; only these reach the driver. The curve is fitted on the features
+of whole texts, which tasks compute, and scoring takes every whole text, too.
 
 Defined cases: a null text is empty; all features of an empty text are 0. Ids labelled both ways,
 null ids and held-out ids do not take part in fitting. With one label only, or none, the score is
@@ -93,32 +94,43 @@ def fit(
             chosen.append(part.withColumn("use", F.lit(use)))
     ids = chosen[0].union(chosen[1]).union(chosen[2]).union(chosen[3])
     # At most 2 * (dictionary_rows + calibration_rows) ids.
-    texts = documents.select(id_column, text_of(text).alias("text"))
-    sample = (
-        texts.join(F.broadcast(ids), id_column).filter(F.length("text") <= SAMPLE_CHARS)
-        .groupBy(id_column, "label", "use").agg(F.min("text").alias("text"))
-        .orderBy(id_column).collect()
-    )
-    picked = {
-        (use, value): [r["text"].encode() for r in sample if r["use"] == use and r["label"] == value]
-        for use in (False, True) for value in (0, 1)
-    }
+    sampled = documents.select(id_column, text_of(text).alias("text")).join(
+        F.broadcast(ids), id_column)
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    piece = F.substr("text", (F.pmod(F.xxhash64(id_column, F.lit("piece")), spare) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    sample = sampled.filter("not use").groupBy(id_column, "label").agg(F.min(piece).alias("text")).orderBy(id_column).collect()
+    picked = {value: [r["text"].encode() for r in sample if r["label"] == value] for value in (0, 1)}
     total = sum(shares.values())
     prior = shares.get(1, 0) / total if total else 0.5
     constant = Model((b"", True), (b"", True), (*[0.0] * FEATURES, float(np.log((prior + 1e-6) / (1 - prior + 1e-6)))))
     if not all(picked.values()):
         return constant
-    model = Model(train_dictionary(picked[False, 1]), train_dictionary(picked[False, 0]), ())
-    x, y, w = [], [], []
-    for value in (0, 1):
-        f = model.features(picked[True, value])
-        x.append(f)
-        y.append(np.full(len(f), float(value)))
-        w.append(np.full(len(f), shares[value] / len(f)))
-    b = fit_logistic(np.concatenate(x), np.concatenate(y), np.concatenate(w))
+    model = Model(train_dictionary(picked[1]), train_dictionary(picked[0]), ())
+    rows = _features(sampled.filter("use"), model, id_column).groupBy(id_column, "label").agg(
+        F.min("features").alias("features")).orderBy(id_column).collect()
+    x = np.array([r["features"] for r in rows]).reshape(-1, FEATURES)
+    y = np.array([r["label"] for r in rows], float)
+    counts = {value: int((y == value).sum()) for value in (0, 1)}
+    if not all(counts.values()):
+        return constant
+    b = fit_logistic(x, y, np.where(y == 1, shares[1] / counts[1], shares[0] / counts[0]))
     return Model(model.good, model.bad, tuple(map(float, b)))
 
 
+def _features(labelled: DataFrame, model: Model, id_column: str) -> DataFrame:
+    """(id, label, features) of whole texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            found = model.features(batch.column("text").cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id_column), batch.column("label"), pa.array(list(found), pa.list_(pa.float64()))],
+                names=[id_column, "label", "features"])
+
+    bounded_batches(labelled.sparkSession)
+    kind = labelled.schema[id_column].dataType.simpleString()
+    return labelled.select(id_column, "label", "text").mapInArrow(run, f"`{id_column}` {kind}, label int, features array<double>")
+
+
 def score(df: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """``df`` with the column ``score`` added (``score_`` if taken)."""
     t, name = free_name(df, "_text"), free_name(df, "score")

@@ -105,3 +105,14 @@ def test_every_word_of_a_growing_vocabulary_counts(spark, monkeypatch):
         got[frequent] = {r["doc_id"]: r["score"] for r in toxicity.classify(docs, labels).collect()}
     assert got[1] == got[200] == got[1 << 18]
     assert got[1][10_002] > got[1][10_001] + 0.1 and got[1][10_003] > got[1][10_001] + 0.1
+
+
+def test_long_labelled_texts_are_learnt(spark):
+    rng = np.random.default_rng(2)
+    words = {1: ["river", "stone", "quiet", "morning", "letter", "garden"], 0: ["BUY", "now!!", "$$$", "click", "FREE", "win"]}
+    rows = [(i, " ".join(rng.choice(words[i % 2], 4000)), i % 2) for i in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    assert min(len(t) for _, t, _ in rows) > quality_classifier.SAMPLE_CHARS
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.classify(docs, labels).collect()}
+    assert min(got[i] for i in range(1, 120, 2)) > 0.9 and max(got[i] for i in range(0, 120, 2)) < 0.1
