@@ -23,6 +23,8 @@ def session(app: str = "airloom", master: str | None = None, **conf: str) -> Spa
         # Streaming state may exceed executor memory.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # A batch then uploads its changes instead of whole state files.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.ui.enabled": "false",
         **conf,
     }
