@@ -105,7 +105,7 @@ def _induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, limit: int) ->
 def _rank(text: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
     """The leftmost S suffixes in order of their first ``depth`` bytes at least.
 
-    Ranks by eight bytes are doubled: two neighbours in rank order make a rank of twice the bytes.
+    Eight bytes at a time: suffixes that are equal so far are a group, and a group is sorted by its next eight bytes.
     """
     padded = np.zeros(len(text) + depth + 16, np.uint8)
     padded[: len(text)] = text
