@@ -1,36 +1,57 @@
 """Benchmark passages in documents, found by spaced seeds, by DataFrame functions only.
 
-A mask over ``SPAN`` words ignores some of its positions. Every window of a benchmark item and of a
-document is hashed under every mask, and equal hashes are joined, so a window still hits when
-ignored words were substituted. Around a hit the item is laid over the document at the hit's offset
-and its words are compared one by one. A document holds an item when, over all offsets that were
-hit, at least ``COVERAGE`` of the item's words (and ``LEAST`` words) stand at their place.
-
-Words are runs of letters and digits, in lower case. An item shorter than ``SPAN`` words is sought
-as a whole, without ignored positions; one shorter than ``LEAST`` words is no evidence and never
-matches. Items of equal words are one item, named by the smallest id.
-
-Defined cases: null texts are empty and match nothing. Rows with a null id are never reported.
-Documents that repeat an id count as one document. Other columns never matter.
+A mask counts four positions of a window and ignores the others. Every window of a benchmark item
+and of a document is hashed under masks, and equal hashes are joined, so a window still hits when
+ignored words were substituted. At a hit the item is laid over the document at the hit's offset and
+its words are compared one by one (as 64-bit hashes). An offset counts when at least ``LEAST``
+words and a quarter of the item's words stand at their place. A document holds an item when, over
+all offsets that count, at least ``COVERAGE`` of the item's words (and ``LEAST`` words) do.
+
+Short items need more masks than long ones, which have more windows (``ENOUGH``). Of items with
+exactly ``COVERAGE`` of their words at random places, masks find all of up to 10 words and over 98 %
+of longer ones (simulated). An item of 64 words or more is laid in parts of 32 to 63 words, each with
+its own offsets, so what a hit moves is bounded.
+
+Hits are compared where they are found, in the scan of the documents: only the matched places of offsets
+that count, as bits, are shuffled, by document and part. Seeds of a benchmark of any size are broadcast in blocks of
+``BROADCAST_SEEDS``, one scan each.
+
+Words are runs of letters and digits, in lower case. An item shorter than ``LEAST`` words is no
+evidence and never matches. Items of equal words are one item, named by the smallest id.
+
+Defined cases: null and empty texts and an empty table match nothing; a text of any length is
+searched whole. Rows with a null id are never reported. Documents that repeat an id count as one
+document. Other columns never matter, also ones named like those used here.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.llm.common import text_of
 from airloom.session import materialize
 
-#: 1: the word counts, 0: it is ignored. All masks have the same span.
-MASKS = ("1101101101", "1011110011", "1110011101")
-SPAN = 10
+#: 1: the word counts, 0: it is ignored. Each was the one that, added to those before it, found most
+#: of simulated items of 5 to 20 words.
+MASKS = ("10111", "111001", "1100101", "1001011", "10100011", "11010001", "10001101", "11000011", "110101",
+         "11001001", "10001011", "110010001")
+#: Items of this many words or more are sought by this many of the masks.
+ENOUGH = ((18, 4), (11, 6), (0, len(MASKS)))
+SPAN = max(map(len, MASKS))
 LEAST = 5
 COVERAGE = 0.6
-#: Window hashes of the benchmark up to this number are broadcast (about 40 bytes each); more are
-#: joined by a shuffle.
-BROADCAST_SEEDS = 2_000_000
-#: Likewise for the offsets that were hit, which are laid over the texts.
+#: Share of an item's words, or of a part's, at an offset that counts.
+OFFSET = 0.25
+#: Words of a part of a long item; the last part takes the remainder too.
+PART = 32
+#: Window hashes of the benchmark that are broadcast at once (about 60 bytes each).
+BROADCAST_SEEDS = 1_000_000
+#: The benchmark's words are broadcast up to this number (8 bytes each), else joined by a shuffle.
+BROADCAST_WORDS = 8_000_000
+#: Ids of documents that hold an item are broadcast up to this number (8 bytes each).
 BROADCAST_HITS = 1_000_000
 
 BREAKS = r"[^\p{L}\p{N}]+"
@@ -40,22 +61,42 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), BREAKS, -1), "")
 
 
-def seeds(hashes: str, n: int, masks: tuple[str, ...]) -> Column:
-    """Array of (hash, at) of all windows of an array of word hashes, under every mask."""
-    def of(number: int, mask: str) -> Column:
-        def window(i):
-            kept = [F.get(F.col(hashes), i + k) for k, c in enumerate(mask) if c == "1"]
-            return F.struct(F.xxhash64(F.lit(number), *kept).alias("seed"), i.alias("at"))
-        last = F.size(hashes) - n
-        return F.transform(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")), window)
-    return F.concat(*(of(i, m) for i, m in enumerate(masks)))
+def _hashes(text: Column) -> Column:
+    return F.transform(words(text), lambda w: F.xxhash64(w))
+
+
+def _seed(number: int, at: str) -> Column:
+    """Hash of the window of ``hashes`` that starts at ``at``; null where the array ends before it."""
+    mask = MASKS[number]
+    kept = [F.get("hashes", F.col(at) + k) for k, c in enumerate(mask) if c == "1"]
+    return F.when(F.col(at) + len(mask) <= F.size("hashes"), F.xxhash64(F.lit(number), *kept))
+
 
+def _windows(rows: DataFrame, masks: int) -> DataFrame:
+    """The rows once for every place ``at`` of ``hashes`` and every one of the first masks."""
+    at = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("hashes") - LEAST, F.lit(0)))))
+    return at.select("*", F.posexplode(F.array(*(_seed(m, "at") for m in range(masks)))).alias("mask", "seed"))
 
-def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, words, hashes), one row per different word list."""
+
+def _parts(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """(part, item, item_words, first, size, hashes): the parts of every different word list, stored."""
     rows = benchmark.select(F.col(item).alias("item"), words(text_of(text)).alias("words"))
     rows = rows.filter(F.col("item").isNotNull() & (F.size("words") >= LEAST)).groupBy("words").agg(F.min("item").alias("item"))
-    return materialize(rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))))
+    rows = rows.select("item", F.size("words").alias("item_words"), F.transform("words", lambda w: F.xxhash64(w)).alias("all"))
+    last = F.greatest(F.floor(F.col("item_words") / PART).cast("int") - 1, F.lit(0))
+    rows = rows.withColumn("last", last).withColumn("i", F.explode(F.sequence(F.lit(0), "last")))
+    rows = rows.withColumn("first", F.col("i") * PART)
+    size = F.when(F.col("i") < F.col("last"), F.lit(PART)).otherwise(F.col("item_words") - F.col("first"))
+    return materialize(rows.withColumn("size", size).select(
+        F.monotonically_increasing_id().alias("part"), "item", "item_words", "first", "size",
+        F.slice("all", F.col("first") + 1, F.col("size")).alias("hashes")))
+
+
+def _sought(parts: DataFrame) -> DataFrame:
+    """(seed, part, q): the windows of all parts at all their places, stored."""
+    masks = reduce(lambda c, e: c.when(F.col("size") >= e[0], e[1]), ENOUGH, F)
+    found = _windows(parts.select("part", "size", "hashes"), len(MASKS))
+    return materialize(found.filter(F.col("seed").isNotNull() & (F.col("mask") < masks)).select("seed", "part", F.col("at").alias("q")))
 
 
 def overlaps(
@@ -63,42 +104,39 @@ def overlaps(
     item: str = "item_id", item_text: str = "text", coverage: float = COVERAGE,
 ) -> DataFrame:
     """One row per document and item it holds: id, item, item_words, matched, coverage."""
-    items = _items(benchmark, item, item_text)
-    shorts = [r[0] for r in items.select(F.size("words")).filter(F.size("words") < SPAN).distinct().collect()]  # under SPAN
-
-    def cut(rows: DataFrame, key: str, whole_only: bool) -> DataFrame:
-        """(key, seed, at); items give the windows of their own kind, documents those of all kinds."""
-        spans = [(SPAN, MASKS)] + [(n, ("1" * n,)) for n in sorted(shorts)]
-        arrays = []
-        for n, masks in spans:
-            found = seeds("hashes", n, masks)
-            if whole_only and n < SPAN:
-                found = F.when(F.size("hashes") == n, found)
-            arrays.append(found if not whole_only or n < SPAN else F.when(F.size("hashes") >= SPAN, found))
-        empty = F.array().cast("array<struct<seed:bigint,at:int>>")
-        all_of = F.concat(*(F.coalesce(a, empty) for a in arrays))
-        return rows.select(key, F.explode(all_of).alias("s")).select(key, "s.seed", "s.at")
-
-    # An item that repeats a window is hit at its first place; the others give no other document.
-    sought = materialize(cut(items, "item", True).groupBy("seed", "item").agg(F.min("at").alias("q")))
-    docs = documents.select(F.col(id_column).alias("id"), text_of(text).alias("text")).filter("id is not null")
-    hashed = docs.select("id", words(F.col("text")).alias("words")).select(
-        "id", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    small = sought.count() <= BROADCAST_SEEDS
-    hits = cut(hashed, "id", False).join(F.broadcast(sought) if small else sought, "seed")
-    hits = materialize(hits.select("id", "item", (F.col("at") - F.col("q")).alias("offset")).distinct())
-    # Only texts that were hit are read again.
-    ids = hits.select("id").distinct()
-    few = hits.count() <= BROADCAST_HITS
-    texts = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", words(F.col("text")).alias("doc"))
-    laid = texts.join(hits, "id").join(items.select("item", F.col("words").alias("own")), "item")
-    places = F.filter(
-        F.sequence(F.lit(0), F.size("own") - 1),
-        lambda q: F.coalesce(F.get("own", q) == F.get("doc", q + F.col("offset")), F.lit(False)))
-    matched = (
-        laid.select("id", "item", F.size("own").alias("item_words"), F.explode(places).alias("q"))
-        .distinct().groupBy("id", "item", "item_words").agg(F.count("*").alias("matched"))
-    )
+    parts = _parts(benchmark, item, item_text)
+    sought = _sought(parts)
+    shortest, all_words = parts.agg(F.min("size"), F.sum("size")).first()
+    masks = next(m for least, m in ENOUGH if (shortest or 0) >= least)
+    docs = documents.filter(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), _hashes(text_of(text)).alias("hashes"))
+    blocks = -(-sought.count() // BROADCAST_SEEDS) or 1
+    own = parts.withColumnRenamed("hashes", "own")
+    own = F.broadcast(own) if (all_words or 0) <= BROADCAST_WORDS else own
+
+    def hits(block: int) -> DataFrame:
+        """(id, item, item_words, first, places): matched places of a part as bits, for offsets that count."""
+        seeds = sought.filter(F.pmod(F.xxhash64("seed", "part", "q"), F.lit(blocks)) == block) if blocks > 1 else sought
+        # The part's place in the document, as far as it lies inside: its words from ``skip`` on.
+        met = _windows(docs, masks).join(F.broadcast(seeds), "seed")
+        size = F.lit(2 * PART)  # no part is longer
+        met = met.select("id", "part", "q", F.greatest(F.col("q") - F.col("at"), F.lit(0)).alias("skip"), F.slice(
+            "hashes", F.greatest(F.col("at") - F.col("q"), F.lit(0)) + 1, size).alias("there")).join(own, "part")
+
+        def same(q: Column) -> Column:
+            return F.coalesce(F.get("own", q) == F.get("there", q - F.col("skip")), F.lit(False))
+
+        # Where the words from the place before on are equal too, every mask hits there.
+        before = reduce(lambda a, b: a & b, (same(F.col("q") + (j - 1)) for j in range(SPAN)))
+        places = F.aggregate(
+            F.sequence(F.lit(0), F.col("size") - 1), F.lit(0).cast("long"),
+            lambda bits, q: bits.bitwiseOR(F.when(same(q), F.call_function("shiftleft", F.lit(1).cast("long"), q)).otherwise(0)))
+        laid = met.filter(~before).select("id", "item", "item_words", "first", "size", places.alias("places"))
+        n = F.bit_count("places")
+        return laid.filter((n >= LEAST) & (n >= OFFSET * F.col("size"))).select("id", "item", "item_words", "first", "places")
+
+    found = reduce(DataFrame.union, (hits(b) for b in range(blocks)))
+    found = found.groupBy("id", "item", "item_words", "first").agg(F.bit_count(F.bit_or("places")).alias("n"))
+    matched = found.groupBy("id", "item", "item_words").agg(F.sum("n").alias("matched"))
     share = F.col("matched") / F.col("item_words")
     return matched.filter((F.col("matched") >= LEAST) & (share >= coverage)).select(
         F.col("id").alias(id_column), F.col("item").alias(item), F.col("item_words").cast("long").alias("item_words"),

@@ -86,35 +86,21 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesc
   d.doc_id <= coalesce(low, d.doc_id) AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id"""
 
-_MASKS = ("1101101101", "1011110011", "1110011101")
-
-
-def _masked(at: str) -> str:
-    """(mask, key) rows of the ten-word window that starts at ``at`` of ``ws``."""
-    keys = ", ".join(
-        "struct_pack(mask := '%s', key := concat_ws(' ', %s))" % (m, ", ".join(f"ws[{at} + {i}]" for i, c in enumerate(m) if c == "1"))
-        for m in _MASKS)
-    return f"[{keys}]"
-
-
-DECONTAMINATION = f"""WITH
-b AS (SELECT min(item_id) AS item, ws FROM (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'),
+DECONTAMINATION = """WITH
+b AS (SELECT min(item_id) AS item, ws, len(ws) AS n FROM (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'),
     lambda x: x <> '') AS ws FROM benchmark) WHERE len(ws) >= 5 AND item_id IS NOT NULL GROUP BY ws),
-d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'),
+d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'),
     lambda x: x <> '') AS ws FROM documents WHERE doc_id IS NOT NULL),
-bs AS (SELECT item, q, unnest({_masked('q')}, recursive := true) FROM (SELECT item, ws, unnest(range(1, len(ws) - 8)) AS q FROM b WHERE len(ws) >= 10)
-    UNION ALL SELECT item, 1, 'whole' || len(ws), concat_ws(' ', ws) FROM b WHERE len(ws) < 10),
-ds AS (SELECT doc_id, p, unnest({_masked('p')}, recursive := true) FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 8)) AS p FROM d WHERE len(ws) >= 10)
-    UNION ALL SELECT doc_id, p, 'whole' || n, concat_ws(' ', ws[p:p + n - 1]) FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p
-      FROM d, (SELECT DISTINCT len(ws) AS n FROM b WHERE len(ws) < 10) l WHERE len(ws) >= n)),
-first AS (SELECT item, mask, key, min(q) AS q FROM bs GROUP BY ALL),
-hits AS (SELECT DISTINCT doc_id, item, p - q AS shift FROM ds JOIN first ON first.mask = ds.mask AND first.key = ds.key),
-laid AS (SELECT DISTINCT hits.doc_id, hits.item, len(b.ws) AS item_words, unnest(list_filter(range(1, len(b.ws) + 1),
-    lambda i: i + shift >= 1 AND coalesce(b.ws[i] = d.ws[i + shift], false))) AS i
-    FROM hits JOIN b ON b.item = hits.item JOIN d ON d.doc_id = hits.doc_id),
-found AS (SELECT doc_id, item, item_words, count(*) AS matched FROM laid GROUP BY ALL)
-SELECT doc_id, item AS item_id, item_words::BIGINT AS item_words, matched, matched / item_words AS coverage FROM found
-WHERE matched >= 5 AND matched / item_words >= 0.6"""
+-- Every word of an item, with the part it is in and the part's size.
+own AS (SELECT item, n, q, least(q // 32, last) AS part, CASE WHEN q // 32 < last THEN 32 ELSE n - 32 * last END AS size, ws[q + 1] AS w
+    FROM (SELECT *, greatest(n // 32, 1) - 1 AS last, unnest(range(0, n)) AS q FROM b)),
+dw AS (SELECT rid, doc_id, p, ws[p + 1] AS w FROM (SELECT *, unnest(range(0, len(ws))) AS p FROM d)),
+-- Plain alignment: all offsets at which words are equal, whether or not a mask hits there.
+counted AS (SELECT rid, doc_id, item, n, part, list(q) AS qs FROM dw JOIN own ON own.w = dw.w
+    GROUP BY rid, doc_id, item, n, part, size, p - q HAVING count(*) >= greatest(5, size / 4)),
+found AS (SELECT doc_id, item, n, count(DISTINCT q) AS matched FROM (SELECT doc_id, item, n, unnest(qs) AS q FROM counted) GROUP BY ALL)
+SELECT doc_id, item AS item_id, n::BIGINT AS item_words, matched, matched / n AS coverage FROM found
+WHERE matched >= 5 AND matched / n >= 0.6"""
 
 
 def _crc32(text: str) -> str:
