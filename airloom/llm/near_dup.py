@@ -8,16 +8,20 @@
    that branches of similar sets live on and others die out.
 3. In each node all sets are compared with two of its sets, one of them that with the smallest id
    (an original, often). Sets that confirmed links have joined in one component need no further
-   comparison, so a large group of near copies takes a few comparisons each. Nodes with few open
-   pairs (``OPEN`` for each of their sets, as a node of 16 unrelated sets has) are then compared
-   exhaustively, and others branch again, by size, too, as similar sets have similar sizes.
-4. Sets that are still in open nodes after ``DEPTH`` levels (those of texts around a common passage or
-   a large group that they nearly resemble) are joined exactly: two similar sets share one of
-   the rarest quarter of their shingles, and sets of different components that do are compared.
+   comparison, so a large group of near copies takes a few comparisons each. Of nodes with few open
+   pairs (``OPEN`` for each of their sets, as a node of 16 unrelated sets has) all open pairs are
+   compared: sets outside the node's largest component, of which there are ``4 * OPEN`` at most, with
+   all of its sets. Other nodes branch again, by size, too, as similar sets have similar sizes.
+4. Then the first level's nodes that had many open pairs are looked at again, and the sets of those
+   that still have (texts around a common passage or a large group that they nearly resemble) are
+   joined exactly: two similar sets share one of the rarest quarter of their shingles, and sets of
+   different components that do are compared.
 5. Links are confirmed on the full sets: 100 * intersection >= 75 * union.
 
-A pair at the threshold meets in 12 of the 16 roots' children on average, and never with probability
-2e-10; where it meets in open nodes alone, the exact join finds it.
+A pair at the threshold shares 12 of the 16 first-level nodes on average, and none with probability
+2e-10. In one that it shares it is compared or joined exactly, so no link depends on deeper luck. Pairs of
+compared nodes are estimated first, which passes over a pair at the threshold with probability 2e-9;
+those of the exact join are not.
 
 Defined cases: a null or empty text, or one without words, has the empty set and links with
 nothing. Repeated rows are members of one class. Rows with a null id are never linked, and are
@@ -45,9 +49,9 @@ ROOT = 1
 OPEN = 8
 DEPTH = 2
 SIMILAR = 75
-#: Pairs whose estimate is below this are not confirmed: at a similarity of 0.75 the estimate
-#: from 64 coordinates falls short of it with a probability of 1e-5.
-ESTIMATE = 0.5
+#: Pairs of a node whose estimate is below this are not confirmed: at a similarity of 0.75 the
+#: estimate from 64 coordinates falls short of it with a probability of 2e-9.
+ESTIMATE = 0.375
 #: Ids of texts to fetch are broadcast up to this number (8 bytes each), else joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
@@ -244,11 +248,15 @@ def sharing_rare(sets: DataFrame, parts: DataFrame) -> DataFrame:
     rare = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1
     first = shared.withColumn("place", own + rank).filter(F.col("place") <= rare)
     first = materialize(first.select("k", "x", "n", (F.col("n") - F.col("place") + 1).alias("left")).join(parts, "k"))
-    mixed = first.groupBy("x").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("x")
-    first = first.join(mixed, "x")
-    other = first.select("x", F.col("k").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("left").alias("over"))
+    # Sets outside a shingle's largest component meet all of its sets, so that a large component is
+    # not joined with itself.
+    counts = first.groupBy("x", "c").agg(F.count("*").alias("m"))
+    mixed = counts.groupBy("x").agg(F.max(F.struct("m", "c"))["c"].alias("big"), F.count("*").alias("parts")).filter("parts > 1")
+    first = first.join(mixed.select("x", "big"), "x")
+    other = first.filter("c <> big").select(
+        "x", F.col("k").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("left").alias("over"))
     enough = f"{100 + SIMILAR} * least(left, over) >= {SIMILAR} * (n + m)"
-    return first.join(other, "x").filter(f"k < b and c <> d and {enough}").select(F.col("k").alias("a"), "b")
+    return first.join(other, "x").filter(f"c <> d and (c = big or k < b) and {enough}").select(F.col("k").alias("a"), "b")
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -289,10 +297,16 @@ def link(
         return members.select("node", "k", "id", "n").join(named, "k", "left").select(
             "node", "k", "id", "n", F.coalesce("c", "k").alias("c"))
 
-    def compare(pairs: DataFrame) -> None:
+    def compare(pairs: DataFrame, exact: DataFrame | None = None) -> None:
+        """Confirm the pairs that their estimate does not rule out, and all of ``exact``."""
         nonlocal edges, tried, root
-        pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        pairs = materialize(likely(pairs.join(tried, ["a", "b"], "left_anti"), classes))
+
+        def new(some: DataFrame) -> DataFrame:
+            some = materialize(some.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            return some.join(tried, ["a", "b"], "left_anti")
+
+        pairs = likely(new(pairs), classes)
+        pairs = materialize(pairs if exact is None else pairs.union(new(exact)).distinct())
         if pairs.isEmpty():
             return
         found = confirm(pairs, classes, documents, id_column, text)
@@ -302,15 +316,15 @@ def link(
             root = materialize(components(edges))
 
     def mixed(members: DataFrame) -> DataFrame:
-        """Members of nodes that hold two components at least, with two of the node's sets and whether
-        it has few open pairs."""
+        """Members of nodes that hold two components at least, with two of the node's sets, its largest
+        component and whether it has few open pairs."""
         parts = members.groupBy("node", "c").agg(
             F.count("*").alias("m"), F.min(F.struct("k", "c")).alias("some"), F.min(F.struct("id", "k", "c")).alias("first"))
         sizes = parts.groupBy("node").agg(
             F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("same"), F.count("*").alias("parts"),
-            F.min("some").alias("some"), F.min("first").alias("first"))
+            F.min("some").alias("some"), F.min("first").alias("first"), F.max(F.struct("m", "c"))["c"].alias("big"))
         few = (F.col("size") * F.col("size") - F.col("same")) / 2 <= open_pairs * F.col("size")
-        return members.join(sizes.filter("parts > 1").select("node", "some", "first", few.alias("few")), "node")
+        return members.join(sizes.filter("parts > 1").select("node", "some", "first", "big", few.alias("few")), "node")
 
     def with_two(nodes: DataFrame) -> DataFrame:
         """Pairs of a node's sets with two of them."""
@@ -319,25 +333,32 @@ def link(
         return met.select(F.col("with.k").alias("a"), F.col("k").alias("b"))
 
     def within(nodes: DataFrame) -> DataFrame:
-        """Open pairs of the nodes that have few."""
-        few = nodes.filter("few").select("node", "k", "c")
-        met = few.join(few.select("node", F.col("k").alias("b"), F.col("c").alias("d")), "node")
-        return met.filter("k < b and c <> d").select(F.col("k").alias("a"), "b")
+        """Open pairs of the nodes that have few.
+
+        With s sets outside the largest component, which has m, the open pairs are s * m at least, and a
+        quarter of the squared size where m is less than half of it: so s is 4 * ``open_pairs`` at most.
+        """
+        few = nodes.filter("few").select("node", "k", "c", "big")
+        outside = few.filter("c <> big").groupBy("node").agg(F.collect_list(F.struct(F.col("k").alias("b"), F.col("c").alias("d"))).alias("o"))
+        met = few.join(outside, "node").select("k", "c", F.explode("o").alias("o"))
+        return met.filter("c <> o.d").select(F.col("k").alias("a"), F.col("o.b").alias("b"))
 
     nodes = materialize(mixed(component(roots(classes, trees))))
     compare(with_two(nodes))
     nodes = materialize(mixed(component(nodes)))
+    crowded = nodes.filter("not few").select("node", "k", "id", "n")
     for level in range(1, depth):
         large = nodes.filter("not few").select("node", "k", "id", "n")
         below = branch(large.join(classes.select("k", "sig"), "k"), by_size=level == 1)
         below = materialize(mixed(component(below)))
         compare(within(nodes).union(with_two(below)))
         nodes = materialize(mixed(component(below)))
+    compare(within(nodes))
+    # Every node is a part of one of the first level, whose open pairs are all that is left.
+    nodes = materialize(mixed(component(crowded)))
     rest = materialize(nodes.filter("not few").groupBy("k").agg(F.min("c").alias("c")))
-    pairs = within(nodes)
-    if not rest.isEmpty():
-        pairs = pairs.union(sharing_rare(full_sets(rest, classes, documents, id_column, text), rest))
-    compare(pairs)
+    compare(within(nodes), None if rest.isEmpty() else sharing_rare(
+        full_sets(rest, classes, documents, id_column, text), rest))
     # The smallest id of every component; classes without a link are their own.
     named = classes.select("k", "id").join(root.select(F.col("id").alias("k"), "root"), "k", "left")
     named = named.select("k", "id", F.coalesce("root", "k").alias("root"))

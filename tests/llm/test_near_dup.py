@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pytest
 
 from airloom.llm import near_dup
 from airloom.llm.components import components
@@ -73,6 +74,43 @@ def test_common_passages_large_groups_and_deep_trees(spark):
     check(near_dup.link(df, open_pairs=2).collect(), docs)
 
 
+def crowd(rng, copies, strays):
+    """Near copies of one text, texts that only share a passage with them, and near copies of those."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(80)]
+    docs = {}
+    for i in range(copies):
+        w = list(base)
+        w[i % 80] = word()
+        docs[10 * i] = " ".join(w)
+    for i in range(strays):
+        w = base[:45] + [word() for _ in range(30)]
+        docs[10 * i + 1] = " ".join(w)
+        docs[10 * i + 2] = " ".join(w[:-1] + [word()])
+    return docs
+
+
+@pytest.mark.parametrize("estimate", ["all", "none"])
+def test_links_without_the_estimate(spark, monkeypatch, estimate):
+    """All pairs of nodes are confirmed; then none is, so that the exact join alone finds every link."""
+    monkeypatch.setattr(near_dup, "likely", lambda pairs, classes: pairs if estimate == "all" else pairs.limit(0))
+    docs = crowd(random.Random(8), 160, 30)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    check(near_dup.link(df, open_pairs=8 if estimate == "all" else 0).collect(), docs)
+
+
+def test_a_large_component_is_not_joined_with_itself(spark):
+    """3000 near copies of one component and one other set, all with common rare shingles: 3000 pairs."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**62, 40)
+    sets = [(i.to_bytes(4, "big"), np.unique(np.append(base, rng.integers(0, 2**62, 2))).astype(np.int64).tobytes()) for i in range(3001)]
+    parts = [(k, b"stray" if k == sets[7][0] else b"group") for k, _ in sets]
+    pairs = near_dup.sharing_rare(
+        spark.createDataFrame(sets, "k binary, s binary"), spark.createDataFrame(parts, "k binary, c binary"))
+    got = {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in pairs.distinct().collect()}
+    assert got == {frozenset((k, sets[7][0])) for k, _ in sets if k != sets[7][0]}
+
+
 def test_edges(spark):
     df = odd_documents(spark)
     rows = near_dup.link(df).collect()
