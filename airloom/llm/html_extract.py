@@ -16,7 +16,8 @@ white space in a block becomes one space (so does a line break), blocks are join
 
 Defined cases: null or empty html, and a page without main text, give the empty text. Broken markup
 is read as a browser would, roughly: open paragraphs, list items and cells end where a new one
-starts. Repeated rows are extracted one by one.
+starts. Repeated rows are extracted one by one. Pages of any length are read whole. An empty table
+gives no rows.
 """
 
 from __future__ import annotations

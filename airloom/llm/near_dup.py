@@ -25,7 +25,8 @@ those of the exact join are not.
 
 Defined cases: a null or empty text, or one without words, has the empty set and links with
 nothing. Repeated rows are members of one class. Rows with a null id are never linked, and are
-kept. Other columns never matter.
+kept. Texts of any length are compared by their whole sets. An empty table gives no rows. Only
+id and text are read, so other columns and their names never matter.
 """
 
 from __future__ import annotations

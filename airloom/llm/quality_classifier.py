@@ -13,6 +13,7 @@ of whole texts, which tasks compute, and scoring takes every whole text, too.
 Defined cases: a null text is empty; all features of an empty text are 0. Ids labelled both ways,
 null ids and held-out ids do not take part in fitting. With one label only, or none, the score is
 the share of label 1 (0.5 without labels). Repeated rows are scored one by one.
+Texts of any length are scored whole. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ so a stratum loses at most ``len(RULES) * max_false`` of its good documents, at
 
 Defined cases: a null text counts as empty and an empty one has no words, so it fails the base
 rule. A null stratum is the stratum "". Documents without a label, or with both, do not take part
-in the certification. Repeated rows are judged one by one. Without labels only the base rule works.
+in the certification. Repeated rows are judged one by one. Texts
+of any length are measured whole. An empty table gives no rows. Without labels only the base rule works.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ mandatory trigrams searches every text. As the index lives beside its texts, not
 Defined cases: a null text is empty and has no spans. Offsets are code points, end exclusive.
 Matches of one rule are leftmost and do not overlap; different rules may overlap. Repeated rows
 are scanned one by one. Other columns never matter.
+Texts of any length are scanned whole. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@
 
 Earlier means: a smaller id, or the same text and a smaller start. Texts that share an id are
 ordered by their digests; a null id is smaller than others. A null text is empty. Of repeated rows
-one is the first and the others are copies.
+one is the first and the others are copies. An empty table gives no rows. Only id and text are read,
+so other columns and their names never matter.
 """
 
 from __future__ import annotations

@@ -19,6 +19,7 @@ at most) go to all tasks; all others are joined. Ratios are summed as whole ``ST
 Defined cases: a null text is empty; a text without words has the statistic 0. Ids that are null,
 held out or labelled both ways are not learnt from. With one label only, or none, the score is the
 share of label 1 (0.5 without labels). Repeated rows count and are scored one by one.
+Texts of any length are scored whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
