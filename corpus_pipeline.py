@@ -2,6 +2,11 @@
 
 Quality rules drop what they reject, one document of each group of near duplicates stays, documents
 that hold benchmark passages go, secrets are replaced by their kind, and what is left is packed.
+
+Defined cases: a null or empty text has no words, so the quality rules reject it. Rows with a null id take part in
+every stage, but are no one's near duplicate and hold no benchmark passage. Of rows that repeat an id near-duplicate
+removal keeps one. Texts of any length are read whole. An empty table gives an empty result. Further columns are
+carried up to the packing, whatever their names.
 """
 
 from __future__ import annotations
