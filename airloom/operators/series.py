@@ -32,6 +32,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airloom.functions.expr import epoch_micros, epoch_seconds
 from airloom.operators.attach import join_keys
@@ -232,6 +233,56 @@ def over_time(
     return _built(copies, df.columns, build(window))
 
 
+def mean_over_time(
+    df: DataFrame,
+    means: dict[str, str],
+    preceding_seconds: int,
+    *,
+    keys: Sequence[str] = ("city",),
+    order: str = "ts",
+    bucket_seconds: int | None = None,
+    split: bool | DataFrame | None = None,
+) -> DataFrame:
+    """Add means (new column: column) of the known values of the last ``preceding_seconds``, ends included.
+
+    A sliding frame is summed anew for every row, so dense series cost the square of their rows. Here time is cut
+    into blocks as long as the frame: a frame is what its own block holds up to the row and the end of the block
+    before, and both are running sums. A row enters the next block once more at the time that it leaves the frames,
+    so one shuffle does. No sum is taken back from another, and NaN and infinities stay in their frames.
+
+    Every series is cut into these blocks, however short it is, so ``split`` needs no measuring. Rows without a time
+    are a block of their own.
+    """
+    if bucket_seconds is not None and bucket_seconds < preceding_seconds:
+        raise ValueError("bucket_seconds must be at least preceding_seconds")
+    if preceding_seconds <= 0:  # a frame of one instant is summed once
+        return over_time(
+            df, lambda w: {n: F.avg(c).over(w.rangeBetween(0, 0)) for n, c in means.items()}, 0,
+            keys=keys, order=order, bucket_seconds=bucket_seconds, split=split)
+    reach = preceding_seconds * 1_000_000
+    rows = df.withColumn("_micros", epoch_micros(order))
+    home = F.expr(f"(_micros - pmod(_micros, {reach}L)) DIV {reach}L")
+    own = F.struct(home.alias("_block"), F.col("_micros").alias("_at"), F.lit(True).alias("_own"))
+    later = F.struct((home + 1).alias("_block"), (F.col("_micros") + reach).alias("_at"), F.lit(False).alias("_own"))
+    both = F.when(F.col("_micros").isNull(), F.array(own)).otherwise(F.array(own, later))
+    needed = {*keys, *means.values()}
+    copies = rows.withColumn("_copy", F.explode(both)).select(
+        *[c if c in needed else F.when(F.col("_copy._own"), F.col(c)).alias(c) for c in df.columns], "_copy.*")
+    block = W.partitionBy(*keys, "_block")
+    past = block.orderBy("_at").rangeBetween(W.unboundedPreceding, 0)
+    left = block.orderBy(F.desc("_at")).rangeBetween(W.unboundedPreceding, 0)
+
+    def mean(c: str) -> Column:
+        kind = df.schema[c].dataType
+        value = F.col(c).cast("double") if isinstance(kind, T.NumericType) and not isinstance(kind, T.DecimalType) else F.col(c)
+        mine, before = F.when(F.col("_own"), value), F.when(~F.col("_own"), value)
+        sums = F.sum(mine).over(past), F.sum(before).over(left)
+        n = F.count(mine).over(past) + F.count(before).over(left)
+        return F.try_divide(F.coalesce(sums[0] + sums[1], *sums), n).cast(df.select(F.avg(c)).schema[0].dataType)
+
+    return _built(copies, df.columns, {n: mean(c) for n, c in means.items()})
+
+
 def bucket_edges(
     rows: DataFrame, columns: Sequence[str], keys: Sequence[str], order: str
 ) -> DataFrame:

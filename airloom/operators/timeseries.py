@@ -12,7 +12,7 @@ from airloom.functions.expr import numeric_columns
 from airloom.operators.attach import join_keys
 from airloom.operators.quantiles import exact_quantiles
 from airloom.operators.series import (
-    BLOCK_ROWS, fill, over_rows, over_time, rank_cuts, with_position,
+    BLOCK_ROWS, fill, mean_over_time, over_rows, over_time, rank_cuts, with_position,
 )
 from airloom.schemas import AQI_LAGS
 from airloom.session import materialize
@@ -72,16 +72,11 @@ def rolling_mean(
     **series,
 ) -> DataFrame:
     """Trailing mean of the known values among the last ``window`` rows, or hours."""
-    def build(w):
-        frame = w.rowsBetween(1 - window, 0) if by == "rows" else w.rangeBetween(
-            -(window - 1) * 3600 * 1_000_000, 0
-        )
-        return {f"{c}{suffix}": F.avg(c).over(frame) for c in columns}
-
     if by == "rows":
-        return over_rows(df, build, window - 1, **series)
+        return over_rows(
+            df, lambda w: {f"{c}{suffix}": F.avg(c).over(w.rowsBetween(1 - window, 0)) for c in columns}, window - 1, **series)
     if by == "time":
-        return over_time(df, build, (window - 1) * 3600, **series)
+        return mean_over_time(df, {f"{c}{suffix}": c for c in columns}, (window - 1) * 3600, **series)
     raise ValueError(f"unknown frame {by!r}")
 
 

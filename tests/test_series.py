@@ -112,6 +112,34 @@ def test_time_based_windows(data, bucket):
         assert_equals_pandas(lagged, pdf.merge(moved, on=["city", "ts"], how="left"), [f"aqi_lag_{k}"])
 
 
+@pytest.mark.parametrize("split", [True, False, None])
+def test_means_over_time_do_not_slide(spark, split):
+    """Frames end inside, at and beyond blocks; equal and missing times, missing and odd values."""
+    rng = np.random.default_rng(5)
+    micros = [int(x) for x in rng.integers(-9_000, 30_000, 150)] + [-7200, 0, 0, 3600, 7200, 7200, 14_400, 21_600]
+    values = [None if i % 9 == 0 else float(x) for i, x in enumerate(rng.integers(0, 1000, len(micros)))]
+    values[17], values[40] = float("nan"), float("inf")
+    rows = [(i, ["a", "b", None][i % 3], m * 1_000_000 + (i % 4) * 250_000, v) for i, (m, v) in enumerate(zip(micros, values))]
+    rows += [(900 + i, "a", None, v) for i, v in enumerate((1.0, None, 5.0))]
+    df = spark.createDataFrame(rows, "id int, city string, at long, x double").select(
+        "id", "city", F.timestamp_micros("at").cast("timestamp_ntz").alias("ts"), "x", F.col("id").alias("n"),
+        F.lit("1.50").cast("decimal(9,2)").alias("d"))
+    got_rows = tsop.rolling_mean(df, ["x", "d", "n"], by="time", split=split)
+    assert got_rows.columns == ["id", "city", "ts", "x", "n", "d", "x_rolling_3h", "d_rolling_3h", "n_rolling_3h"]
+    assert got_rows.schema["d_rolling_3h"].dataType.simpleString() == "decimal(13,6)"
+    got = {r["id"]: r for r in got_rows.collect()}
+    assert len(got) == len(rows)
+    for i, city, at, x in rows:
+        known = [v for _, c, t, v in rows if c == city and v is not None and (
+            t is None if at is None else t is not None and at - 7_200_000_000 <= t <= at)]
+        want = sum(known) / len(known) if known else None
+        mean = got[i]["x_rolling_3h"]
+        assert mean is None if want is None else mean == pytest.approx(want, nan_ok=True)
+        assert got[i]["x"] == pytest.approx(x, nan_ok=True) and float(got[i]["d_rolling_3h"]) == 1.5
+    # A sliding frame is summed anew for every row.
+    assert "-7200000000" not in got_rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("how", VARIANTS)
 def test_sequences(data, how):
     pdf, df = data
