@@ -1,7 +1,7 @@
 """Regularised gradient boosting of squared error, second order, on histograms.
 
-A tree grows level by level, and a level is one Spark aggregation: tasks sum gradients and row counts by
-(node, feature, bin) in numpy, Spark adds the sums up, and the driver, which sees nothing but them, picks
+A tree grows level by level, and a level is one Spark job: tasks sum gradients and row counts by
+(node, feature, bin) in numpy, a tree of tasks adds the sums up, and the driver, which sees nothing but them, picks
 the splits. Their number is nodes x features x bins, whatever the rows. A split must gain more than ``gamma``
 and leave ``min_child_weight`` rows on either side; with ``T`` shrinking a sum of gradients by ``alpha`` towards 0,
 
@@ -10,8 +10,8 @@ and leave ``min_child_weight`` rows on either side; with ``T`` shrinking a sum o
 and a leaf holds ``-learning_rate T(G) / (n + lambda)``. Gradients are summed as integers, so the sums do not depend on
 the order of rows or on a task that runs twice.
 
-Rows are stored once as a byte per feature with their margin, and again every ``STORE_EVERY`` rounds; in between a pass
-adds the latest trees itself. With validation rows two ensembles grow in the same passes, one without these rows and one
+Rows are stored once as a byte per feature with their margin, and again every ``STORE_EVERY`` rounds; executors keep what
+was stored last, in memory or on disk, and a pass adds the latest trees itself. With validation rows two ensembles grow in the same passes, one without these rows and one
 with them: the first tells the number of rounds, the second is the model, so that stopping early costs no second fit.
 
 Missing feature values fall into the lowest bin. Rows without a target are not for fitting.
@@ -27,7 +27,7 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import RDD, StorageLevel, keyword_only
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector, Vectors
@@ -147,25 +147,32 @@ def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2**53
 
 
-def _fields(batch: pa.RecordBatch, n_features: int) -> tuple[np.ndarray, ...]:
-    data = batch.column("bins")
-    start = data.offset * n_features
-    bins = np.frombuffer(data.buffers()[2], np.uint8, len(data) * n_features, start).reshape(-1, n_features)
-    return (bins, batch.column("y").to_numpy(), batch.column("held").to_numpy(zero_copy_only=False),
-            batch.column("uid").to_numpy(), *(batch.column(c).to_numpy() for c in batch.schema.names if c.startswith("margin")))
+def _arrays(block, n_features: int, n_margins: int) -> tuple[np.ndarray, ...]:
+    """Bins, targets, marks, ids and margins of a block of rows."""
+    return (np.frombuffer(block["bins"], np.uint8).reshape(-1, n_features), np.frombuffer(block["y"], np.float64),
+            np.frombuffer(block["held"], np.bool_), np.frombuffer(block["uid"], np.int64),
+            *(np.frombuffer(block[f"margin{e}"], np.float64) for e in range(n_margins)))
 
 
-def _pass(rows: DataFrame, n_features: int, late: list[list[Tree]], grown: list[Tree], nodes: list[list[int]],
+def _kept(rows: DataFrame, n_features: int, n_margins: int) -> RDD:
+    """The blocks as arrays, kept by the executors: a pass over them is a job without a plan."""
+    return rows.rdd.map(lambda block: _arrays(block, n_features, n_margins)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _added(a: tuple, b: tuple) -> tuple:
+    return [x + y for x, y in zip(a[0], b[0])], a[1] + b[1], a[2] + b[2]
+
+
+def _pass(kept: RDD, late: list[list[Tree]], grown: list[Tree], nodes: list[list[int]],
           level: int, features: np.ndarray, round_: int, scale: float, p: Boosting):
     """Sums of gradients and rows (ensemble, node, feature, bin), and the first ensemble's squared error on the validation rows."""
     bins_of = p.bins
     places = [{node: k for k, node in enumerate(ns)} for ns in nodes]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(blocks: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple]:
         sums = [np.zeros((2, len(ns), len(features), bins_of), np.int64) for ns in nodes]
-        error = held_rows = 0
-        for batch in batches:
-            bins, y, held, uid, *margins = _fields(batch, n_features)
+        error, held_rows = 0.0, 0
+        for bins, y, held, uid, *margins in blocks:
             drawn = _mixed(uid, p.seed * 1_000_003 + round_) < p.subsample
             for e, margin in enumerate(margins):
                 margin = margin + sum(t.value[t.of_bins(bins)] for t in late[e]) if late[e] else margin
@@ -185,58 +192,40 @@ def _pass(rows: DataFrame, n_features: int, late: list[list[Tree]], grown: list[
                     shape = (len(nodes[e]), bins_of)
                     sums[e][0, :, k] += np.bincount(cell, g, shape[0] * bins_of).astype(np.int64).reshape(shape)
                     sums[e][1, :, k] += np.bincount(cell, minlength=shape[0] * bins_of).reshape(shape)
-        found = [np.flatnonzero(s[1]) for s in sums]
-        ensemble = np.concatenate([np.full(len(x), e, np.int32) for e, x in enumerate(found)] + [np.array([-1], np.int32)])
-        cell = np.concatenate([*found, [0]])
-        g = np.concatenate([*(s[0].ravel()[x] for s, x in zip(sums, found)), [0]])
-        n = np.concatenate([*(s[1].ravel()[x] for s, x in zip(sums, found)), [held_rows]])
-        off = np.zeros(len(cell))
-        off[-1] = error
-        yield pa.RecordBatch.from_arrays([pa.array(ensemble), pa.array(cell.astype(np.int64)), pa.array(g.astype(np.int64)),
-                                          pa.array(n.astype(np.int64)), pa.array(off)], names=["ensemble", "cell", "g", "n", "error"])
-
-    made = rows.mapInArrow(run, "ensemble int, cell bigint, g bigint, n bigint, error double")
-    got = made.groupBy("ensemble", "cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"), F.sum("error").alias("error")).toArrow()
-    which = got.column("ensemble").to_numpy()
-    out = []
-    for e, ns in enumerate(nodes):
-        mine = which == e
-        shape = (len(ns), len(features), bins_of)
-        sums = []
-        for c in ("g", "n"):
-            flat = np.zeros(int(np.prod(shape)))
-            flat[got.column("cell").to_numpy()[mine]] = got.column(c).to_numpy()[mine]
-            sums.append(flat.reshape(shape))
-        out.append((sums[0] / scale, sums[1]))
-    last = which == -1
-    held = int(got.column("n").to_numpy()[last].sum())
-    return out, (got.column("error").to_numpy()[last].sum() / held if held else math.nan)
+        yield sums, error, held_rows
+
+    # Beyond a few tasks their sums are added up by tasks, so the driver gets those of a few.
+    sums, error, held_rows = kept.mapPartitions(run).treeReduce(_added)
+    return [(s[0].astype(np.float64) / scale, s[1].astype(np.float64)) for s in sums], error / held_rows if held_rows else math.nan
 
 
 def _binned(data: DataFrame, features: str, target: str, held: Column, edges: list[np.ndarray], base: list[float]) -> DataFrame:
-    names = [f"margin{e}" for e in range(len(base))]
+    """Blocks of rows, one per Arrow batch: the bytes of the arrays that ``_arrays`` reads."""
+    names = ["bins", "y", "held", "uid", *(f"margin{e}" for e in range(len(base)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array(batch.column("x").to_pylist(), np.float64).reshape(batch.num_rows, len(edges))
             x = np.where(np.isnan(x), -np.inf, x)
             bins = np.stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)], axis=1).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row.tobytes() for row in bins], pa.binary()), batch.column("y"), batch.column("held"), batch.column("uid"),
-                 *(pa.array(np.full(batch.num_rows, b)) for b in base)], names=["bins", "y", "held", "uid", *names])
+            arrays = [bins, batch.column("y").to_numpy(), batch.column("held").to_numpy(zero_copy_only=False),
+                      batch.column("uid").to_numpy(), *(np.full(batch.num_rows, b, np.float64) for b in base)]
+            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=names)
 
     x = vector_to_array(F.col(features))
     fed = data.select(x.alias("x"), F.col(target).cast("double").alias("y"), held.alias("held"), F.xxhash64(x, F.col(target)).alias("uid"))
-    return materialize(fed.mapInArrow(run, "bins binary, y double, held boolean, uid bigint, " + ", ".join(f"{n} double" for n in names)))
+    return materialize(fed.mapInArrow(run, ", ".join(f"{n} binary" for n in names)))
 
 
 def _advanced(rows: DataFrame, n_features: int, late: list[list[Tree]]) -> DataFrame:
     """The rows with the margins after the latest trees, stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins, _, _, _, *margins = _fields(batch, n_features)
-            moved = [pa.array(m + sum(t.value[t.of_bins(bins)] for t in late[e])) for e, m in enumerate(margins)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *moved], schema=batch.schema)
+            for block in batch.to_pylist():
+                bins, _, _, _, *margins = _arrays(block, n_features, len(late))
+                for e, m in enumerate(margins):
+                    block[f"margin{e}"] = (m + sum(t.value[t.of_bins(bins)] for t in late[e])).tobytes()
+                yield pa.RecordBatch.from_pylist([block], schema=batch.schema)
 
     return materialize(rows.mapInArrow(run, rows.schema))
 
@@ -287,6 +276,7 @@ def fit(
     edges = bin_edges(data.filter(y.isNotNull()), features, p.bins)
     n_features = len(edges)
     rows = _binned(data.filter(y.isNotNull()), features, target, held, edges, base)
+    kept = _kept(rows, n_features, len(base))
     trees: list[list[Tree]] = [[] for _ in base]
     late: list[list[Tree]] = [[] for _ in base]
     errors: list[float] = []
@@ -296,7 +286,7 @@ def fit(
         drawn = np.sort(rng.choice(n_features, n_drawn, replace=False))
         grown, nodes = [Tree(p.depth) for _ in base], [[0] for _ in base]
         for level in range(p.depth):
-            sums, error = _pass(rows, n_features, late, grown, nodes, level, drawn, round_, scale, p)
+            sums, error = _pass(kept, late, grown, nodes, level, drawn, round_, scale, p)
             if level == 0 and watch and round_:
                 errors.append(error)  # of the trees before this one
             nodes = [split_level(t, ns, *s, drawn, p) for t, ns, s in zip(grown, nodes, sums)]
@@ -308,9 +298,12 @@ def fit(
             trees[e].append(tree)
             late[e].append(tree)
         if len(late[0]) == STORE_EVERY:
+            kept.unpersist()
             rows, late = _advanced(rows, n_features, late), [[] for _ in base]
+            kept = _kept(rows, n_features, len(base))
     if watch and len(errors) < len(trees[0]):
-        errors.append(_pass(rows, n_features, late, [Tree(0) for _ in base], [[] for _ in base], 0, np.array([0]), 0, scale, p)[1])
+        errors.append(_pass(kept, late, [Tree(0) for _ in base], [[] for _ in base], 0, np.array([0]), 0, scale, p)[1])
+    kept.unpersist()
     chosen = trees[-1][:best_round(errors, p.patience)] if watch else trees[-1]
     return BoostedModel(featuresCol=features, predictionCol=prediction, ensemble=_written(chosen, edges, base[-1]),
                         settings=json.dumps(asdict(p)))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -126,7 +128,10 @@ def evaluate(scored: DataFrame, target: str) -> dict[str, float]:
 def train_models(
     features: DataFrame, registry: ModelRegistry, plan: TrainingPlan | None = None
 ) -> DataFrame:
-    """Fit, evaluate and register each model; returns the comparison table."""
+    """Fit, evaluate and register each model; returns the comparison table.
+
+    The models are fitted side by side: each is a long row of small jobs, which leave most executors idle.
+    """
     plan = plan or TrainingPlan()
     data = training_frame(features, plan)
     names = feature_columns(data, plan.target)
@@ -134,9 +139,14 @@ def train_models(
     prepared = assembly(names, plan.scale).fit(train)
     slim = [*plan.keys, plan.order, plan.target, "is_train", "is_validation"]
     vectors = materialize(prepared.transform(data).select(*slim, "features"))
-    for name in plan.models:
+
+    def fitted_and_scored(name: str):
         fitted = fit(name, vectors, plan)
-        metrics = evaluate(fitted.transform(vectors), plan.target)
+        return fitted, evaluate(fitted.transform(vectors), plan.target)
+
+    with ThreadPool(max(1, len(plan.models))) as pool:
+        done = pool.map(inheritable_thread_target(features.sparkSession)(fitted_and_scored), plan.models)
+    for name, (fitted, metrics) in zip(plan.models, done):
         registry.register(
             name, PipelineModel(stages=[*prepared.stages, fitted]), metrics, names,
             hyperparameters(fitted),

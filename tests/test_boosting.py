@@ -89,6 +89,20 @@ def test_stored_margins_and_order_of_rows_change_no_split(sample, monkeypatch):
         assert again == splits and np.allclose(near, values, atol=1e-9)
 
 
+def test_a_level_is_one_job(spark, sample):
+    """Hundreds of rounds are jobs on few rows: a plan, and a shuffle, for each of them would be most of the time."""
+    def jobs(rounds):
+        spark.sparkContext.setJobGroup(f"rounds-{rounds}", "")
+        boosting.fit(few, Boosting(**WHOLE, rounds=rounds, depth=2, gamma=0))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds-{rounds}"))
+
+    few = sample[2].coalesce(1)
+    try:
+        assert jobs(9) - jobs(3) == 6 * 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_rows_and_features_are_drawn(sample):
     ids = np.arange(100_000)
     for seed in (1, 2):
