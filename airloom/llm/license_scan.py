@@ -9,7 +9,7 @@ holds. Numbers and the names of licences and of their terms (``DECISIVE``) must
 holds one of another licence of the family (``FOREIGN``), is rejected, however alike it is. So another version, or "ShareAlike" where
 the template has none, is no notice. The sentence that two BSD licences share names both; the file is one of them if its
 conditions say so. A file whose name is that of a licence file (LICENSE, COPYING, NOTICE, ... with any ending)
-and which has a licence gives it to its directory; files without a notice inherit from the nearest
+and which has a licence gives it to its directory, and so does, if asked for, one that is little but a notice; files without a notice inherit from the nearest
 directory above them that has one, over a join on directories.
 
 A block has no line without words in it. The squares of its lines' norms add up to at most those of
@@ -138,7 +138,9 @@ def _blocks(each: DataFrame, marked: DataFrame, most: float) -> DataFrame:
 
 
 def notices(files: DataFrame, templates=TEMPLATES, similar: float = SIMILAR) -> DataFrame:
-    """(uid, license, score): the best notice of every file that has one. ``files``: uid, text."""
+    """(uid, license, score, n_template): the best notice of every file that has one, and the code points of its template.
+
+    ``files``: uid, text."""
     spark = files.sparkSession
     own = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(templates)], "template int, license string, text string")
     terms = (
@@ -201,9 +203,9 @@ def notices(files: DataFrame, templates=TEMPLATES, similar: float = SIMILAR) ->
     )
     score = F.round(F.col("dot") / F.col("norm"), 6)
     best = F.max_by(
-        F.struct("license", "score"), F.struct("score", -F.col("template"), -F.col("line"), -F.col("last")))
+        F.struct("license", "score", "template"), F.struct("score", -F.col("template"), -F.col("line"), -F.col("last")))
     scored = dots.join(long, ["uid", "line", "last"]).withColumn("score", score).filter(F.col("score") >= similar)
-    found = scored.groupBy("uid").agg(best.alias("best")).select("uid", "best.license", "best.score")
+    found = scored.groupBy("uid").agg(best.alias("best")).select("uid", "best.*")
     # Which of the two BSD licences: the third condition forbids to use names, the second is about binary forms.
     telling = rows.filter(F.col("text").contains("promote") | F.col("text").contains("reproduce")).withColumn(
         "text", F.regexp_replace("text", r"[^\p{L}\p{N}]+", " "))
@@ -213,22 +215,29 @@ def notices(files: DataFrame, templates=TEMPLATES, similar: float = SIMILAR) ->
     both = F.col("license") == "BSD-2-Clause OR BSD-3-Clause"
     one = F.when(F.col("third"), "BSD-3-Clause").when(F.col("second"), "BSD-2-Clause")
     return found.join(telling, "uid", "left").select(
-        "uid", F.coalesce(F.when(both, one), "license").alias("license"), "score")
+        "uid", F.coalesce(F.when(both, one), "license").alias("license"), "score",
+        F.array(*[F.lit(len(t)) for _, t in templates])[F.col("template")].alias("n_template"))
 
 
 def scan(
     files: DataFrame, *, id_column: str = "doc_id", path: str | Column = "path", text: str = "text",
-    templates=TEMPLATES, similar: float = SIMILAR,
+    templates=TEMPLATES, similar: float = SIMILAR, little_else: float | None = None,
 ) -> DataFrame:
-    """Per file: id, path, license, score, via ("notice", "inherited" or null)."""
+    """Per file: id, path, license, score, via ("notice", "inherited" or null).
+
+    Where files have no telling names, ``little_else`` tells licence files by content, too: files with a notice that
+    are at most so many times as long as its template."""
     path = F.col(path) if isinstance(path, str) else path
     rows = files.select(F.col(id_column).alias("id"), F.coalesce(path, F.lit("")).alias("path"), F.col(text).alias("text"))
     rows = rows.withColumn("uid", F.monotonically_increasing_id())
-    names = materialize(rows.select("uid", "id", "path"))
+    names = materialize(rows.select("uid", "id", "path", F.length(F.trim(text_of("text"))).alias("n_chars")))
     found = materialize(notices(rows.select("uid", "text"), templates, similar))
     named = materialize(names.join(found, "uid", "left").withColumn("dir", directory(F.col("path"))))
+    gives = F.col("path").rlike(LICENCE_FILE)
+    if little_else is not None:
+        gives |= F.col("n_chars") <= little_else * F.col("n_template")
     given = (
-        named.filter(F.col("license").isNotNull() & F.col("path").rlike(LICENCE_FILE))
+        named.filter(F.col("license").isNotNull() & gives)
         .groupBy(F.col("dir").alias("above")).agg(F.max_by("license", F.struct("score", "license")).alias("inherited"))
     )
     # Directories and not files meet the licences, so a directory full of files is one row.
