@@ -72,9 +72,11 @@ def op9_decontamination(spark, d):
 @query()
 def op5_license_scan(spark, d):
     """Documents lie in folders by source and language. Their names tell nothing, so licence files are those that are
-    little but a notice."""
+    little but a notice. ``license`` is that of a document's own notice, ``inherited`` that of its folders."""
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
-    return license_scan.scan(table(spark, d, "documents"), path=path, little_else=2)
+    found = license_scan.scan(table(spark, d, "documents"), path=path, little_else=2)
+    return found.select("doc_id", "path", F.when(F.col("via") == "notice", F.col("license")).alias("license"), "score", "via",
+                        F.when(F.col("via") == "inherited", F.col("license")).alias("inherited"))
 
 
 @query()
